@@ -133,7 +133,8 @@ NEEDLES = " || ".join(
 )
 TEXTS = """select concat('d', cast(doc_id as varchar)) as id, text as texte from documents
       union all select concat('p', cast(page_id as varchar)), html from pages
-      union all select concat('c', cast(conv_id as varchar), '-', cast(turn as varchar)), text from conversations"""
+      union all select concat('c', cast(conv_id as varchar), '-', cast(turn as varchar)), text from conversations
+      union all select concat('r', cast(id as varchar)), texte from a_requetes"""
 
 
 @check("scan_sensitive_text", f"select id, rtrim(found, ',') as needles from (select id, {NEEDLES} as found from ({TEXTS}) t) s where found <> ''")
@@ -144,6 +145,7 @@ def _(t):
         .unionByName(t.conversations.select(
             F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"), F.col("text").alias("texte")
         ))
+        .unionByName(t.a_requetes.select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("id"), "texte"))
     )
     found = privacy.scan_sensitive_text(texts, "id", "texte")
     return found.select("id", F.array_join("needles", ",").alias("needles"))

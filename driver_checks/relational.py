@@ -457,9 +457,9 @@ def _(t):
     return t.a_contrat.select("personne_id").union(t.a_formation.select("personne_id")).distinct()
 
 
-@check("set_difference", "select id from a_personne except select personne_id from a_contrat")
+@check("set_difference", "select code_insee from a_commune except select code_insee from a_ifn_commune")
 def _(t):
-    return t.a_personne.select("id").subtract(t.a_contrat.select(F.col("personne_id").alias("id")))
+    return t.a_commune.select("code_insee").subtract(t.a_ifn_commune.select("code_insee"))
 
 
 @check("select_distinct", "select distinct label, parcours from a_formation")

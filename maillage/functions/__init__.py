@@ -12,4 +12,4 @@ from maillage.functions.expressions import (  # noqa: F401
     periode_of_date,
     zero_if_null,
 )
-from maillage.functions.text import trigrams, trigram_similarity  # noqa: F401
+from maillage.functions.text import trigram_code, trigram_similarity, trigrams  # noqa: F401

@@ -19,6 +19,12 @@ def trigrams(name: Column) -> Column:
     return F.array_distinct(F.flatten(grams))
 
 
+def trigram_code(gram: Column) -> Column:
+    """The three code points of a trigram side by side in one number, 21 bits each."""
+    first, second, third = (F.ascii(F.substring(gram, i, 1)).cast("bigint") for i in (1, 2, 3))
+    return F.shiftleft(first, 42) + F.shiftleft(second, 21) + third
+
+
 def trigram_similarity(common: Column, left_size: Column, right_size: Column) -> Column:
     """Shared trigrams over all trigrams of the two names."""
     return common / (left_size + right_size - common)

@@ -15,24 +15,17 @@ def explode_count(df: DataFrame, array: str | Column, by: Sequence[str] = (), al
 
 
 def sum_json_counts(df: DataFrame, json: str, groups: Sequence[str]) -> DataFrame:
-    """Sum the counters of a JSON column: its ``total``, and every counter below ``groups``."""
+    """Sum the counters of a JSON column: its ``total``, and every counter below ``groups``.
+
+    The text is parsed once; each group then becomes one row that holds its counters.
+    """
     schema = "struct<total bigint, " + ", ".join(f"{g} map<string, bigint>" for g in groups) + ">"
     parsed = df.select(F.from_json(json, schema).alias("j"))
-    counters = F.concat(
-        F.array(F.struct(F.lit("total").alias("groupe"), F.lit("total").alias("cle"), F.col("j.total").alias("nb"))),
-        *[
-            F.coalesce(
-                F.transform(
-                    F.map_entries(f"j.{g}"),
-                    lambda e, g=g: F.struct(F.lit(g).alias("groupe"), e["key"].alias("cle"), e["value"].alias("nb")),
-                ),
-                F.array().cast("array<struct<groupe string, cle string, nb bigint>>"),
-            )
-            for g in groups
-        ],
-    )
+    total = F.struct(F.lit("total").alias("groupe"), F.create_map(F.lit("total"), F.col("j.total")).alias("compteurs"))
+    others = [F.struct(F.lit(g).alias("groupe"), F.col(f"j.{g}").alias("compteurs")) for g in groups]
     return (
-        parsed.select(F.inline(counters))
+        parsed.select(F.inline(F.array(total, *others)))
+        .select("groupe", F.explode("compteurs").alias("cle", "nb"))
         .where("nb is not null")
         .groupBy("groupe", "cle")
         .agg(F.sum("nb").alias("nb"))

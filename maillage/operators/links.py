@@ -2,17 +2,21 @@
 
 ``links``: id, personne_id, structure_id, type, structure_coop_id, mediateur_coop_id,
 suppression (close date, NULL while open).
-``pairs``: winner_id, loser_id, and loser_coop_id where a step needs it.
+``pairs``: winner_id, loser_id, loser_coop_id; resolved, so no id is on both sides.
 
 Each step looks at the table as it stood before the step. All steps work on every
 pair at once. Which partner row fills a gap is settled by the smallest id, and each
 match is made against one aggregated row per key, so no step lists pairs of rows.
 ``now`` stamps ``updated_at`` on the rows a step changes.
+
+Internally the rows carry the winner they belong to (``_side``) and their part in the
+merge (``_part``: winner, loser, orphan). Only rows with a part are ever shuffled; a
+merge touches few structures, so most of the table passes by.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,37 +26,45 @@ from maillage.operators.ordering import neutralise_rest
 from maillage.session import cut
 
 SLOT = ["_side", "personne_id", "type", "suppression"]
+WHO = ["_side", "personne_id", "type"]
 COOPS = ("structure_coop_id", "mediateur_coop_id")
 
 
-def _set_where(df: DataFrame, columns: list[str], cond: Column, new: Mapping[str, Column], now: Column | None) -> DataFrame:
-    new = dict(new)
-    if now is not None and "updated_at" in columns:
-        new["updated_at"] = now
-    hit = F.coalesce(cond, F.lit(False))
-    return df.select(*[F.when(hit, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in columns])
-
+def _is(part: str) -> Column:
+    return F.col("_part").eqNullSafe(part)
 
-def _winners(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("winner_id").alias("_w")).distinct()
 
-
-def _sided(links: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Mark each row with the winner it belongs to (``_side``) and its part in the merge."""
-    losers = pairs.select(F.col("loser_id").alias("_l"), F.col("winner_id").alias("_lw"))
+def _annotate(links: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Add ``_side`` and ``_part``. An orphan has no structure but a loser's external id."""
+    ends = pairs.select(F.inline(F.array(
+        F.struct(F.col("winner_id").alias("_end"), F.col("winner_id").alias("_w"), F.lit("winner").alias("_p")),
+        F.struct(F.col("loser_id").alias("_end"), F.col("winner_id").alias("_w"), F.lit("loser").alias("_p")),
+    ))).distinct()
+    coops = pairs.where("loser_coop_id is not null").select(
+        F.col("loser_coop_id").alias("_coop"), F.col("winner_id").alias("_cw")
+    )
+    orphan = F.col("structure_id").isNull() & (F.col("structure_coop_id") == F.col("_coop"))
     return (
-        links.join(_winners(pairs), F.col("structure_id") == F.col("_w"), "left")
-        .join(losers, F.col("structure_id") == F.col("_l"), "left")
-        .withColumn("_side", F.coalesce("_w", "_lw"))
-        .withColumn("_part", F.when(F.col("_w").isNotNull(), "winner").when(F.col("_l").isNotNull(), "loser"))
-        .drop("_w", "_l", "_lw")
+        links.join(ends, F.col("structure_id") == F.col("_end"), "left")
+        .join(coops, orphan, "left")
+        .withColumns({
+            "_side": F.coalesce("_w", "_cw"),
+            "_part": F.coalesce("_p", F.when(F.col("_coop").isNotNull(), F.lit("orphan"))),
+        })
+        .select(*links.columns, "_side", "_part")
     )
 
 
-def _orphans(links: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows without a structure that carry a loser's external id, with the winner's id."""
-    coops = pairs.where("loser_coop_id is not null").select(F.col("loser_coop_id").alias("_c"), F.col("winner_id").alias("_side"))
-    return links.where("structure_id is null").join(coops, F.col("structure_coop_id") == F.col("_c")).drop("_c")
+def _change(df: DataFrame, cond: Column, new: Mapping[str, Column], now: Column | None, keep: list[str]) -> DataFrame:
+    new = dict(new)
+    if now is not None and "updated_at" in keep:
+        new["updated_at"] = now
+    hit = F.coalesce(cond, F.lit(False))
+    return df.select(*[F.when(hit, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in keep])
+
+
+def _no_coops(rows: DataFrame) -> dict[str, Column]:
+    return {c: F.lit(None).cast(rows.schema[c].dataType) for c in COOPS}
 
 
 def _gap_fill(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -63,78 +75,144 @@ def _gap_fill(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _filled() -> dict[str, Column]:
+    return {c: F.coalesce(c, f"_f_{c}") for c in COOPS}
+
+
+def _collision(rows: DataFrame, now: Column | None) -> DataFrame:
+    keys = ["_side", "type", "suppression", *COOPS]
+    flagged = flag_matches(rows, rows.where(_is("loser")), keys, "_hit")
+    return _change(flagged, _is("winner") & F.col("_hit"), _no_coops(rows), now, rows.columns)
+
+
+def _orphan_collision(rows: DataFrame, now: Column | None) -> DataFrame:
+    keys = ["_side", "mediateur_coop_id", "type", "suppression"]
+    flagged = flag_matches(rows, rows.where(_is("orphan")), keys, "_hit")
+    return _change(flagged, _is("winner") & F.col("_hit"), _no_coops(rows), now, rows.columns)
+
+
+def _fold(rows: DataFrame, now: Column | None) -> DataFrame:
+    # One aggregate finds the keys that both sides hold, and what the loser's rows offer.
+    usable = {c: F.when(_is("loser") & F.col(c).isNotNull(), F.col("id")) for c in COOPS}
+    matched = (
+        rows.where(_is("winner") | _is("loser"))
+        .groupBy(*SLOT)
+        .agg(
+            F.bool_or(_is("winner")).alias("_w"), F.bool_or(_is("loser")).alias("_l"),
+            *[F.min_by(c, order).alias(f"_f_{c}") for c, order in usable.items()],
+        )
+        .where("_w and _l")
+    )
+    joined = null_safe_join(rows, matched, SLOT, "left")
+    hit = F.col("_w").isNotNull()
+    return _change(joined.where(~(hit & _is("loser"))), hit & _is("winner"), _filled(), now, rows.columns)
+
+
+def _repoint(rows: DataFrame, now: Column | None) -> DataFrame:
+    flagged = flag_matches(rows, rows.where(_is("winner")), SLOT, "_taken")
+    moved = {"structure_id": F.col("_side"), "_part": F.lit("winner")}
+    return _change(flagged, _is("loser") & ~F.col("_taken"), moved, now, rows.columns)
+
+
+def _attach(rows: DataFrame, now: Column | None) -> DataFrame:
+    winners = rows.where(_is("winner"))
+    equal = flag_matches(rows, winners, [*SLOT, *COOPS], "_equal")
+    placed = flag_matches(equal.where(~(_is("orphan") & F.col("_equal"))), winners, SLOT, "_taken")
+    moved = {"structure_id": F.col("_side"), "_part": F.lit("winner")}
+    return _change(placed, _is("orphan") & ~F.col("_taken"), moved, now, rows.columns)
+
+
+def _close_dates(rows: DataFrame, others: DataFrame, closed: DataFrame, now: Column | None) -> DataFrame:
+    """``others`` holds every row of the table with a close date: any of them can block a date."""
+    marked = null_safe_join(rows, closed, WHO, "left")
+    marked = marked.withColumn(
+        "_open", F.coalesce(_is("winner") & F.col("suppression").isNull() & F.col("_closed").isNotNull(), F.lit(False))
+    )
+    at_date = [*WHO, "_closed"]
+    already = rows.where(_is("winner") & F.col("suppression").isNotNull()).withColumn("_closed", F.col("suppression"))
+    marked = flag_matches(marked, already, at_date, "_has_closed")
+    fill = _gap_fill(marked.where("_open and _has_closed"), at_date).withColumnRenamed("_closed", "_at")
+    marked = null_safe_join(marked.withColumn("_at", F.col("suppression")), fill, [*WHO, "_at"], "left")
+
+    # Only dates an open row would take are looked up among the other rows.
+    same = ["type", "_closed", *COOPS]
+    wanted = marked.where("_open and not _has_closed").select(*same).distinct()
+    blocking = null_safe_join(
+        others.where("suppression is not null").withColumn("_closed", F.col("suppression")).select(*same), wanted, same, "left_semi"
+    )
+    marked = flag_matches(marked, blocking, same, "_blocked")
+
+    takes_ids = F.coalesce("_filled", F.lit(False)) & F.col("suppression").isNotNull() & _is("winner")
+    takes_date = F.col("_open") & ~F.col("_blocked")
+    new = {
+        **{c: F.when(takes_ids, F.coalesce(c, f"_f_{c}")).otherwise(F.col(c)) for c in COOPS},
+        "suppression": F.when(takes_date, F.col("_closed")).otherwise(F.col("suppression")),
+    }
+    kept = marked.where(~(F.col("_open") & F.col("_has_closed")))
+    return _change(kept, takes_ids | takes_date, new, now, rows.columns)
+
+
+def _collapse(rows: DataFrame, now: Column | None) -> DataFrame:
+    is_open = F.col("suppression").isNull()
+    usable = {c: F.when(is_open & F.col(c).isNotNull(), F.col("id")) for c in COOPS}
+    matched = (
+        rows.where(_is("winner"))
+        .groupBy(*WHO)
+        .agg(
+            F.bool_or(is_open).alias("_o"), F.bool_or(~is_open).alias("_c"),
+            *[F.min_by(c, order).alias(f"_f_{c}") for c, order in usable.items()],
+        )
+        .where("_o and _c")
+    )
+    joined = rows.join(matched, WHO, "left")
+    hit = F.col("_o").isNotNull() & _is("winner")
+    return _change(joined.where(~(hit & is_open)), hit, _filled(), now, rows.columns)
+
+
+def _guard(rows: DataFrame, now: Column | None) -> DataFrame:
+    scope = F.col("structure_coop_id").isNotNull() & (_is("winner") | F.col("structure_id").isNull())
+    keys = ["structure_coop_id", "mediateur_coop_id", "type", "suppression"]
+    return neutralise_rest(rows, keys, [F.col("structure_id").isNull()], "id", ["structure_coop_id"], scope, now)
+
+
+def _closed(rows: DataFrame) -> DataFrame:
+    return rows.where(_is("loser") & F.col("suppression").isNotNull()).groupBy(*WHO).agg(F.max("suppression").alias("_closed"))
+
+
+def _alone(step: Callable, links: DataFrame, pairs: DataFrame, now: Column | None) -> DataFrame:
+    rows = _annotate(links, pairs)
+    touched = step(rows.where("_part is not null"), now)
+    return rows.where("_part is null").unionByName(touched).select(*links.columns)
+
+
 def links_collision_null(links: DataFrame, pairs: DataFrame, now: Column | None = None) -> DataFrame:
     """A winner row equal to a loser row on (type, close date, both external ids) loses its external ids."""
-    keys = ["_side", "type", "suppression", "mediateur_coop_id", "structure_coop_id"]
-    sided = _sided(links, pairs)
-    flagged = flag_matches(sided, sided.where("_part = 'loser'"), keys, "_hit")
-    return _set_where(
-        flagged, links.columns, (F.col("_part") == "winner") & F.col("_hit"),
-        {c: F.lit(None).cast(links.schema[c].dataType) for c in COOPS}, now,
-    )
+    return _alone(_collision, links, pairs, now)
 
 
 def links_orphan_collision_null(links: DataFrame, pairs: DataFrame, now: Column | None = None) -> DataFrame:
     """The same against rows without a structure that carry the loser's external id."""
-    keys = ["_side", "mediateur_coop_id", "type", "suppression"]
-    flagged = flag_matches(_sided(links, pairs), _orphans(links, pairs), keys, "_hit")
-    return _set_where(
-        flagged, links.columns, (F.col("_part") == "winner") & F.col("_hit"),
-        {c: F.lit(None).cast(links.schema[c].dataType) for c in COOPS}, now,
-    )
+    return _alone(_orphan_collision, links, pairs, now)
 
 
 def links_fold_pairs(links: DataFrame, pairs: DataFrame, now: Column | None = None) -> DataFrame:
     """Winner and loser rows of one (person, type, close date): the loser's go, the winner's take their ids."""
-    sided = _sided(links, pairs)
-    both = (
-        sided.where("_part is not null")
-        .groupBy(*SLOT)
-        .agg(F.bool_or(F.col("_part") == "winner").alias("_w"), F.bool_or(F.col("_part") == "loser").alias("_l"))
-        .where("_w and _l")
-        .drop("_w", "_l")
-    )
-    fill = _gap_fill(sided.where("_part = 'loser'"), SLOT)
-    matched = null_safe_join(both, fill, SLOT, "inner")
-    joined = null_safe_join(sided, matched, SLOT, "left")
-    hit = F.coalesce("_filled", F.lit(False))
-    kept = joined.where(~(hit & F.coalesce(F.col("_part") == "loser", F.lit(False))))
-    return _set_where(
-        kept, links.columns, hit & (F.col("_part") == "winner"), {c: F.coalesce(c, f"_f_{c}") for c in COOPS}, now
-    )
+    return _alone(_fold, links, pairs, now)
 
 
 def links_repoint_rest(links: DataFrame, pairs: DataFrame, now: Column | None = None) -> DataFrame:
     """Loser rows without an equal (person, type, close date) row of the winner move to the winner."""
-    sided = _sided(links, pairs)
-    flagged = flag_matches(sided, sided.where("_part = 'winner'"), SLOT, "_taken")
-    return _set_where(
-        flagged, links.columns, (F.col("_part") == "loser") & ~F.col("_taken"), {"structure_id": F.col("_side")}, now
-    )
+    return _alone(_repoint, links, pairs, now)
 
 
 def links_attach_orphans(links: DataFrame, pairs: DataFrame, now: Column | None = None) -> DataFrame:
     """Rows without a structure that carry a loser's external id: equal ones go, free ones join the winner."""
-    sided = _sided(links, pairs)
-    winners = sided.where("_part = 'winner'")
-    orphans = _orphans(links, pairs)
-    equal = flag_matches(orphans, winners, [*SLOT, *COOPS], "_equal")
-    placed = flag_matches(equal.where("not _equal"), winners, SLOT, "_taken")
-    moved = _set_where(placed, links.columns, ~F.col("_taken"), {"structure_id": F.col("_side")}, now)
-    coops = pairs.where("loser_coop_id is not null").select(F.col("loser_coop_id").alias("structure_coop_id")).distinct()
-    candidate = links.where("structure_id is null")
-    rest = links.where("structure_id is not null").unionByName(candidate.join(coops, "structure_coop_id", "left_anti").select(*links.columns))
-    return rest.unionByName(moved)
+    return _alone(_attach, links, pairs, now)
 
 
 def closed_of_losers(links: DataFrame, pairs: DataFrame) -> DataFrame:
     """Close dates to remember before the losers' rows are folded: latest per (winner, person, type)."""
-    return (
-        _sided(links, pairs)
-        .where("_part = 'loser' and suppression is not null")
-        .groupBy("_side", "personne_id", "type")
-        .agg(F.max("suppression").alias("_closed"))
-    )
+    return _closed(_annotate(links, pairs))
 
 
 def links_keep_close_dates(links: DataFrame, pairs: DataFrame, closed: DataFrame, now: Column | None = None) -> DataFrame:
@@ -144,78 +222,36 @@ def links_keep_close_dates(links: DataFrame, pairs: DataFrame, closed: DataFrame
     ids and the open row goes. If any other row has the same type, date and external
     ids, the open row is left as it is.
     """
-    who = ["_side", "personne_id", "type"]
-    sided = _sided(links, pairs)
-    target = null_safe_join(sided, closed, who, "left")
-    is_open = (F.col("_part") == "winner") & F.col("suppression").isNull() & F.col("_closed").isNotNull()
-    marked = target.withColumn("_open", F.coalesce(is_open, F.lit(False)))
-
-    at_date = [*who, "_closed"]
-    rows_closed = sided.where("_part = 'winner' and suppression is not null").withColumn("_closed", F.col("suppression"))
-    marked = flag_matches(marked, rows_closed, at_date, "_has_closed")
-
-    # Closed rows that an open row is folded into take that row's ids where they lack one.
-    fill = _gap_fill(marked.where("_open and _has_closed"), at_date).withColumnRenamed("_closed", "_at")
-    marked = null_safe_join(marked.withColumn("_at", F.col("suppression")), fill, [*who, "_at"], "left")
-
-    same = ["type", "_closed", *COOPS]
-    others = links.where("suppression is not null").withColumn("_closed", F.col("suppression"))
-    marked = flag_matches(marked, others, same, "_blocked")
-
-    kept = marked.where(~(F.col("_open") & F.col("_has_closed")))
-    takes_ids = F.coalesce("_filled", F.lit(False)) & F.col("suppression").isNotNull() & (F.col("_part") == "winner")
-    takes_date = F.col("_open") & ~F.col("_blocked")
-    return _set_where(
-        kept, links.columns, takes_ids | takes_date,
-        {
-            **{c: F.when(takes_ids, F.coalesce(c, f"_f_{c}")).otherwise(F.col(c)) for c in COOPS},
-            "suppression": F.when(takes_date, F.col("_closed")).otherwise(F.col("suppression")),
-        },
-        now,
-    )
+    return _alone(lambda rows, stamp: _close_dates(rows, links, closed, stamp), links, pairs, now)
 
 
 def links_collapse_active_closed(links: DataFrame, pairs: DataFrame, now: Column | None = None) -> DataFrame:
     """Per winner, person and type: closed rows absorb the ids of the open rows, which go."""
-    who = ["structure_id", "personne_id", "type"]
-    of_winner = links.join(_winners(pairs), F.col("structure_id") == F.col("_w"), "left").withColumn(
-        "_win", F.col("_w").isNotNull()
-    ).drop("_w")
-    state = of_winner.where("_win").groupBy(*who).agg(
-        F.bool_or(F.col("suppression").isNull()).alias("_o"),
-        F.bool_or(F.col("suppression").isNotNull()).alias("_c"),
-    ).where("_o and _c").drop("_o", "_c")
-    fill = _gap_fill(of_winner.where("_win and suppression is null"), who)
-    matched = state.join(fill, who)
-    joined = of_winner.join(matched, who, "left")
-    hit = F.coalesce("_filled", F.lit(False))
-    kept = joined.where(~(hit & F.col("suppression").isNull()))
-    return _set_where(kept, links.columns, hit, {c: F.coalesce(c, f"_f_{c}") for c in COOPS}, now)
-
-
-def links_dedupe_guard(links: DataFrame, pairs: DataFrame) -> DataFrame:
+    return _alone(_collapse, links, pairs, now)
+
+
+def links_dedupe_guard(links: DataFrame, pairs: DataFrame, now: Column | None = None) -> DataFrame:
     """On (both external ids, type, close date) the first row keeps its structure's external id.
 
     Rows with a structure come first, then the smallest id. Groups without a structure
     id have nothing to lose and are left out.
     """
-    marked = links.join(_winners(pairs), F.col("structure_id") == F.col("_w"), "left")
-    scope = F.col("structure_coop_id").isNotNull() & (F.col("_w").isNotNull() | F.col("structure_id").isNull())
-    out = neutralise_rest(
-        marked, ["structure_coop_id", "mediateur_coop_id", "type", "suppression"],
-        [F.col("structure_id").isNull()], "id", ["structure_coop_id"], scope,
-    )
-    return out.select(*links.columns)
+    return _guard(_annotate(links, pairs), now).select(*links.columns)
 
 
 def merge_links(links: DataFrame, pairs: DataFrame, now: Column | None = None) -> DataFrame:
-    """All steps in their order; lineage is cut twice, since each step reads its input several times."""
-    closed = cut(closed_of_losers(links, pairs))
-    out = links_collision_null(links, pairs, now)
-    out = links_orphan_collision_null(out, pairs, now)
-    out = cut(links_fold_pairs(out, pairs, now))
-    out = links_repoint_rest(out, pairs, now)
-    out = cut(links_attach_orphans(out, pairs, now))
-    out = links_keep_close_dates(out, pairs, closed, now)
-    out = cut(links_collapse_active_closed(out, pairs, now))
-    return links_dedupe_guard(out, pairs)
+    """All steps in their order, on the rows that take part.
+
+    Every step reads its input more than once, so each result is cut; what is written
+    are the rows of the merged structures and never the whole table.
+    """
+    everything = _annotate(links, pairs)
+    rest = everything.where("_part is null")
+    rows = cut(everything.where("_part is not null"))
+    closed = _closed(rows)
+    for step in (_collision, _orphan_collision, _fold, _repoint, _attach):
+        rows = cut(step(rows, now))
+    others = rest.unionByName(rows)
+    rows = cut(_close_dates(rows, others, closed, now))
+    rows = cut(_collapse(rows, now))
+    return _guard(rest.unionByName(rows), now).select(*links.columns)

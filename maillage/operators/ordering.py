@@ -27,12 +27,14 @@ def latest_by(df: DataFrame, keys: Sequence[str], clocks: Sequence[str], tie: st
 
 
 def neutralise_rest(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], id_col: str, columns: Sequence[str], where: Column | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], id_col: str, columns: Sequence[str], where: Column | None = None,
+    now: Column | None = None,
 ) -> DataFrame:
     """Keep the first row per key, set ``columns`` to NULL in the other rows of the key.
 
     The keeper is found with an aggregate that combines on the map side and is joined
-    back, so no group is ever gathered in one task. ``order`` must end in ``id_col``.
+    back, so no group is ever gathered in one task. ``order`` are ascending expressions
+    and ``id_col`` settles ties. With ``now``, ``updated_at`` is set on the rows changed.
     """
     scope = df if where is None else df.where(where)
     keepers = (
@@ -45,9 +47,10 @@ def neutralise_rest(
     joined = null_safe_join(df, keepers, keys, "left")
     in_scope = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     loses = in_scope & F.col("_kept").isNotNull() & (F.col(id_col) != F.col("_kept"))
-    return joined.select(
-        *[F.when(~loses, F.col(c)).alias(c) if c in columns else F.col(c) for c in df.columns]
-    )
+    new = {c: F.when(~loses, F.col(c)) for c in columns}
+    if now is not None and "updated_at" in df.columns:
+        new["updated_at"] = F.when(loses, now).otherwise(F.col("updated_at"))
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
 
 
 def top_k(df: DataFrame, measure: str, key: str, k: int) -> DataFrame:

@@ -7,7 +7,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maillage.functions import trigrams, trigram_similarity
+from maillage.functions import trigram_code, trigram_similarity, trigrams
 
 DEFAULT_THRESHOLD = "0.3"  # fixed value: usual trigram threshold of PostgreSQL
 
@@ -15,46 +15,43 @@ DEFAULT_THRESHOLD = "0.3"  # fixed value: usual trigram threshold of PostgreSQL
 def fuzzy_name_pairs(people: DataFrame, name: str, threshold: str = DEFAULT_THRESHOLD) -> DataFrame:
     """Distinct lower-case names whose trigram similarity reaches ``threshold``.
 
-    Exact, by prefix filtering: with the trigrams of each name sorted by rarity, two
-    names of similarity t share one among the first ``n - ceil(t n) + 1`` of each. Only
-    those are joined, so common trigrams hardly ever meet, and no trigram is left out.
-    A pair is kept at its first shared prefix trigram alone, which spares a distinct.
+    Exact, by prefix and position filtering (Bayardo et al. 2007, Xiao et al. 2008). With
+    the trigrams of each name sorted by rarity, two names of similarity t share one
+    among the first ``n - ceil(t n) + 1`` of each, and only those are joined: common
+    trigrams hardly ever meet, and none is left out. A pair is judged at its first
+    shared trigram alone, where the places of that trigram bound what can still be
+    shared; this costs whole-number comparisons, and spares a distinct of the pairs.
     Bearers of one name are counted (``nb_a``, ``nb_b``), not paired with each other.
     """
     t = Fraction(threshold)
     num, den = t.numerator, t.denominator
-    names = (
-        people.where(F.col(name).isNotNull())
-        .groupBy(F.lower(name).alias("nom"))
-        .agg(F.min("id").alias("id"), F.count("*").alias("nb"))
-        .withColumn("grams", trigrams(F.col("nom")))
-        .where("size(grams) > 0")
+    names = people.where(F.col(name).isNotNull()).groupBy(F.lower(name).alias("nom")).agg(
+        F.min("id").alias("id"), F.count("*").alias("nb")
     )
-    occurrences = names.select("nom", F.explode("grams").alias("gram"))
+    occurrences = names.select("nom", "id", "nb", F.explode(F.transform(trigrams(F.col("nom")), trigram_code)).alias("gram"))
     rarity = occurrences.groupBy("gram").agg(F.count("*").alias("df"))
+    # A name has as many trigrams as letters, so gathering those of one name is bounded.
     ranked = (
         occurrences.join(rarity, "gram")
-        .groupBy("nom")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("ranked"))
+        .groupBy("nom", "id", "nb")
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("grams"))
+        .withColumn("n", F.size("grams"))
     )
-    size = F.size("ranked")
-    needed = F.floor((size * num + (den - 1)) / F.lit(den)).cast("int")  # ceil(t n), in whole numbers
-    prefixed = (
-        names.drop("grams").join(ranked, "nom")
-        .withColumn("n", size)
-        .withColumn("prefix", F.slice("ranked", F.lit(1), size - needed + 1))
-    )
-    keyed = prefixed.select("*", F.explode("prefix").alias("gram"))
+    needed = F.floor((F.col("n") * num + (den - 1)) / F.lit(den)).cast("int")  # ceil(t n), in whole numbers
+    keyed = ranked.select("*", F.posexplode(F.slice("grams", F.lit(1), F.col("n") - needed + 1)).alias("pos", "gram"))
     a = keyed.select(*[F.col(c).alias(f"{c}_a") for c in keyed.columns if c != "gram"], "gram")
     b = keyed.select(*[F.col(c).alias(f"{c}_b") for c in keyed.columns if c != "gram"], "gram")
-    common = F.size(F.array_intersect("ranked_a", "ranked_b"))
+    both = F.col("n_a") + F.col("n_b")
+    still_possible = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    shared_before = F.arrays_overlap(
+        F.slice("grams_a", F.lit(1), F.col("pos_a")), F.slice("grams_b", F.lit(1), F.col("pos_b"))
+    )
     return (
         a.join(b, "gram")
-        .where("nom_a < nom_b")
-        .where((F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num))
-        .where(F.array_intersect("prefix_a", "prefix_b")[0] == F.col("gram"))
-        .withColumn("communs", common)
-        .where(F.col("communs") * den >= (F.col("n_a") + F.col("n_b") - F.col("communs")) * num)
+        .where((F.col("nom_a") < F.col("nom_b")) & (still_possible * (num + den) >= both * num))
+        .where(~shared_before)
+        .withColumn("communs", F.size(F.array_intersect("grams_a", "grams_b")))
+        .where(F.col("communs") * den >= (both - F.col("communs")) * num)
         .select(
             "nom_a", "nom_b", "id_a", "id_b", "nb_a", "nb_b", "communs",
             trigram_similarity(F.col("communs"), F.col("n_a"), F.col("n_b")).alias("similarite"),
