@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maillage.functions import trigram_code, trigram_similarity, trigrams
+from maillage.session import cut
 
 DEFAULT_THRESHOLD = "0.3"  # fixed value: usual trigram threshold of PostgreSQL
 
@@ -22,6 +23,8 @@ def fuzzy_name_pairs(people: DataFrame, name: str, threshold: str = DEFAULT_THRE
     shared trigram alone, where the places of that trigram bound what can still be
     shared; this costs whole-number comparisons, and spares a distinct of the pairs.
     Bearers of one name are counted (``nb_a``, ``nb_b``), not paired with each other.
+    The ranked names are cut, as both sides of the join read them; a trigram that very
+    many names have in front is split on both sides by adaptive execution.
     """
     t = Fraction(threshold)
     num, den = t.numerator, t.denominator
@@ -31,7 +34,7 @@ def fuzzy_name_pairs(people: DataFrame, name: str, threshold: str = DEFAULT_THRE
     occurrences = names.select("nom", "id", "nb", F.explode(F.transform(trigrams(F.col("nom")), trigram_code)).alias("gram"))
     rarity = occurrences.groupBy("gram").agg(F.count("*").alias("df"))
     # A name has as many trigrams as letters, so gathering those of one name is bounded.
-    ranked = (
+    ranked = cut(
         occurrences.join(rarity, "gram")
         .groupBy("nom", "id", "nb")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("grams"))
@@ -42,16 +45,19 @@ def fuzzy_name_pairs(people: DataFrame, name: str, threshold: str = DEFAULT_THRE
     a = keyed.select(*[F.col(c).alias(f"{c}_a") for c in keyed.columns if c != "gram"], "gram")
     b = keyed.select(*[F.col(c).alias(f"{c}_b") for c in keyed.columns if c != "gram"], "gram")
     both = F.col("n_a") + F.col("n_b")
-    still_possible = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    still_possible = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) * (num + den) >= both * num
     shared_before = F.arrays_overlap(
         F.slice("grams_a", F.lit(1), F.col("pos_a")), F.slice("grams_b", F.lit(1), F.col("pos_b"))
     )
+    common = F.size(F.array_intersect("grams_a", "grams_b"))
+    # One expression, so that the cheap tests come first and spare the array work.
+    similar = F.when(
+        still_possible & (F.col("nom_a") < F.col("nom_b")), F.when(~shared_before, common * den >= (both - common) * num)
+    )
     return (
         a.join(b, "gram")
-        .where((F.col("nom_a") < F.col("nom_b")) & (still_possible * (num + den) >= both * num))
-        .where(~shared_before)
-        .withColumn("communs", F.size(F.array_intersect("grams_a", "grams_b")))
-        .where(F.col("communs") * den >= (both - F.col("communs")) * num)
+        .where(similar)
+        .withColumn("communs", common)
         .select(
             "nom_a", "nom_b", "id_a", "id_b", "nb_a", "nb_b", "communs",
             trigram_similarity(F.col("communs"), F.col("n_a"), F.col("n_b")).alias("similarite"),

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maillage.functions import label_enveloppes, net_v2, zero_if_null
-from maillage.operators.ordering import first_row_per_key
+from maillage.session import cut
 
 PAIR = ["poste_conum_id", "structure_id"]
 GRANT_COLUMNS = [
@@ -27,23 +27,40 @@ def contrats_par_personne(contrat: DataFrame) -> DataFrame:
     )
 
 
-def _chosen_postes(poste: DataFrame, contrat: DataFrame) -> DataFrame:
-    """One position per pair, with the facts about its person's contracts.
+POSTE = ["id", "personne_id", "etat", "typologie", "nb_contrats_en_cours", "date_fin_contrat", "_contrat"]
+
+
+def _postes_with_contracts(poste: DataFrame, contrat: DataFrame) -> DataFrame:
+    """Positions with the facts about their person's contracts.
 
     Contracts are aggregated before they meet the positions, so the join does not fan
     out and serves the choice, the number in force and the last end date at once.
     """
-    joined = poste.join(contrats_par_personne(contrat), ["personne_id", "structure_id"], "left")
-    return first_row_per_key(
-        joined,
-        PAIR,
-        [
-            (F.coalesce("nb_contrats_en_cours", F.lit(0)) > 0).desc(),
-            F.col("date_attribution").desc_nulls_last(),
-            F.col("created_at").desc_nulls_first(),
-            F.col("id").asc(),
-        ],
+    return poste.join(contrats_par_personne(contrat), ["personne_id", "structure_id"], "left")
+
+
+def _choice() -> Column:
+    """The row to keep of a pair, as one value whose maximum is it.
+
+    A contract in force first, then the newest attribution (absent dates last), then the
+    newest creation (absent dates first), then the smallest id. A maximum combines on
+    the map side, so a pair with very many positions is one row per task.
+    """
+    order = F.struct(
+        (F.coalesce("nb_contrats_en_cours", F.lit(0)) > 0).alias("_en_cours"),
+        "date_attribution",
+        F.col("created_at").isNull().alias("_sans_date"),
+        "created_at",
+        (-F.col("id")).alias("_rang"),
+        *POSTE,
     )
+    return F.max(order).alias("_poste")
+
+
+def _chosen_postes(poste: DataFrame, contrat: DataFrame) -> DataFrame:
+    """One position per pair; a NULL structure is a pair of its own."""
+    chosen = _postes_with_contracts(poste, contrat).groupBy(*PAIR).agg(_choice())
+    return chosen.select(*PAIR, *[f"_poste.{c}" for c in POSTE])
 
 
 def poste_par_structure(poste: DataFrame, contrat: DataFrame) -> DataFrame:
@@ -64,14 +81,12 @@ def dernier_contrat(poste: DataFrame, contrat: DataFrame) -> DataFrame:
     return _chosen_postes(poste, contrat).where("_contrat").select(*PAIR, F.col("date_fin_contrat").alias("date_fin"))
 
 
-def grants_par_poste(subvention: DataFrame, poste: DataFrame) -> DataFrame:
-    """One row per grant with the pair of its position, the grant columns and the payment columns."""
+def _amounts() -> list[Column]:
+    """Grant and payment columns of one grant, missing amounts counting as 0."""
     v1, v2, bonus = (F.col(c) for c in ("montant_subvention_v1", "montant_subvention_v2", "montant_bonification_v2"))
     paid_v1 = zero_if_null(F.col("montant_versement_v1"))
     paid_v2 = sum((zero_if_null(F.col(f"versement_{i}_v2")) for i in (2, 3)), zero_if_null(F.col("versement_1_v2")))
-    owners = poste.select(F.col("id").alias("poste_id"), *PAIR)
-    return subvention.join(owners, "poste_id").select(
-        *PAIR,
+    return [
         label_enveloppes(v1, v2).alias("enveloppes"),
         F.greatest("date_fin_convention_dgcl", "date_fin_convention_ditp", "date_fin_convention_dge").alias("date_fin_convention"),
         (zero_if_null(bonus) > 0).alias("is_territoire_prioritaire"),
@@ -84,7 +99,12 @@ def grants_par_poste(subvention: DataFrame, poste: DataFrame) -> DataFrame:
         (paid_v1 + paid_v2).alias("montant_versement_cumule"),
         paid_v1.alias("versement_cumule_v1"),
         paid_v2.alias("versement_cumule_v2"),
-    )
+    ]
+
+
+def grants_par_poste(subvention: DataFrame, poste: DataFrame) -> DataFrame:
+    """One row per grant with the pair of its position, the grant columns and the payment columns."""
+    return subvention.join(poste.select(F.col("id").alias("poste_id"), *PAIR), "poste_id").select(*PAIR, *_amounts())
 
 
 def subventions_par_enveloppe(subvention: DataFrame, poste: DataFrame) -> DataFrame:
@@ -95,17 +115,35 @@ def versements_cumules(subvention: DataFrame, poste: DataFrame) -> DataFrame:
     return grants_par_poste(subvention, poste).select(*PAIR, *PAYMENT_COLUMNS)
 
 
-def _collapsed(grants: DataFrame) -> DataFrame:
-    """One row per pair: amounts added up, labels and dates over all grants of the pair."""
+def _postes_with_grants(poste: DataFrame, contrat: DataFrame, subvention: DataFrame) -> DataFrame:
+    """Positions with contract facts, beside each of their grants (``_finance`` tells whether there is one).
+
+    Grants of a position without a pair of keys meet nothing in the summary.
+    """
+    grants = subvention.select(F.col("poste_id").alias("id"), *_amounts(), F.lit(True).alias("_finance"))
+    joined = _postes_with_contracts(poste, contrat).join(grants, "id", "left")
+    paired = F.col("poste_conum_id").isNotNull() & F.col("structure_id").isNotNull()
+    return joined.withColumn("_finance", F.coalesce("_finance", F.lit(False)) & paired)
+
+
+def _per_pair(rows: DataFrame) -> DataFrame:
+    """One row per pair: the chosen position, and all of its grants added up."""
+    funded = F.col("_finance")
+
+    def of_grants(column: str) -> Column:
+        return F.when(funded, F.col(column))
+
     amounts = [c for c in GRANT_COLUMNS + PAYMENT_COLUMNS if c.startswith(("montant", "versement"))]
-    has_v1 = F.bool_or(F.col("enveloppes").contains("V1"))
-    has_v2 = F.bool_or(F.col("enveloppes").contains("V2"))
-    return grants.groupBy(*PAIR).agg(
+    has_v1, has_v2 = (F.bool_or(of_grants("enveloppes").contains(v)) for v in ("V1", "V2"))
+    summed = rows.groupBy(*PAIR).agg(
+        _choice(),
+        F.bool_or("_finance").alias("_finance"),
         label_enveloppes(F.when(has_v1, F.lit(1)), F.when(has_v2, F.lit(1))).alias("enveloppes"),
-        F.max("date_fin_convention").alias("date_fin_convention"),
-        F.bool_or("is_territoire_prioritaire").alias("is_territoire_prioritaire"),
-        *[F.sum(c).alias(c) for c in amounts],
+        F.max(of_grants("date_fin_convention")).alias("date_fin_convention"),
+        F.bool_or(of_grants("is_territoire_prioritaire")).alias("is_territoire_prioritaire"),
+        *[F.sum(of_grants(c)).alias(c) for c in amounts],
     )
+    return summed.select(*PAIR, *[f"_poste.{c}" for c in POSTE], "_finance", *GRANT_COLUMNS, *PAYMENT_COLUMNS)
 
 
 def _grants_times_payments(grants: DataFrame) -> DataFrame:
@@ -125,19 +163,21 @@ def postes_synthese(poste: DataFrame, contrat: DataFrame, subvention: DataFrame,
     """Summary of positions: state, contracts, grants and payments per (position number, structure).
 
     A pair with n grants has n x n rows: grants and payments are joined to the pair
-    independently. ``collapse=True`` adds them up to one row per pair instead. Pairs
-    without a structure meet no grant and no contract.
+    independently. ``collapse=True`` adds them up to one row per pair instead, in a
+    single aggregate. Pairs without a structure meet no grant and no contract.
     """
-    postes = _chosen_postes(poste, contrat)
-    grants = grants_par_poste(subvention, poste).where("structure_id is not null and poste_conum_id is not null")
+    rows = _postes_with_grants(poste, contrat, subvention)
     if collapse:
-        joined = postes.join(_collapsed(grants), PAIR, "left")
+        joined = _per_pair(rows)
     else:
-        # The pair side has one row per pair and is the one repeated for a hot pair.
-        money = _grants_times_payments(grants)
-        funded = money.join(postes, PAIR)
-        unfunded = postes.join(grants.select(*PAIR).distinct(), PAIR, "left_anti")
-        joined = funded.unionByName(unfunded, allowMissingColumns=True)
+        # Read by three branches, so computed once and cut: each input is scanned once.
+        rows = cut(rows)
+        money = _grants_times_payments(rows.where("_finance"))
+        chosen = rows.groupBy(*PAIR).agg(_choice(), F.bool_or("_finance").alias("_finance"))
+        pairs = chosen.select(*PAIR, *[f"_poste.{c}" for c in POSTE], "_finance")
+        # One row per pair on the right: a hot pair is split on the side of the money.
+        funded = money.join(pairs.where("_finance"), PAIR)
+        joined = funded.unionByName(pairs.where("not _finance"), allowMissingColumns=True)
     zero = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in GRANT_COLUMNS + PAYMENT_COLUMNS}
     return joined.select(
         "poste_conum_id",
