@@ -72,10 +72,6 @@ def comparaison_territoriale(df: DataFrame, region: str, departement: str, sums:
     """
     local = df.groupBy(region, departement).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     by_region = local.groupBy(F.col(region).alias("_region")).agg(*[F.sum(n).alias(f"{n}_region") for n in sums])
-    nation = local.agg(*[F.sum(n).alias(f"{n}_nation") for n in sums])
-    # One row on the right, broadcast by Spark: a single aggregate without keys.
-    return (
-        local.join(by_region, F.col(region).eqNullSafe(F.col("_region")), "left")
-        .drop("_region")
-        .join(nation, how="left")
-    )
+    nation = local.agg(F.struct(*[F.sum(n).alias(f"{n}_nation") for n in sums])).scalar()
+    joined = local.join(by_region, F.col(region).eqNullSafe(F.col("_region")), "left").drop("_region")
+    return joined.withColumn("_nation", nation).select(*joined.columns, "_nation.*")
