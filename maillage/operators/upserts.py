@@ -18,15 +18,16 @@ def upsert(
     """Update rows of ``target`` by key and insert new keys; the newest update of a key wins.
 
     ``order_col`` is a column of ``updates`` that orders repeats of one key. A key with a
-    NULL part equals nothing: such updates are all inserted. With ``now``, ``stamp`` is
-    set on the rows an update really changed.
+    NULL part equals nothing: such rows of either side pass by the join, where they would
+    all meet in one task, and such updates are inserted. With ``now``, ``stamp`` is set
+    on the rows an update really changed.
     """
     whole_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     columns = target.columns
     values = [c for c in columns if c not in keys]
     newest = first_row_per_key(updates.where(whole_key), keys, [F.col(order_col).desc_nulls_last()]).select(*columns)
     new = newest.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in values], F.lit(True).alias("_new"))
-    old = target.withColumn("_old", F.lit(True))
+    old = target.where(whole_key).withColumn("_old", F.lit(True))
     joined = old.join(new, list(keys), "full_outer")
     compared = [c for c in values if c != stamp]
     changed = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_n_{c}")) for c in compared], F.lit(False))
@@ -35,7 +36,7 @@ def upsert(
         updated = F.coalesce(F.col("_new") & F.col("_old"), F.lit(False))
         out[stamp] = F.when(updated, F.when(changed, now).otherwise(F.col(stamp))).otherwise(out[stamp])
     merged = joined.select(*[out[c].alias(c) if c in out else F.col(c) for c in columns])
-    return merged.unionByName(updates.where(~whole_key).select(*columns))
+    return merged.unionByName(target.where(~whole_key)).unionByName(updates.where(~whole_key).select(*columns))
 
 
 def stamp_updated_at(before: DataFrame, after: DataFrame, key: str, now: Column, stamp: str = "updated_at") -> DataFrame:

@@ -29,6 +29,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str = "maillage", master: str | None = None, **options: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
+    # Rounds that were cut are removed once nothing refers to them.
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
     for key, value in options.items():

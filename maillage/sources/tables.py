@@ -9,6 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maillage.functions import departement_of_insee, periode_of_date
+
+# Derived columns per table: name -> (source column, rule).
+GENERATED = {
+    "main.adresse": {"departement": ("code_insee", departement_of_insee)},
+    "main.activites_coop": {"periode": ("date", periode_of_date)},
+}
+
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Table ``schema.name`` from ``root/schema/name`` (Parquet)."""
@@ -29,6 +37,27 @@ def read_jdbc_table(
     )
 
 
+def with_generated_columns(df: DataFrame, table: str) -> DataFrame:
+    """Add the columns the model derives from others, so that filters on them reach the files."""
+    return df.withColumns({c: derive(F.col(source)) for c, (source, derive) in GENERATED.get(table, {}).items() if source in df.columns})
+
+
+def write_table(df: DataFrame, root: str, table: str, partition_by: Sequence[str] = ()) -> str:
+    """Store ``schema.name`` with its generated columns; returns the path.
+
+    Activities are best stored by ``periode``: a query on some months then opens only
+    their folders. Rows are gathered by partition first, or every task would write a
+    file to every folder; the rebalance splits a month that holds very many rows.
+    """
+    schema, name = table.split(".", 1)
+    path = f"{root.rstrip('/')}/{schema}/{name}"
+    out = with_generated_columns(df, table)
+    if partition_by:
+        out = out.hint("rebalance", *[F.col(c) for c in partition_by])
+    out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return path
+
+
 def select_tables(inventory: DataFrame, include: Sequence[str], exclude: Sequence[str], name: str = "table_name") -> DataFrame:
     """Names matched by an include pattern (``admin.*``) and not excluded by name.
 

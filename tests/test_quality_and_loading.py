@@ -210,5 +210,17 @@ def test_tables_are_found_by_name(spark):
     assert tables.read_table(spark, root, "main.poste").count() == 4
 
 
+def test_months_are_folders(spark):
+    root = scratch_path(spark, "months")
+    rows = spark.createDataFrame([(date(2024, 1, 5), 1), (date(2024, 1, 31), 2), (date(2024, 2, 1), 3)], "date date, duree int")
+    path = tables.write_table(rows, root, "main.activites_coop", ["periode"])
+    january = spark.read.parquet(path).where("periode = date'2024-01-01'")
+    assert {r["duree"] for r in january.collect()} == {1, 2}
+    plan = january._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(periode" in plan
+    adresse = tables.with_generated_columns(spark.createDataFrame([("97411",)], "code_insee string"), "main.adresse")
+    assert adresse.first()["departement"] == "974"
+
+
 def test_shared_folder_is_the_one_of_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
