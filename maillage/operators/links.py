@@ -10,8 +10,8 @@ match is made against one aggregated row per key, so no step lists pairs of rows
 ``now`` stamps ``updated_at`` on the rows a step changes.
 
 Internally the rows carry the winner they belong to (``_side``) and their part in the
-merge (``_part``: winner, loser, orphan). Only rows with a part are ever shuffled; a
-merge touches few structures, so most of the table passes by.
+merge (``_part``: winner, loser, orphan). The steps work on rows with a part only; a merge
+touches few structures, so most of the table passes by.
 """
 
 from __future__ import annotations
@@ -34,27 +34,45 @@ def _is(part: str) -> Column:
     return F.col("_part").eqNullSafe(part)
 
 
-def _annotate(links: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Add ``_side`` and ``_part``. An orphan has no structure but a loser's external id."""
-    ends = pairs.select(F.inline(F.array(
-        F.struct(F.col("winner_id").alias("_end"), F.col("winner_id").alias("_w"), F.lit("winner").alias("_p")),
-        F.struct(F.col("loser_id").alias("_end"), F.col("winner_id").alias("_w"), F.lit("loser").alias("_p")),
-    ))).distinct()
-    coops = pairs.where("loser_coop_id is not null").select(
-        F.col("loser_coop_id").alias("_coop"), F.col("winner_id").alias("_cw")
-    )
-    orphan = F.col("structure_id").isNull() & (F.col("structure_coop_id") == F.col("_coop"))
+def _ends(pairs: DataFrame) -> DataFrame:
+    """What a link is recognised by: the ids of winner and loser, and the loser's external id."""
+
+    def end(key: Column, part: str) -> Column:
+        return F.struct(key.alias("_key"), F.col("winner_id").alias("_side"), F.lit(part).alias("_part"))
+
     return (
-        links.join(ends, F.col("structure_id") == F.col("_end"), "left")
-        .join(coops, orphan, "left")
-        .withColumns({
-            "_side": F.coalesce("_w", "_cw"),
-            "_part": F.coalesce("_p", F.when(F.col("_coop").isNotNull(), F.lit("orphan"))),
-        })
-        .select(*links.columns, "_side", "_part")
+        pairs.select(F.inline(F.array(
+            end(_id_key(F.col("winner_id")), "winner"),
+            end(_id_key(F.col("loser_id")), "loser"),
+            end(_coop_key(F.col("loser_coop_id")), "orphan"),
+        )))
+        .where("_key is not null")
+        .distinct()
     )
 
 
+def _id_key(column: Column) -> Column:
+    return F.concat(F.lit("id "), column.cast("string"))
+
+
+def _coop_key(column: Column) -> Column:
+    return F.concat(F.lit("coop "), column.cast("string"))
+
+
+def _keyed(links: DataFrame) -> DataFrame:
+    """A link goes by its structure, or without one by its external id: one key, so one shuffle."""
+    return links.withColumn("_key", F.coalesce(_id_key(F.col("structure_id")), _coop_key(F.col("structure_coop_id"))))
+
+
+def _touched(links: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Links of a merge, with ``_side`` and ``_part``. An orphan has no structure but a loser's external id."""
+    return _keyed(links).join(_ends(pairs), "_key").select(*links.columns, "_side", "_part")
+
+
+def _untouched(links: DataFrame, pairs: DataFrame) -> DataFrame:
+    return _keyed(links).join(_ends(pairs).select("_key"), "_key", "left_anti").select(*links.columns)
+
+
 def _change(df: DataFrame, cond: Column, new: Mapping[str, Column], now: Column | None, keep: list[str]) -> DataFrame:
     new = dict(new)
     if now is not None and "updated_at" in keep:
@@ -122,24 +140,29 @@ def _attach(rows: DataFrame, now: Column | None) -> DataFrame:
     return _change(placed, _is("orphan") & ~F.col("_taken"), moved, now, rows.columns)
 
 
-def _close_dates(rows: DataFrame, others: DataFrame, closed: DataFrame, now: Column | None) -> DataFrame:
-    """``others`` holds every row of the table with a close date: any of them can block a date."""
+def _close_dates(
+    rows: DataFrame, table: DataFrame, closed: DataFrame, now: Column | None, outdated: DataFrame | None = None
+) -> DataFrame:
+    """Any closed row can block a date: those of ``rows``, and those of ``table`` but for the ids ``outdated``."""
     marked = null_safe_join(rows, closed, WHO, "left")
     marked = marked.withColumn(
         "_open", F.coalesce(_is("winner") & F.col("suppression").isNull() & F.col("_closed").isNotNull(), F.lit(False))
     )
     at_date = [*WHO, "_closed"]
-    already = rows.where(_is("winner") & F.col("suppression").isNotNull()).withColumn("_closed", F.col("suppression"))
+    is_closed = F.col("suppression").isNotNull()
+    already = rows.where(_is("winner") & is_closed).withColumn("_closed", F.col("suppression"))
     marked = flag_matches(marked, already, at_date, "_has_closed")
     fill = _gap_fill(marked.where("_open and _has_closed"), at_date).withColumnRenamed("_closed", "_at")
     marked = null_safe_join(marked.withColumn("_at", F.col("suppression")), fill, [*WHO, "_at"], "left")
 
-    # Only dates an open row would take are looked up among the other rows.
+    # Only the dates that open rows would take are looked up in the table.
     same = ["type", "_closed", *COOPS]
     wanted = marked.where("_open and not _has_closed").select(*same).distinct()
-    blocking = null_safe_join(
-        others.where("suppression is not null").withColumn("_closed", F.col("suppression")).select(*same), wanted, same, "left_semi"
-    )
+    dated = table.where(is_closed).withColumn("_closed", F.col("suppression")).select("id", *same)
+    blocking = null_safe_join(dated, wanted, same, "left_semi")
+    if outdated is not None:
+        blocking = blocking.join(outdated, "id", "left_anti")
+    blocking = blocking.select(*same).unionByName(rows.where(is_closed).withColumn("_closed", F.col("suppression")).select(*same))
     marked = flag_matches(marked, blocking, same, "_blocked")
 
     takes_ids = F.coalesce("_filled", F.lit(False)) & F.col("suppression").isNotNull() & _is("winner")
@@ -180,9 +203,7 @@ def _closed(rows: DataFrame) -> DataFrame:
 
 
 def _alone(step: Callable, links: DataFrame, pairs: DataFrame, now: Column | None) -> DataFrame:
-    rows = _annotate(links, pairs)
-    touched = step(rows.where("_part is not null"), now)
-    return rows.where("_part is null").unionByName(touched).select(*links.columns)
+    return _untouched(links, pairs).unionByName(step(_touched(links, pairs), now).select(*links.columns))
 
 
 def links_collision_null(links: DataFrame, pairs: DataFrame, now: Column | None = None) -> DataFrame:
@@ -212,7 +233,7 @@ def links_attach_orphans(links: DataFrame, pairs: DataFrame, now: Column | None
 
 def closed_of_losers(links: DataFrame, pairs: DataFrame) -> DataFrame:
     """Close dates to remember before the losers' rows are folded: latest per (winner, person, type)."""
-    return _closed(_annotate(links, pairs))
+    return _closed(_touched(links, pairs))
 
 
 def links_keep_close_dates(links: DataFrame, pairs: DataFrame, closed: DataFrame, now: Column | None = None) -> DataFrame:
@@ -236,22 +257,21 @@ def links_dedupe_guard(links: DataFrame, pairs: DataFrame, now: Column | None =
     Rows with a structure come first, then the smallest id. Groups without a structure
     id have nothing to lose and are left out.
     """
-    return _guard(_annotate(links, pairs), now).select(*links.columns)
+    rows = _untouched(links, pairs).unionByName(_touched(links, pairs), allowMissingColumns=True)
+    return _guard(rows, now).select(*links.columns)
 
 
 def merge_links(links: DataFrame, pairs: DataFrame, now: Column | None = None) -> DataFrame:
     """All steps in their order, on the rows that take part.
 
     Every step reads its input more than once, so each result is cut; what is written
-    are the rows of the merged structures and never the whole table.
+    are the rows of the merged structures and never the whole table. The whole table is
+    shuffled three times: to find those rows, to look up close dates, to put it together.
     """
-    everything = _annotate(links, pairs)
-    rest = everything.where("_part is null")
-    rows = cut(everything.where("_part is not null"))
+    first = rows = cut(_touched(links, pairs))
     closed = _closed(rows)
     for step in (_collision, _orphan_collision, _fold, _repoint, _attach):
         rows = cut(step(rows, now))
-    others = rest.unionByName(rows)
-    rows = cut(_close_dates(rows, others, closed, now))
+    rows = cut(_close_dates(rows, links, closed, now, first.select("id")))
     rows = cut(_collapse(rows, now))
-    return _guard(rest.unionByName(rows), now).select(*links.columns)
+    return _guard(_untouched(links, pairs).unionByName(rows, allowMissingColumns=True), now).select(*links.columns)

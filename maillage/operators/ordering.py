@@ -34,7 +34,7 @@ def neutralise_rest(
 
     The keeper is found with an aggregate that combines on the map side and is joined
     back, so no group is ever gathered in one task. ``order`` are ascending expressions
-    and ``id_col`` settles ties. With ``now``, ``updated_at`` is set on the rows changed.
+    and ``id_col`` settles ties. Rows outside ``where`` pass by the join. With ``now``, ``updated_at`` is set on the rows changed.
     """
     scope = df if where is None else df.where(where)
     keepers = (
@@ -44,13 +44,13 @@ def neutralise_rest(
         .where("_n > 1")
         .select(*keys, F.col("_first.id").alias("_kept"))
     )
-    joined = null_safe_join(df, keepers, keys, "left")
-    in_scope = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-    loses = in_scope & F.col("_kept").isNotNull() & (F.col(id_col) != F.col("_kept"))
+    joined = null_safe_join(scope, keepers, keys, "left")
+    loses = F.col("_kept").isNotNull() & (F.col(id_col) != F.col("_kept"))
     new = {c: F.when(~loses, F.col(c)) for c in columns}
     if now is not None and "updated_at" in df.columns:
         new["updated_at"] = F.when(loses, now).otherwise(F.col("updated_at"))
-    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
+    out = joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
+    return out if where is None else out.unionByName(df.where(~F.coalesce(where, F.lit(False))))
 
 
 def top_k(df: DataFrame, measure: str, key: str, k: int) -> DataFrame:
