@@ -8,23 +8,49 @@ No side is broadcast by hint: Spark broadcasts what it has measured to be small.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _stand_in(kind: T.DataType) -> Column:
+    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
+        return F.lit("")
+    if isinstance(kind, T.NumericType):
+        return F.lit(0).cast(kind)
+    if isinstance(kind, T.BooleanType):
+        return F.lit(False)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(kind)
+    raise TypeError(f"no key type: {kind.simpleString()}")
+
+
+def null_free(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Add two columns per key that are never NULL: the value, and whether it is absent.
+
+    Grouping and joining on these treats NULL as equal to NULL with plain equality, so
+    an aggregate and the join that follows it share one partitioning.
+    """
+    columns = {}
+    for k in keys:
+        columns[f"_v_{k}"] = F.coalesce(F.col(k), _stand_in(df.schema[k].dataType))
+        columns[f"_a_{k}"] = F.col(k).isNull()
+    return df.withColumns(columns), list(columns)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on keys where NULL equals NULL; the key columns of ``left`` are kept."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    on = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys])
-    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+    keyed, names = null_free(left, keys)
+    other, _ = null_free(right, keys)
+    return keyed.join(other.drop(*keys), names, how).drop(*names)
 
 
 def flag_matches(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Boolean column: does a row with the same (null-safe) keys exist in ``keys_df``."""
-    found = keys_df.select(*keys).distinct().withColumn(flag, F.lit(True))
-    return null_safe_join(df, found, keys, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    keyed, names = null_free(df, keys)
+    found = null_free(keys_df.select(*keys), keys)[0].select(*names).distinct().withColumn(flag, F.lit(True))
+    return keyed.join(found, names, "left").drop(*names).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def delete_using(df: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:

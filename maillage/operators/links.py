@@ -21,7 +21,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maillage.operators.joins import flag_matches, null_safe_join
+from maillage.operators.joins import flag_matches, null_free, null_safe_join
 from maillage.operators.ordering import neutralise_rest
 from maillage.session import cut
 
@@ -85,12 +85,9 @@ def _no_coops(rows: DataFrame) -> dict[str, Column]:
     return {c: F.lit(None).cast(rows.schema[c].dataType) for c in COOPS}
 
 
-def _gap_fill(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key: for either external id, the value of the smallest row id that has one."""
-    return rows.groupBy(*keys).agg(
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("id"))).alias(f"_f_{c}") for c in COOPS],
-        F.lit(True).alias("_filled"),
-    )
+def _gap_fill(offers: Column) -> list[Column]:
+    """For either external id, the value of the smallest row id that has one, among the rows in ``offers``."""
+    return [F.min_by(c, F.when(offers & F.col(c).isNotNull(), F.col("id"))).alias(f"_f_{c}") for c in COOPS]
 
 
 def _filled() -> dict[str, Column]:
@@ -111,17 +108,15 @@ def _orphan_collision(rows: DataFrame, now: Column | None) -> DataFrame:
 
 def _fold(rows: DataFrame, now: Column | None) -> DataFrame:
     # One aggregate finds the keys that both sides hold, and what the loser's rows offer.
-    usable = {c: F.when(_is("loser") & F.col(c).isNotNull(), F.col("id")) for c in COOPS}
+    keyed, date_key = null_free(rows, ["suppression"])
+    slot = [*WHO, *date_key]
     matched = (
-        rows.where(_is("winner") | _is("loser"))
-        .groupBy(*SLOT)
-        .agg(
-            F.bool_or(_is("winner")).alias("_w"), F.bool_or(_is("loser")).alias("_l"),
-            *[F.min_by(c, order).alias(f"_f_{c}") for c, order in usable.items()],
-        )
+        keyed.where(_is("winner") | _is("loser"))
+        .groupBy(*slot)
+        .agg(F.bool_or(_is("winner")).alias("_w"), F.bool_or(_is("loser")).alias("_l"), *_gap_fill(_is("loser")))
         .where("_w and _l")
     )
-    joined = null_safe_join(rows, matched, SLOT, "left")
+    joined = keyed.join(matched, slot, "left")
     hit = F.col("_w").isNotNull()
     return _change(joined.where(~(hit & _is("loser"))), hit & _is("winner"), _filled(), now, rows.columns)
 
@@ -144,28 +139,31 @@ def _close_dates(
     rows: DataFrame, table: DataFrame, closed: DataFrame, now: Column | None, outdated: DataFrame | None = None
 ) -> DataFrame:
     """Any closed row can block a date: those of ``rows``, and those of ``table`` but for the ids ``outdated``."""
-    marked = null_safe_join(rows, closed, WHO, "left")
-    marked = marked.withColumn(
-        "_open", F.coalesce(_is("winner") & F.col("suppression").isNull() & F.col("_closed").isNotNull(), F.lit(False))
+    # Everything about one (winner, person, type) is found on one partitioning of the rows.
+    dated = rows.join(closed, WHO, "left")
+    is_open, is_closed = F.col("suppression").isNull(), F.col("suppression").isNotNull()
+    at_date = F.col("suppression") == F.col("_closed")
+    facts = (
+        dated.where(_is("winner") & F.col("_closed").isNotNull())
+        .groupBy(*WHO)
+        .agg(F.bool_or(at_date).alias("_has_closed"), F.bool_or(is_open).alias("_has_open"), *_gap_fill(is_open))
     )
-    at_date = [*WHO, "_closed"]
-    is_closed = F.col("suppression").isNotNull()
-    already = rows.where(_is("winner") & is_closed).withColumn("_closed", F.col("suppression"))
-    marked = flag_matches(marked, already, at_date, "_has_closed")
-    fill = _gap_fill(marked.where("_open and _has_closed"), at_date).withColumnRenamed("_closed", "_at")
-    marked = null_safe_join(marked.withColumn("_at", F.col("suppression")), fill, [*WHO, "_at"], "left")
+    marked = dated.join(facts, WHO, "left").withColumns({
+        "_open": _is("winner") & is_open & F.col("_closed").isNotNull(),
+        "_has_closed": F.coalesce("_has_closed", F.lit(False)),
+    })
 
     # Only the dates that open rows would take are looked up in the table.
     same = ["type", "_closed", *COOPS]
     wanted = marked.where("_open and not _has_closed").select(*same).distinct()
-    dated = table.where(is_closed).withColumn("_closed", F.col("suppression")).select("id", *same)
-    blocking = null_safe_join(dated, wanted, same, "left_semi")
+    candidates = table.where(is_closed).withColumn("_closed", F.col("suppression")).select("id", *same)
+    blocking = null_safe_join(candidates, wanted, same, "left_semi")
     if outdated is not None:
         blocking = blocking.join(outdated, "id", "left_anti")
     blocking = blocking.select(*same).unionByName(rows.where(is_closed).withColumn("_closed", F.col("suppression")).select(*same))
     marked = flag_matches(marked, blocking, same, "_blocked")
 
-    takes_ids = F.coalesce("_filled", F.lit(False)) & F.col("suppression").isNotNull() & _is("winner")
+    takes_ids = F.coalesce(_is("winner") & at_date & F.col("_has_open"), F.lit(False))
     takes_date = F.col("_open") & ~F.col("_blocked")
     new = {
         **{c: F.when(takes_ids, F.coalesce(c, f"_f_{c}")).otherwise(F.col(c)) for c in COOPS},
@@ -177,14 +175,10 @@ def _close_dates(
 
 def _collapse(rows: DataFrame, now: Column | None) -> DataFrame:
     is_open = F.col("suppression").isNull()
-    usable = {c: F.when(is_open & F.col(c).isNotNull(), F.col("id")) for c in COOPS}
     matched = (
         rows.where(_is("winner"))
         .groupBy(*WHO)
-        .agg(
-            F.bool_or(is_open).alias("_o"), F.bool_or(~is_open).alias("_c"),
-            *[F.min_by(c, order).alias(f"_f_{c}") for c, order in usable.items()],
-        )
+        .agg(F.bool_or(is_open).alias("_o"), F.bool_or(~is_open).alias("_c"), *_gap_fill(is_open))
         .where("_o and _c")
     )
     joined = rows.join(matched, WHO, "left")

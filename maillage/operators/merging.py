@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from maillage.functions import array_union_clean, empty_json_to_null, greatest_floor
 from maillage.operators.components import drop_losers, remap_ids
-from maillage.operators.joins import null_safe_join
+from maillage.operators.joins import null_free
 
 # Columns a merge fills on the survivor.
 PERSON_GAPS = (
@@ -91,21 +91,22 @@ def merge_personne_links(links: DataFrame, mapping: DataFrame) -> DataFrame:
     Links repeat on (structure, type, close date), open dates being equal and absent
     structures never equal. Among absorbed persons the smallest id keeps the link.
     """
-    keys = ["_person", "structure_id", "type", "suppression"]
     roots = mapping.select(F.col("id").alias("_id"), F.col("root_id").alias("_root"))
     placed = links.join(roots, F.col("personne_id") == F.col("_id"), "left").withColumn(
         "_person", F.coalesce("_root", "personne_id")
     )
+    placed, date_key = null_free(placed, ["suppression"])
+    keys = ["_person", "structure_id", "type", *date_key]
     survivors = mapping.select(F.col("root_id").alias("_person")).distinct()
-    # Only groups of a survivor can hold a repeat. One row per key, combined on the map side:
-    # the owner a repeat gives way to. A survivor's own rows come before any absorbed id.
+    # Only links of a survivor can repeat. One row per key, combined on the map side, tells
+    # whom a repeat gives way to: the survivor's own link, else the smallest absorbed id.
     owners = (
         placed.where("structure_id is not null")
         .join(survivors, "_person", "left_semi")
         .groupBy(*keys)
         .agg(F.bool_or(F.col("_root").isNull()).alias("_own"), F.min(F.when(F.col("_root").isNotNull(), F.col("personne_id"))).alias("_first"))
     )
-    joined = null_safe_join(placed, owners, keys, "left")
+    joined = placed.join(owners, keys, "left")
     repeated = F.col("_root").isNotNull() & F.col("_own").isNotNull() & (
         F.col("_own") | (F.col("personne_id") != F.col("_first"))
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from maillage.operators.joins import null_safe_join
+from maillage.operators.joins import null_free
 
 
 def first_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -36,15 +36,17 @@ def neutralise_rest(
     back, so no group is ever gathered in one task. ``order`` are ascending expressions
     and ``id_col`` settles ties. Rows outside ``where`` pass by the join. With ``now``, ``updated_at`` is set on the rows changed.
     """
-    scope = df if where is None else df.where(where)
+    scope, names = null_free(df if where is None else df.where(where), keys)
     keepers = (
-        scope.groupBy(*keys)
-        .agg(F.min(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.col(id_col).alias("id"))).alias("_first"),
-             F.count("*").alias("_n"))
+        scope.groupBy(*names)
+        .agg(
+            F.min(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.col(id_col).alias("id"))).alias("_first"),
+            F.count("*").alias("_n"),
+        )
         .where("_n > 1")
-        .select(*keys, F.col("_first.id").alias("_kept"))
+        .select(*names, F.col("_first.id").alias("_kept"))
     )
-    joined = null_safe_join(scope, keepers, keys, "left")
+    joined = scope.join(keepers, names, "left")
     loses = F.col("_kept").isNotNull() & (F.col(id_col) != F.col("_kept"))
     new = {c: F.when(~loses, F.col(c)) for c in columns}
     if now is not None and "updated_at" in df.columns:
