@@ -68,7 +68,7 @@ def _(t):
     # "Another row with the same key" is a count of the key, not a comparison of rows with each other.
     key = ["poste_conum_id", "structure_id", "date_attribution"]
     repeated = t.a_poste.dropna(subset=key).groupBy(*key).agg(F.count_distinct("id").alias("n")).where("n > 1")
-    return t.a_poste.join(repeated, key, "left_semi").select("id")
+    return joins.join_unique(t.a_poste, repeated, key, "left_semi").select("id")
 
 
 @check("filter_regex", "select id, siret from a_structure where regexp_matches(siret, '^[0-9]{14}$') and regexp_matches(siret, '7$')")
@@ -139,14 +139,14 @@ def _(t):
 @check("join_semi", """
     select id from a_personne p where exists (select 1 from a_emploi e where e.personne_id = p.id and e.est_active)""")
 def _(t):
-    active = t.a_emploi.where("est_active").select(F.col("personne_id").alias("id"))
+    active = t.a_emploi.where("est_active").select(F.col("personne_id").alias("id")).distinct()
     return t.a_personne.join(active, "id", "left_semi").select("id")
 
 
 @check("join_anti", """
     select id from a_personne p where not exists (select 1 from a_emploi e where e.personne_id = p.id and e.source = 'min')""")
 def _(t):
-    other = t.a_emploi.where("source = 'min'").select(F.col("personne_id").alias("id"))
+    other = t.a_emploi.where("source = 'min'").select(F.col("personne_id").alias("id")).distinct()
     return t.a_personne.join(other, "id", "left_anti").select("id")
 
 
@@ -214,7 +214,7 @@ def _(t):
 def _(t):
     who = ["structure_id", "personne_id", "type"]
     active = t.a_links.where("suppression is null").groupBy(*who).agg(F.min("id").alias("active_id"))
-    return t.a_links.where("suppression is not null").join(active, who).select(F.col("id").alias("closed_id"), "active_id")
+    return joins.join_unique(t.a_links.where("suppression is not null"), active, who, "inner").select(F.col("id").alias("closed_id"), "active_id")
 
 
 @check("delete_using", """
@@ -271,7 +271,7 @@ def _(t):
     candidates = t.a_commune.groupBy(F.lpad(F.col("departement_id").cast("string"), 5, "3").alias("code_postal")).agg(
         F.count("*").alias("nb_communes")
     )
-    return t.a_adresse.join(candidates, "code_postal").select("id", "nb_communes")
+    return joins.join_unique(t.a_adresse, candidates, ["code_postal"], "inner").select("id", "nb_communes")
 
 
 @check("join_legacy_mapping", """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maillage.operators.joins import join_unique
 from maillage.session import cut
 
 
@@ -33,11 +34,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = (
-            both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            join_unique(both.where("b > a"), lowest, ["a"], "inner").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         )
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
-            large.join(least, "a")
+            join_unique(large, least, ["a"], "inner")
             .select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
             .distinct()
         )
@@ -72,7 +73,7 @@ def resolve_merge_pairs(pairs: DataFrame) -> DataFrame:
         F.coalesce(F.min(F.when(F.col("_loses").isNull(), F.col("node"))), F.min("node")).alias("root_id")
     )
     return (
-        groups.join(chosen, "root")
+        join_unique(groups, chosen, ["root"], "inner")
         .where("node <> root_id")
         .select(F.col("node").alias("id"), "root_id")
     )
@@ -80,8 +81,8 @@ def resolve_merge_pairs(pairs: DataFrame) -> DataFrame:
 
 def remap_ids(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     """Point a reference at the surviving id; other values, and NULL, stay."""
-    targets = mapping.select(F.col("id").alias("_id"), F.col("root_id").alias("_root"))
-    joined = df.join(targets, F.col(column) == F.col("_id"), "left")
+    targets = mapping.select(F.col("id").alias(column), F.col("root_id").alias("_root"))
+    joined = join_unique(df, targets, [column], "left")
     return joined.select(*[F.coalesce("_root", column).alias(c) if c == column else F.col(c) for c in df.columns])
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maillage.operators.components import connected_components
-from maillage.operators.joins import null_free, null_safe_join
+from maillage.operators.joins import join_unique, null_safe_join
 
 
 def duplicate_mapping(df: DataFrame, key: Mapping[str, Column], id_col: str = "id") -> DataFrame:
@@ -17,9 +17,9 @@ def duplicate_mapping(df: DataFrame, key: Mapping[str, Column], id_col: str = "i
     The kept id is an aggregate joined back, not a window, so a key shared by very many
     rows is split over tasks.
     """
-    keyed, names = null_free(df.select(F.col(id_col).alias("id"), *[c.alias(k) for k, c in key.items()]), list(key))
-    kept = keyed.groupBy(*names).agg(F.min("id").alias("kept_id"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    return keyed.join(kept, names).where("id <> kept_id").select("id", "kept_id")
+    keyed = df.select(F.col(id_col).alias("id"), *[c.alias(k) for k, c in key.items()])
+    kept = keyed.groupBy(*key).agg(F.min("id").alias("kept_id"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    return null_safe_join(keyed, kept, list(key), "inner").where("id <> kept_id").select("id", "kept_id")
 
 
 def dedupe_adresse(adresse: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def dedupe_personne_ids(personne: DataFrame, kinds: Sequence[str]) -> DataFrame:
         F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("value")) for k in kinds
     ]))).where("value is not null")
     first = held.groupBy("kind", "value").agg(F.min("id").alias("first"))
-    edges = held.join(first, ["kind", "value"]).where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    edges = join_unique(held, first, ["kind", "value"], "inner").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     return connected_components(edges).where("node <> root").select(F.col("node").alias("id"), F.col("root").alias("kept_id"))
 
 

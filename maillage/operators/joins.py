@@ -1,8 +1,8 @@
 """Joins that carry a rule of their own. Plain equi-joins are left to ``DataFrame.join``.
 
 Throughout, the side that may hold a hot key is on the left and the right side has
-one row per key, so adaptive execution can split the hot key over many tasks.
-No side is broadcast by hint: Spark broadcasts what it has measured to be small.
+one row per key, so adaptive execution can split the hot key over many tasks
+(see ``join_unique``). No side is broadcast by hint: Spark broadcasts what it has measured to be small.
 """
 
 from __future__ import annotations
@@ -26,36 +26,39 @@ def _stand_in(kind: T.DataType) -> Column:
     raise TypeError(f"no key type: {kind.simpleString()}")
 
 
-def null_free(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Add two columns per key that are never NULL: the value, and whether it is absent.
+def join_unique(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, nulls_equal: bool = False
+) -> DataFrame:
+    """Join to a side that was aggregated to one row per key, with hot keys on the left.
 
-    Grouping and joining on these treats NULL as equal to NULL with plain equality, so
-    an aggregate and the join that follows it share one partitioning.
+    The join runs on columns derived from the keys: the value without NULL, and whether
+    it is absent. This has two uses. NULL can equal NULL under plain equality. And
+    Spark shuffles the aggregated side once more instead of joining it where it was
+    aggregated; adaptive execution splits a hot key only between two plain shuffles, so
+    without that small extra shuffle a hot key on the left would stay in one task.
     """
     columns = {}
     for k in keys:
-        columns[f"_v_{k}"] = F.coalesce(F.col(k), _stand_in(df.schema[k].dataType))
+        columns[f"_v_{k}"] = F.coalesce(F.col(k), _stand_in(left.schema[k].dataType))
         columns[f"_a_{k}"] = F.col(k).isNull()
-    return df.withColumns(columns), list(columns)
+    other = right if nulls_equal else right.dropna(subset=list(keys))
+    return left.withColumns(columns).join(other.withColumns(columns).drop(*keys), list(columns), how).drop(*columns)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on keys where NULL equals NULL; the key columns of ``left`` are kept."""
-    keyed, names = null_free(left, keys)
-    other, _ = null_free(right, keys)
-    return keyed.join(other.drop(*keys), names, how).drop(*names)
+    return join_unique(left, right, keys, how, nulls_equal=True)
 
 
 def flag_matches(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Boolean column: does a row with the same (null-safe) keys exist in ``keys_df``."""
-    keyed, names = null_free(df, keys)
-    found = null_free(keys_df.select(*keys), keys)[0].select(*names).distinct().withColumn(flag, F.lit(True))
-    return keyed.join(found, names, "left").drop(*names).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    found = keys_df.select(*keys).distinct().withColumn(flag, F.lit(True))
+    return null_safe_join(df, found, keys, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def delete_using(df: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` without a match in ``doomed``; a NULL key never matches."""
-    return df.join(doomed.select(*keys).distinct(), list(keys), "left_anti")
+    return join_unique(df, doomed.select(*keys).distinct(), keys, "left_anti")
 
 
 def update_from(df: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -103,13 +106,13 @@ def resolve_insee_history(history: DataFrame, hops: int = 5) -> DataFrame:
         )
     current = current.distinct()
     width = current.groupBy("code_insee_ancien").agg(F.count("*").alias("nb_codes"))
-    return current.join(width, "code_insee_ancien")
+    return join_unique(current, width, ["code_insee_ancien"], "inner")
 
 
 def join_insee_history(df: DataFrame, history: DataFrame, code: str = "code_insee", hops: int = 5) -> DataFrame:
     """Add the current code and the number of codes the old one was split into (1 if unchanged)."""
-    current = resolve_insee_history(history, hops).withColumnRenamed("code_insee_ancien", "_old")
-    return df.join(current, F.col(code) == F.col("_old"), "left").select(
+    current = resolve_insee_history(history, hops).withColumnRenamed("code_insee_ancien", code)
+    return join_unique(df, current, [code], "left").select(
         *df.columns,
         F.coalesce("code_insee_nouveau", code).alias("code_insee_actuel"),
         F.coalesce("nb_codes", F.lit(1)).alias("nb_codes_actuels"),
@@ -123,14 +126,11 @@ def join_legacy_mapping(legacy: DataFrame, entities: DataFrame) -> DataFrame:
     its SIRET, where the smallest entity id stands for the SIRET.
     """
     direct = entities.where("old_main_structure_id is not null").select(
-        F.col("old_main_structure_id").alias("_old"), F.col("id").alias("_direct")
-    )
-    by_siret = entities.where("siret is not null").groupBy(F.col("siret").alias("_siret")).agg(F.min("id").alias("_by_siret"))
-    return (
-        legacy.join(direct, F.col("id") == F.col("_old"), "left")
-        .join(by_siret, F.col("siret") == F.col("_siret"), "left")
-        .select(*[legacy[c] for c in legacy.columns], F.coalesce("_direct", "_by_siret").alias("structure_administrative_id"))
+        F.col("old_main_structure_id").alias("id"), F.col("id").alias("_direct")
     )
+    by_siret = entities.where("siret is not null").groupBy("siret").agg(F.min("id").alias("_by_siret"))
+    found = join_unique(legacy.join(direct, "id", "left"), by_siret, ["siret"], "left")
+    return found.select(*legacy.columns, F.coalesce("_direct", "_by_siret").alias("structure_administrative_id"))
 
 
 def existence_flags(df: DataFrame, links: DataFrame, key: str, flags: Mapping[str, Column]) -> DataFrame:
@@ -139,5 +139,5 @@ def existence_flags(df: DataFrame, links: DataFrame, key: str, flags: Mapping[st
     All conditions share one aggregate that combines on the map side.
     """
     found = links.groupBy(key).agg(*[F.bool_or(cond).alias(name) for name, cond in flags.items()])
-    joined = df.join(found, key, "left")
+    joined = join_unique(df, found, [key], "left")
     return joined.select(*df.columns, *[F.coalesce(name, F.lit(False)).alias(name) for name in flags])

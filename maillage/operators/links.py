@@ -21,7 +21,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maillage.operators.joins import flag_matches, null_free, null_safe_join
+from maillage.operators.joins import flag_matches, join_unique, null_safe_join
 from maillage.operators.ordering import neutralise_rest
 from maillage.session import cut
 
@@ -108,15 +108,13 @@ def _orphan_collision(rows: DataFrame, now: Column | None) -> DataFrame:
 
 def _fold(rows: DataFrame, now: Column | None) -> DataFrame:
     # One aggregate finds the keys that both sides hold, and what the loser's rows offer.
-    keyed, date_key = null_free(rows, ["suppression"])
-    slot = [*WHO, *date_key]
     matched = (
-        keyed.where(_is("winner") | _is("loser"))
-        .groupBy(*slot)
+        rows.where(_is("winner") | _is("loser"))
+        .groupBy(*SLOT)
         .agg(F.bool_or(_is("winner")).alias("_w"), F.bool_or(_is("loser")).alias("_l"), *_gap_fill(_is("loser")))
         .where("_w and _l")
     )
-    joined = keyed.join(matched, slot, "left")
+    joined = null_safe_join(rows, matched, SLOT, "left")
     hit = F.col("_w").isNotNull()
     return _change(joined.where(~(hit & _is("loser"))), hit & _is("winner"), _filled(), now, rows.columns)
 
@@ -139,8 +137,7 @@ def _close_dates(
     rows: DataFrame, table: DataFrame, closed: DataFrame, now: Column | None, outdated: DataFrame | None = None
 ) -> DataFrame:
     """Any closed row can block a date: those of ``rows``, and those of ``table`` but for the ids ``outdated``."""
-    # Everything about one (winner, person, type) is found on one partitioning of the rows.
-    dated = rows.join(closed, WHO, "left")
+    dated = join_unique(rows, closed, WHO, "left")
     is_open, is_closed = F.col("suppression").isNull(), F.col("suppression").isNotNull()
     at_date = F.col("suppression") == F.col("_closed")
     facts = (
@@ -148,7 +145,7 @@ def _close_dates(
         .groupBy(*WHO)
         .agg(F.bool_or(at_date).alias("_has_closed"), F.bool_or(is_open).alias("_has_open"), *_gap_fill(is_open))
     )
-    marked = dated.join(facts, WHO, "left").withColumns({
+    marked = join_unique(dated, facts, WHO, "left").withColumns({
         "_open": _is("winner") & is_open & F.col("_closed").isNotNull(),
         "_has_closed": F.coalesce("_has_closed", F.lit(False)),
     })
@@ -181,7 +178,7 @@ def _collapse(rows: DataFrame, now: Column | None) -> DataFrame:
         .agg(F.bool_or(is_open).alias("_o"), F.bool_or(~is_open).alias("_c"), *_gap_fill(is_open))
         .where("_o and _c")
     )
-    joined = rows.join(matched, WHO, "left")
+    joined = join_unique(rows, matched, WHO, "left")
     hit = F.col("_o").isNotNull() & _is("winner")
     return _change(joined.where(~(hit & is_open)), hit, _filled(), now, rows.columns)
 

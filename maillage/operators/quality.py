@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maillage import model
+from maillage.operators.joins import join_unique
 
 
 def _holds(rule: Column) -> Column:
@@ -133,10 +134,10 @@ def cascade_delete(child: DataFrame, column: str, gone: DataFrame, gone_column:
     """
     keys = gone.select(F.col(gone_column).alias(column)).distinct()
     if on_delete == "CASCADE":
-        return child.join(keys, column, "left_anti").select(*child.columns)
+        return join_unique(child, keys, [column], "left_anti")
     if on_delete == "SET NULL":
-        hit = child.join(keys.withColumn("_gone", F.lit(True)), column, "left")
+        hit = join_unique(child, keys.withColumn("_gone", F.lit(True)), [column], "left")
         return hit.select(*[F.when(F.col("_gone").isNull(), F.col(c)).alias(c) if c == column else F.col(c) for c in child.columns])
     if on_delete in ("RESTRICT", "NO ACTION"):
-        return child.join(keys, column, "left_semi").select(*child.columns)
+        return join_unique(child, keys, [column], "left_semi")
     raise ValueError(f"unknown rule: {on_delete}")

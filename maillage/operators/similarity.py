@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maillage.functions import trigram_code, trigram_similarity, trigrams
+from maillage.operators.joins import join_unique
 from maillage.session import cut
 
 DEFAULT_THRESHOLD = "0.3"  # fixed value: usual trigram threshold of PostgreSQL
@@ -35,7 +36,7 @@ def fuzzy_name_pairs(people: DataFrame, name: str, threshold: str = DEFAULT_THRE
     rarity = occurrences.groupBy("gram").agg(F.count("*").alias("df"))
     # A name has as many trigrams as letters, so gathering those of one name is bounded.
     ranked = cut(
-        occurrences.join(rarity, "gram")
+        join_unique(occurrences, rarity, ["gram"], "inner")
         .groupBy("nom", "id", "nb")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("grams"))
         .withColumn("n", F.size("grams"))

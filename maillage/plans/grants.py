@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maillage.functions import label_enveloppes, net_v2, zero_if_null
+from maillage.operators.joins import join_unique
 from maillage.session import cut
 
 PAIR = ["poste_conum_id", "structure_id"]
@@ -36,7 +37,7 @@ def _postes_with_contracts(poste: DataFrame, contrat: DataFrame) -> DataFrame:
     Contracts are aggregated before they meet the positions, so the join does not fan
     out and serves the choice, the number in force and the last end date at once.
     """
-    return poste.join(contrats_par_personne(contrat), ["personne_id", "structure_id"], "left")
+    return join_unique(poste, contrats_par_personne(contrat), ["personne_id", "structure_id"], "left")
 
 
 def _choice() -> Column:
@@ -115,69 +116,51 @@ def versements_cumules(subvention: DataFrame, poste: DataFrame) -> DataFrame:
     return grants_par_poste(subvention, poste).select(*PAIR, *PAYMENT_COLUMNS)
 
 
-def _postes_with_grants(poste: DataFrame, contrat: DataFrame, subvention: DataFrame) -> DataFrame:
-    """Positions with contract facts, beside each of their grants (``_finance`` tells whether there is one).
-
-    Grants of a position without a pair of keys meet nothing in the summary.
-    """
-    grants = subvention.select(F.col("poste_id").alias("id"), *_amounts(), F.lit(True).alias("_finance"))
-    joined = _postes_with_contracts(poste, contrat).join(grants, "id", "left")
-    paired = F.col("poste_conum_id").isNotNull() & F.col("structure_id").isNotNull()
-    return joined.withColumn("_finance", F.coalesce("_finance", F.lit(False)) & paired)
-
-
-def _per_pair(rows: DataFrame) -> DataFrame:
-    """One row per pair: the chosen position, and all of its grants added up."""
-    funded = F.col("_finance")
-
-    def of_grants(column: str) -> Column:
-        return F.when(funded, F.col(column))
-
+def _summed(grants: DataFrame) -> DataFrame:
+    """One row per pair: all of its grants added up."""
     amounts = [c for c in GRANT_COLUMNS + PAYMENT_COLUMNS if c.startswith(("montant", "versement"))]
-    has_v1, has_v2 = (F.bool_or(of_grants("enveloppes").contains(v)) for v in ("V1", "V2"))
-    summed = rows.groupBy(*PAIR).agg(
-        _choice(),
-        F.bool_or("_finance").alias("_finance"),
+    has_v1, has_v2 = (F.bool_or(F.col("enveloppes").contains(v)) for v in ("V1", "V2"))
+    return grants.groupBy(*PAIR).agg(
         label_enveloppes(F.when(has_v1, F.lit(1)), F.when(has_v2, F.lit(1))).alias("enveloppes"),
-        F.max(of_grants("date_fin_convention")).alias("date_fin_convention"),
-        F.bool_or(of_grants("is_territoire_prioritaire")).alias("is_territoire_prioritaire"),
-        *[F.sum(of_grants(c)).alias(c) for c in amounts],
+        F.max("date_fin_convention").alias("date_fin_convention"),
+        F.bool_or("is_territoire_prioritaire").alias("is_territoire_prioritaire"),
+        *[F.sum(c).alias(c) for c in amounts],
     )
-    return summed.select(*PAIR, *[f"_poste.{c}" for c in POSTE], "_finance", *GRANT_COLUMNS, *PAYMENT_COLUMNS)
 
 
-def _grants_times_payments(grants: DataFrame) -> DataFrame:
+def _grants_times_payments(grants: DataFrame, pairs: DataFrame) -> DataFrame:
     """Every grant of a pair beside every payment of the pair, as the view is defined.
 
     Equal rows are counted first and written out again at the end, so what meets in
-    the join are the distinct grants and the distinct payments of a pair. It is an
-    inner join, in which adaptive execution splits a hot pair on both sides.
+    the join are the distinct grants and the distinct payments of a pair. The positions
+    join the grants before the rows multiply, and the multiplying join comes last: it
+    is an inner join, in which adaptive execution splits a hot pair on both sides, and
+    nothing shuffles its result.
     """
     left = grants.groupBy(*PAIR, *GRANT_COLUMNS).agg(F.count("*").alias("_n"))
     right = grants.groupBy(*PAIR, *PAYMENT_COLUMNS).agg(F.count("*").alias("_m"))
     times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n") * F.col("_m")))
-    return left.join(right, PAIR).withColumn("_copy", times).drop("_n", "_m", "_copy")
+    placed = join_unique(left, pairs, PAIR, "inner")
+    return placed.join(right, PAIR).withColumn("_copy", times).drop("_n", "_m", "_copy")
 
 
 def postes_synthese(poste: DataFrame, contrat: DataFrame, subvention: DataFrame, collapse: bool = False) -> DataFrame:
     """Summary of positions: state, contracts, grants and payments per (position number, structure).
 
     A pair with n grants has n x n rows: grants and payments are joined to the pair
-    independently. ``collapse=True`` adds them up to one row per pair instead, in a
-    single aggregate. Pairs without a structure meet no grant and no contract.
+    independently. ``collapse=True`` adds them up to one row per pair instead. Pairs
+    without a structure meet no grant and no contract.
     """
-    rows = _postes_with_grants(poste, contrat, subvention)
+    pairs = _chosen_postes(poste, contrat)
+    grants = grants_par_poste(subvention, poste).dropna(subset=PAIR)
     if collapse:
-        joined = _per_pair(rows)
+        joined = pairs.join(_summed(grants), PAIR, "left")
     else:
-        # Read by three branches, so computed once and cut: each input is scanned once.
-        rows = cut(rows)
-        money = _grants_times_payments(rows.where("_finance"))
-        chosen = rows.groupBy(*PAIR).agg(_choice(), F.bool_or("_finance").alias("_finance"))
-        pairs = chosen.select(*PAIR, *[f"_poste.{c}" for c in POSTE], "_finance")
-        # One row per pair on the right: a hot pair is split on the side of the money.
-        funded = money.join(pairs.where("_finance"), PAIR)
-        joined = funded.unionByName(pairs.where("not _finance"), allowMissingColumns=True)
+        # Both are read by several branches, so each is computed once and cut.
+        grants = cut(grants)
+        pairs = cut(join_unique(pairs, grants.select(*PAIR).distinct().withColumn("_finance", F.lit(True)), PAIR, "left"))
+        funded = _grants_times_payments(grants, pairs.where("_finance"))
+        joined = funded.unionByName(pairs.where("_finance is null"), allowMissingColumns=True)
     zero = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in GRANT_COLUMNS + PAYMENT_COLUMNS}
     return joined.select(
         "poste_conum_id",

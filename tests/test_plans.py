@@ -49,6 +49,34 @@ def test_one_scan_of_the_links_for_all_status_flags(spark):
     assert plan.count("orders.parquet") == 1
 
 
-def test_collapsed_summary_scans_each_input_once(spark):
+def test_collapsed_summary_scans_each_input_once_per_role(spark):
     plan = plan_of(spark, "postes_synthese_collapse")
-    assert plan.count("lineitem.parquet") == 1 and plan.count("orders.parquet") == 2  # positions and contracts
+    # Positions as such and as owners of grants, and contracts.
+    assert plan.count("lineitem.parquet") == 1 and plan.count("orders.parquet") == 3
+
+
+# The side that may hold a hot key must come straight from a shuffle, and so must the
+# other one: only then can adaptive execution split the key.
+HOT = (
+    "dedupe_adresse", "dedupe_structure_siret", "keep_first_neutralise_rest", "agg_array_ordered", "delete_using", "cascade_set_null",
+    "join_postal", "join_self_active_closed", "join_existence_flag", "filter_neq", "links_fold_pairs", "links_collapse_active_closed",
+    "links_collision_null", "links_repoint_rest", "poste_par_structure", "join_legacy_mapping", "join_insee_history", "split_structure",
+)
+
+
+def joins_of(plan):
+    """Per sort-merge join: whether both children are a sort of a shuffle."""
+    lines = [re.match(r"^([\s:+|-]*)(.*)$", line).groups() for line in plan.split("\n") if line.strip()]
+    for i, (indent, text) in enumerate(lines):
+        if text.startswith("SortMergeJoin"):
+            depth = len(indent)
+            children = [j for j in range(i + 1, len(lines)) if len(lines[j][0]) == depth + 3]
+            end = next((j for j in range(i + 1, len(lines)) if len(lines[j][0]) <= depth), len(lines))
+            yield [lines[j][1].startswith("Sort [") and lines[j + 1][1].startswith("Exchange") for j in children if j < end]
+
+
+@pytest.mark.parametrize("name", HOT)
+def test_hot_keys_can_be_split(spark, name):
+    plan = plan_of(spark, name)
+    found = list(joins_of(plan[plan.index("\n") :]))
+    assert found and all(len(both) == 2 and all(both) for both in found)
