@@ -20,8 +20,8 @@ ALLOWED_SCHEMAS = ("admin", "reference")
 
 
 def redact_json_keys(df: DataFrame, column: str, keep: Sequence[str]) -> DataFrame:
-    """Keep only listed top-level keys of a JSON object; text that is no object becomes NULL."""
-    parsed = F.from_json(column, "map<string,string>")
+    """Keep only listed top-level keys of a JSON object, values as they are; other text becomes NULL."""
+    parsed = F.from_json(column, "map<string,variant>")
     kept = F.map_filter(parsed, lambda k, v: k.isin(*keep))
     return df.withColumn(column, F.to_json(kept))
 

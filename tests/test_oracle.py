@@ -8,7 +8,7 @@ from driver_checks.compare import compare, connect
 FOLDER = "/root/testdata/sf0.001"
 
 # Ten suppliers make no row of these; the larger data does.
-MAY_BE_EMPTY = {"filter_null_safe_eq", "filter_regex", "join_self_null_safe", "dq_siret"}
+MAY_BE_EMPTY = {"filter_null_safe_eq", "filter_regex", "join_self_null_safe", "dq_siret", "set_difference"}
 
 
 @pytest.fixture(scope="module")
