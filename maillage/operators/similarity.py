@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maillage.functions import trigram_code, trigram_similarity, trigrams
@@ -18,14 +18,15 @@ def fuzzy_name_pairs(people: DataFrame, name: str, threshold: str = DEFAULT_THRE
     """Distinct lower-case names whose trigram similarity reaches ``threshold``.
 
     Exact, by prefix and position filtering (Bayardo et al. 2007, Xiao et al. 2008). With
-    the trigrams of each name sorted by rarity, two names of similarity t share one
-    among the first ``n - ceil(t n) + 1`` of each, and only those are joined: common
-    trigrams hardly ever meet, and none is left out. A pair is judged at its first
-    shared trigram alone, where the places of that trigram bound what can still be
-    shared; this costs whole-number comparisons, and spares a distinct of the pairs.
-    Bearers of one name are counted (``nb_a``, ``nb_b``), not paired with each other.
-    The ranked names are cut, as both sides of the join read them; a trigram that very
-    many names have in front is split on both sides by adaptive execution.
+    the trigrams of each name sorted by rarity, the first one that two names of
+    similarity t share is among the first ``n - ceil(t n) + 1`` of the longer name and
+    the first ``n - ceil(2 t / (1 + t) n) + 1`` of the shorter one. Only those are
+    joined: common trigrams hardly ever meet, and none is left out. A pair is judged at
+    its first shared trigram alone, where the places of that trigram bound what can
+    still be shared; this costs whole-number comparisons, and spares a distinct of the
+    pairs. Bearers of one name are counted (``nb_a``, ``nb_b``), not paired with each
+    other. The ranked names are cut, as both sides of the join read them; a trigram
+    that very many names have in front is split on both sides by adaptive execution.
     """
     t = Fraction(threshold)
     num, den = t.numerator, t.denominator
@@ -41,26 +42,35 @@ def fuzzy_name_pairs(people: DataFrame, name: str, threshold: str = DEFAULT_THRE
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("grams"))
         .withColumn("n", F.size("grams"))
     )
-    needed = F.floor((F.col("n") * num + (den - 1)) / F.lit(den)).cast("int")  # ceil(t n), in whole numbers
-    keyed = ranked.select("*", F.posexplode(F.slice("grams", F.lit(1), F.col("n") - needed + 1)).alias("pos", "gram"))
-    a = keyed.select(*[F.col(c).alias(f"{c}_a") for c in keyed.columns if c != "gram"], "gram")
-    b = keyed.select(*[F.col(c).alias(f"{c}_b") for c in keyed.columns if c != "gram"], "gram")
-    both = F.col("n_a") + F.col("n_b")
-    still_possible = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) * (num + den) >= both * num
+
+    def ceil_of(part: int, whole: int) -> Column:
+        """ceil(part / whole * n), in whole numbers."""
+        return F.floor((F.col("n") * part + (whole - 1)) / F.lit(whole)).cast("int")
+
+    prefix = F.slice("grams", F.lit(1), F.col("n") - ceil_of(num, den) + 1)
+    keyed = ranked.select("*", F.posexplode(prefix).alias("pos", "gram"))
+    # x is the shorter name of a pair, y the longer one; names of one length go by their text.
+    x = keyed.where(F.col("pos") <= F.col("n") - ceil_of(2 * num, num + den))
+    x = x.select(*[F.col(c).alias(f"{c}_x") for c in keyed.columns if c != "gram"], "gram")
+    y = keyed.select(*[F.col(c).alias(f"{c}_y") for c in keyed.columns if c != "gram"], "gram")
+    both = F.col("n_x") + F.col("n_y")
+    ordered = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("nom_x") < F.col("nom_y")))
+    still_possible = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")) * (num + den) >= both * num
     shared_before = F.arrays_overlap(
-        F.slice("grams_a", F.lit(1), F.col("pos_a")), F.slice("grams_b", F.lit(1), F.col("pos_b"))
+        F.slice("grams_x", F.lit(1), F.col("pos_x")), F.slice("grams_y", F.lit(1), F.col("pos_y"))
     )
-    common = F.size(F.array_intersect("grams_a", "grams_b"))
+    common = F.size(F.array_intersect("grams_x", "grams_y"))
     # One expression, so that the cheap tests come first and spare the array work.
-    similar = F.when(
-        still_possible & (F.col("nom_a") < F.col("nom_b")), F.when(~shared_before, common * den >= (both - common) * num)
-    )
+    similar = F.when(still_possible & ordered, F.when(~shared_before, common * den >= (both - common) * num))
+    first = F.col("nom_x") < F.col("nom_y")
     return (
-        a.join(b, "gram")
+        x.join(y, "gram")
         .where(similar)
         .withColumn("communs", common)
         .select(
-            "nom_a", "nom_b", "id_a", "id_b", "nb_a", "nb_b", "communs",
-            trigram_similarity(F.col("communs"), F.col("n_a"), F.col("n_b")).alias("similarite"),
+            *[F.when(first, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y")).alias(f"{c}_a") for c in ("nom", "id", "nb")],
+            *[F.when(first, F.col(f"{c}_y")).otherwise(F.col(f"{c}_x")).alias(f"{c}_b") for c in ("nom", "id", "nb")],
+            "communs",
+            trigram_similarity(F.col("communs"), F.col("n_x"), F.col("n_y")).alias("similarite"),
         )
     )
