@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from maillage.llm import curve_packing, near_duplicates, ogg, quality, rule_cascade, toxicity, url_rules
+from maillage.llm import curve_packing, html_blocks, near_duplicates, ogg, quality, rule_cascade, toxicity, url_rules
 from maillage.llm.columns import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,12 @@ def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_packing.pack(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op6_recurrent_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = html_blocks.extract_blocks(table(spark, sf_dir, "pages"))
+    text = F.array_join("blocks", "\n")
+    return blocks.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+
+
 def op7_url_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rule_table(spark))
 
@@ -49,7 +55,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_ogg_media, op2_subword_quality, op5_curve_packing, op7_url_expressions, op8_minhash_components, op9_factorization_toxicity,
+        op1_ogg_media, op2_subword_quality, op5_curve_packing, op6_recurrent_blocks, op7_url_expressions, op8_minhash_components, op9_factorization_toxicity,
         op10_rule_cascade, pipeline,
     )
 }
