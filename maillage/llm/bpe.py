@@ -16,10 +16,10 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+from maillage.llm.id_cache import IdCache
 from maillage.llm.text import BATCH_BYTES, Texts, batches, prefix_sums, windows
 
 SAFE = 0x500  # Latin, Greek, Cyrillic: every character whose bytes are at most 0xD3
-CACHE_LIMIT = 1_000_000  # distinct pre-tokens a worker remembers before it starts anew
 LETTER, DIGIT, OTHER, SPACE = 1, 2, 3, 4
 # Unicode White_Space below SAFE, fixed values.
 _SPACES = (9, 10, 11, 12, 13, 32, 0x85, 0xA0)
@@ -76,24 +76,7 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.forget()
-
-    def forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)  # sorted
-        self.slots = np.zeros(0, np.int64)
-        self.offsets = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _learn(self, keys: np.ndarray, strings: list[str]) -> None:
-        if len(self.keys) + len(keys) > CACHE_LIMIT:
-            self.forget()
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-        slots = len(self.offsets) - 1 + np.arange(len(keys))
-        self.offsets = np.concatenate((self.offsets, self.offsets[-1] + np.cumsum([len(x) for x in found])))
-        self.ids = np.concatenate((self.ids, np.fromiter((i for x in found for i in x), np.uint32)))
-        order = np.argsort(np.concatenate((self.keys, keys)), kind="stable")
-        self.keys = np.concatenate((self.keys, keys))[order]
-        self.slots = np.concatenate((self.slots, slots))[order]
+        self.cache = IdCache()
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets of each text's own)."""
@@ -125,22 +108,14 @@ class Encoder:
         ends = np.append(starts[1:], len(cp))
         hashes = windows(prefix_sums(cp), starts, ends)
         keys, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.keys, keys)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == keys[known]
-        if not known.all():
-            if len(self.keys) + len(keys) > CACHE_LIMIT:
-                self.forget()
-                known[:] = False
-            new = np.flatnonzero(~known)
+        self.cache.make_room(len(keys))
+        new = np.flatnonzero(~self.cache.known(keys))
+        if len(new):
             strings = [cp[starts[w] : ends[w]].tobytes().decode("utf-32-le") for w in where[new]]
-            self._learn(keys[new], strings)
-            at = np.searchsorted(self.keys, keys)
-        slot = self.slots[at][inverse] if len(keys) else np.zeros(0, np.int64)
-        size = self.offsets[slot + 1] - self.offsets[slot]
-        total = np.concatenate(([0], np.cumsum(size)))
-        place = np.arange(total[-1]) - np.repeat(total[:-1] - self.offsets[slot], size)
-        return self.ids[place], total[np.searchsorted(starts, chars)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+            self.cache.learn(keys[new], np.fromiter((i for x in found for i in x), np.uint32), np.array([len(x) for x in found]))
+        ids, total = self.cache.gather(self.cache.slots_of(keys)[inverse])
+        return ids, total[np.searchsorted(starts, chars)]
 
 
 _encoders: dict[str, Encoder] = {}
