@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from maillage.session import shared_folder
 
+ROW_GROUP = 32 << 20  # bytes; rows here may hold whole texts, and a writer keeps a row group in memory
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -38,5 +39,5 @@ def words(text: Column) -> Column:
 def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it back: lineage is cut, columns stay prunable."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

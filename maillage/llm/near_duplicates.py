@@ -32,6 +32,8 @@ BANDS, ROWS = 32, 4
 # Of the 128 minima, so many agree at least: 5.4 standard deviations below the mean at similarity 0.75.
 MIN_AGREE = 70
 BLOCK = 1024  # members of a bucket compared in one task, against as many
+FILTER_BITS = 1 << 23  # of the filter that keeps other texts out of the shuffle: 1 MB
+BITMAP_BITS = 32768  # of one bitmap of Spark's bitmap functions, a fixed value
 SEED = 3
 
 _U = np.uint64
@@ -228,8 +230,31 @@ def find_near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
 
 
+def _maybe_in(ids: DataFrame):
+    """A test that is true for every id in ``ids`` (one column) and false for most others: one bit per hash.
+
+    What is sent has a fixed size of FILTER_BITS bits, whatever the number of ids.
+    """
+    at = F.xxhash64("id").bitwiseAND(FILTER_BITS - 1)
+    parts = ids.select(at.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits"))
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    for row in parts.collect():
+        lo = (row["part"] - 1) * (BITMAP_BITS // 8)
+        piece = np.frombuffer(bytes(row["bits"]), np.uint8)
+        bits[lo : lo + len(piece)] = piece[: len(bits) - lo]
+
+    def test(hashes: pa.Array) -> pa.Array:
+        h = hashes.to_numpy(zero_copy_only=False).astype(np.int64)
+        return pa.array((bits[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1)
+
+    return lambda column: F.arrow_udf(test, "boolean")(F.xxhash64(column).bitwiseAND(FILTER_BITS - 1))
+
+
 def _sets_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    chosen = docs.select("doc_id", "text").join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    """Full sets of the representatives. The bit filter spares the other texts the shuffle; the join then is exact."""
+    ids = reps.select(F.col("rep").alias("id")).distinct()
+    few = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).where(_maybe_in(ids)(F.col("doc_id")))
+    chosen = few.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return chosen.mapInArrow(_sets, f"rep {kind}, shingles binary").dropDuplicates(["rep"])
 
