@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from maillage.llm import curve_packing, html_blocks, near_duplicates, ogg, pieces, quality, rule_cascade, toxicity, url_rules
+from maillage.llm import attention, curve_packing, html_blocks, near_duplicates, ogg, pieces, quality, rule_cascade, toxicity, url_rules
 from maillage.llm.columns import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op2_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.code_documents(table(spark, sf_dir, "documents")).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
@@ -59,7 +63,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_ogg_media, op2_subword_quality, op4_suffix_array_pieces, op5_curve_packing, op6_recurrent_blocks, op7_url_expressions, op8_minhash_components, op9_factorization_toxicity,
+        op1_ogg_media, op2_subword_quality, op3_attention_scores, op4_suffix_array_pieces, op5_curve_packing, op6_recurrent_blocks, op7_url_expressions, op8_minhash_components, op9_factorization_toxicity,
         op10_rule_cascade, pipeline,
     )
 }
