@@ -141,8 +141,9 @@ def _with_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _sample(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Bounded: SAMPLE_ROWS of the rows whose id hash is even."""
-    some = docs.where(F.coalesce(id_hash(F.col(id_col)) % 2 == 0, F.lit(True))).limit(SAMPLE_ROWS)
+    """Bounded: at most SAMPLE_ROWS rows, from all over the table by the hash of their id."""
+    every = max(1, docs.count() // (2 * SAMPLE_ROWS))
+    some = docs.where(F.coalesce(id_hash(F.col(id_col)) % every == 0, F.lit(True))).limit(SAMPLE_ROWS)
     return _with_words(some, id_col, text_col).cache()
 
 
