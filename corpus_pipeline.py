@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maillage.llm import curve_packing, near_duplicates, quality, toxicity
-from maillage.llm.columns import stored, table
+from maillage.llm.columns import bound_batches, stored, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near-duplicates: that with the smallest doc_id. Repeated rows leave one."""
-    del spark, sf_dir
+    del sf_dir
+    bound_batches(spark)
     found = near_duplicates.find_near_duplicates(docs)
     rest = docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
     repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where((F.col("n") > 1) & F.col("doc_id").isNotNull()).select("doc_id")
@@ -38,7 +39,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences along the curve, with a checksum of their ids."""
-    del spark, sf_dir
+    del sf_dir
+    bound_batches(spark)
     return curve_packing.pack(docs).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

@@ -9,6 +9,7 @@ token of the file, is encoded by the tokenizer itself.
 
 from __future__ import annotations
 
+import os
 import unicodedata
 from functools import lru_cache
 
@@ -74,6 +75,7 @@ class Encoder:
     """Ids of batches of texts. One per worker and file; remembers the pre-tokens it has met."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache = IdCache()

@@ -13,7 +13,20 @@ ROW_GROUP = 32 << 20  # bytes; rows here may hold whole texts, and a writer keep
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+# Rows hold whole texts: Arrow batches are bounded by bytes, and by rows where the session knows no bytes.
+ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's limits on Arrow batches where they are above ARROW_LIMITS."""
+    for key, limit in ARROW_LIMITS.items():
+        now = spark.conf.get(key, None)
+        if now is not None and not 0 < int(now.rstrip("bB")) <= int(limit):
+            spark.conf.set(key, limit)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
