@@ -79,6 +79,14 @@ class ToxicityModel:
         return np.concatenate(out) if out else np.zeros(0)
 
 
+def _present(column: pa.Array):
+    """(row, bucket) of the terms in each text, each once, for runs of texts."""
+    for batch in batches(column):
+        bucket, row = terms(batch)
+        key = np.unique((row + batch.lo) * BUCKETS + bucket)
+        yield key // BUCKETS, key % BUCKETS
+
+
 def train(texts: list[str], labels: list[int], n_terms: int = TERMS) -> ToxicityModel:
     """Choose terms, then Adam on all documents at once with a penalty on weights and factors.
 
@@ -89,16 +97,11 @@ def train(texts: list[str], labels: list[int], n_terms: int = TERMS) -> Toxicity
     slot = np.full(BUCKETS, -1, np.int16)
     if not len(y) or y.min() == y.max():
         return ToxicityModel(slot, np.zeros(0), np.zeros((0, FACTORS)), prior)
-    bucket, row, done = [], [], 0
-    for batch in batches(pa.array(texts, pa.string())):
-        b, r = terms(batch)
-        key = np.unique((r + done) * BUCKETS + b)
-        row.append(key // BUCKETS)
-        bucket.append(key % BUCKETS)
-        done += batch.n
-    bucket, row = np.concatenate(bucket), np.concatenate(row)
-    toxic = np.bincount(bucket, y[row], BUCKETS)
-    other = np.bincount(bucket, 1 - y[row], BUCKETS)
+    column = pa.array(texts, pa.string())
+    toxic, other = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for row, bucket in _present(column):
+        toxic += np.bincount(bucket, y[row], BUCKETS)
+        other += np.bincount(bucket, 1 - y[row], BUCKETS)
     # Root of the chi-square of presence against label.
     n, n1 = len(y), y.sum()
     seen = toxic + other
@@ -108,8 +111,9 @@ def train(texts: list[str], labels: list[int], n_terms: int = TERMS) -> Toxicity
     chosen = np.sort(chosen[strength[chosen] > 0])
     slot[chosen] = np.arange(len(chosen))
     x = np.zeros((n, len(chosen)), np.float32)
-    place = slot[bucket]
-    x[row[place >= 0], place[place >= 0]] = 1
+    for row, bucket in _present(column):  # read again: all pairs of text and term would not fit the driver
+        place = slot[bucket]
+        x[row[place >= 0], place[place >= 0]] = 1
     rng = np.random.default_rng(SEED)
     params = [np.zeros(len(chosen)), rng.normal(0, 0.01, (len(chosen), FACTORS)), np.array([prior])]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
