@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maillage.llm.columns import stored
@@ -103,12 +103,19 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_sketch, f"doc_id {kind}, n_shingles long, digest binary, signature binary, bands array<long>")
 
 
-def _sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        for texts in batches(part.column("text")):
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").slice(texts.lo, texts.n), pa.array((s.tobytes() for s in shingle_sets(texts)), pa.binary())], ["rep", "shingles"]
-            )
+def _sets(bits: np.ndarray):
+    """Full sets of the texts whose id hash (column h) has its bit set."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            h = part.column("h").to_numpy()
+            part = part.filter(pa.array((bits[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1))
+            for texts in batches(part.column("text")):
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").slice(texts.lo, texts.n), pa.array((s.tobytes() for s in shingle_sets(texts)), pa.binary())], ["rep", "shingles"]
+                )
+
+    return run
 
 
 def _agree(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -230,33 +237,29 @@ def find_near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
 
 
-def _maybe_in(ids: DataFrame):
-    """A test that is true for every id in ``ids`` (one column) and false for most others: one bit per hash.
+def _bit(column: Column) -> Column:
+    return F.xxhash64(column).bitwiseAND(FILTER_BITS - 1)
 
-    What is sent has a fixed size of FILTER_BITS bits, whatever the number of ids.
-    """
-    at = F.xxhash64("id").bitwiseAND(FILTER_BITS - 1)
-    parts = ids.select(at.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits"))
+
+def _bits_of(ids: DataFrame) -> np.ndarray:
+    """One bit for every id hash in ``ids`` (column id): FILTER_BITS bits, whatever the number of ids."""
+    # The bitmap functions count from 1.
+    parts = ids.select((_bit(F.col("id")) + 1).alias("h")).groupBy(F.bitmap_bucket_number("h").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits"))
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for row in parts.collect():
         lo = (row["part"] - 1) * (BITMAP_BITS // 8)
         piece = np.frombuffer(bytes(row["bits"]), np.uint8)
         bits[lo : lo + len(piece)] = piece[: len(bits) - lo]
-
-    def test(hashes: pa.Array) -> pa.Array:
-        h = hashes.to_numpy(zero_copy_only=False).astype(np.int64)
-        return pa.array((bits[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1)
-
-    return lambda column: F.arrow_udf(test, "boolean")(F.xxhash64(column).bitwiseAND(FILTER_BITS - 1))
+    return bits
 
 
 def _sets_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Full sets of the representatives. The bit filter spares the other texts the shuffle; the join then is exact."""
+    """Full sets of the representatives. The bits spare other texts the work and the shuffle; the join then is exact."""
     ids = reps.select(F.col("rep").alias("id")).distinct()
-    few = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull()).where(_maybe_in(ids)(F.col("doc_id")))
-    chosen = few.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(_sets, f"rep {kind}, shingles binary").dropDuplicates(["rep"])
+    few = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", _bit(F.col("doc_id")).alias("h"))
+    sets = few.mapInArrow(_sets(_bits_of(ids)), f"rep {kind}, shingles binary")
+    return sets.join(ids.withColumnRenamed("id", "rep"), "rep", "left_semi").dropDuplicates(["rep"])
 
 
 def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
