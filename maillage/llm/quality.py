@@ -76,8 +76,8 @@ def train(texts: list[str], labels: list[int], buckets: int = BUCKETS, dim: int
     if not len(y) or len(set(labels)) < 2:
         return QualityModel(np.zeros(buckets, np.float32), prior)
     documents = []
-    for batch in batches(pa.array(texts, pa.string()), 1):
-        found = [b for b, _ in features(batch)]
+    for text in texts:
+        found = [b for batch in batches(pa.array([text], pa.string())) for b, _ in features(batch)]
         documents.append(np.unique(np.concatenate(found), return_counts=True))
     rng = np.random.default_rng(SEED)
     vectors = rng.uniform(-1 / dim, 1 / dim, (buckets, dim))
