@@ -58,7 +58,8 @@ def _(t):
 
 @check("ingest_surrogate_key", """
     select id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) as uuid
-    from (select id, sha256('coop|' || cast(id as varchar) || '|' || coalesce(coop_id, '')) as h from a_personne) x""")
+    from (select id, sha256('4:coop|' || length(cast(id as varchar)) || ':' || cast(id as varchar) || '|'
+            || coalesce(length(coop_id) || ':' || coop_id, '-')) as h from a_personne) x""")
 def _(t):
     return landing.ingest_surrogate_key(t.a_personne, "coop", ["id", "coop_id"]).select("id", "uuid")
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,11 +49,14 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="maillage-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder()
+
+
+@lru_cache(1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="maillage-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +38,14 @@ def ingest_clean(df: DataFrame, renames: Mapping[str, str], blanks_to_null: bool
 
 
 def ingest_surrogate_key(df: DataFrame, source: str, keys: Sequence[str], alias: str = "uuid") -> DataFrame:
-    """UUID-shaped key computed from source and natural key: the same row always gets the same key."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
-    digest = F.sha2(F.concat_ws("|", F.lit(source), *parts), 256)
+    """UUID-shaped key computed from source and natural key: the same row always gets the same key.
+
+    Each part is led by its length, a NULL part is a mark of its own, so different keys never read alike.
+    """
+
+    def part(value: Column) -> Column:
+        return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+    digest = F.sha2(F.concat_ws("|", *(part(v) for v in (F.lit(source), *(F.col(k).cast("string") for k in keys)))), 256)
     cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
     return df.withColumn(alias, F.concat_ws("-", *[F.substring(digest, at, n) for at, n in cuts]))

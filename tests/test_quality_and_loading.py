@@ -224,3 +224,9 @@ def test_months_are_folders(spark):
 
 def test_shared_folder_is_the_one_of_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_surrogate_keys_of_different_parts_differ(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, ""), ("", None), ("-", ""), ("1:a", None)]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert len({r["uuid"] for r in landing.ingest_surrogate_key(df, "s", ["x", "y"]).collect()}) == len(rows)
