@@ -254,8 +254,8 @@ def _(t):
 
 @check("join_insee_history", """
     with recursive step as (select distinct code_insee_ancien as a, code_insee_nouveau as b from a_insee_historique where code_insee_ancien <> code_insee_nouveau),
-    walk as (select a, b, 1 as n from step union all select w.a, s.b, w.n + 1 from walk w join step s on s.a = w.b where w.n < 5),
-    ends as (select distinct w.a, w.b from walk w where w.n = 5 or not exists (select 1 from step s where s.a = w.b)),
+    walk as (select a, b from step union select w.a, s.b from walk w join step s on s.a = w.b),
+    ends as (select a, b from walk w where not exists (select 1 from step s where s.a = w.b)),
     width as (select a, count(*) as nb from ends group by a)
     select c.code_insee, coalesce(e.b, c.code_insee) as code_insee_actuel, coalesce(x.nb, 1) as nb_codes_actuels
     from a_commune c left join ends e on e.a = c.code_insee left join width x on x.a = c.code_insee""")

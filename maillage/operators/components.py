@@ -14,7 +14,7 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for undirected ``edges(a, b)``; the root is the smallest node.
 
     Alternates the large-star and small-star steps of Kiveris et al. (2014): in each
@@ -30,7 +30,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct()
     )
     seen = _fingerprint(current)
-    for _ in range(max_rounds):
+    while True:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = (
@@ -47,8 +47,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError("components did not settle")
     roots = current.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maillage.session import cut
+
 
 def _stand_in(kind: T.DataType) -> Column:
     if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
@@ -87,31 +89,51 @@ def join_ci(left: DataFrame, right: DataFrame, left_key: str, right_key: str, ho
     return left.join(right, F.lower(left[left_key]) == F.lower(right[right_key]), how)
 
 
-def resolve_insee_history(history: DataFrame, hops: int = 5) -> DataFrame:
-    """Old -> current code, following up to ``hops`` successive changes.
+def follow_insee_history(history: DataFrame) -> DataFrame:
+    """(code_insee_ancien, code_insee_nouveau, done): every code with the codes its changes lead to.
 
-    A code that was split has several current codes; ``nb_codes`` reports how many.
-    The history alone is chained, so the fact table is joined once.
+    Each round doubles the length of the paths, so a chain of n changes takes log2(n) rounds. Rows that are not
+    ``done`` are left only where paths became longer than there are codes, which takes a circle. A change to the
+    same code and a NULL code are no change.
     """
     step = (
         history.where(F.col("code_insee_ancien") != F.col("code_insee_nouveau"))
         .select("code_insee_ancien", "code_insee_nouveau")
         .distinct()
     )
-    following = step.select(F.col("code_insee_ancien").alias("_from"), F.col("code_insee_nouveau").alias("_to"))
-    current = step
-    for _ in range(hops - 1):
-        current = current.join(following, F.col("code_insee_nouveau") == F.col("_from"), "left").select(
-            "code_insee_ancien", F.coalesce("_to", "code_insee_nouveau").alias("code_insee_nouveau")
-        )
-    current = current.distinct()
+    changed = step.select(F.col("code_insee_ancien").alias("code_insee_nouveau"), F.lit(True).alias("_again")).distinct()
+    reach = join_unique(step, changed, ["code_insee_nouveau"], "left")
+    reach = cut(reach.select("code_insee_ancien", "code_insee_nouveau", F.col("_again").isNull().alias("done")))
+    codes, length = changed.count(), 1
+    while length <= codes and not reach.where("not done").isEmpty():
+        rest = reach.select(F.col("code_insee_ancien").alias("_via"), F.col("code_insee_nouveau").alias("_to"), F.col("done").alias("_done"))
+        longer = reach.where("not done").join(rest, F.col("code_insee_nouveau") == F.col("_via"))
+        longer = longer.select("code_insee_ancien", F.col("_to").alias("code_insee_nouveau"), F.col("_done").alias("done"))
+        reach = cut(reach.where("done").unionByName(longer).distinct())
+        length *= 2
+    return reach
+
+
+def resolve_insee_history(history: DataFrame) -> DataFrame:
+    """Old -> current code, over any number of successive changes.
+
+    A code that was split has several current codes; ``nb_codes`` reports how many.
+    The history alone is chained, so the fact table is joined once. A code that leads
+    into a circle and nowhere else has no current code; ``insee_history_circles`` lists it.
+    """
+    current = follow_insee_history(history).where("done").drop("done")
     width = current.groupBy("code_insee_ancien").agg(F.count("*").alias("nb_codes"))
     return join_unique(current, width, ["code_insee_ancien"], "inner")
 
 
-def join_insee_history(df: DataFrame, history: DataFrame, code: str = "code_insee", hops: int = 5) -> DataFrame:
-    """Add the current code and the number of codes the old one was split into (1 if unchanged)."""
-    current = resolve_insee_history(history, hops).withColumnRenamed("code_insee_ancien", code)
+def insee_history_circles(history: DataFrame) -> DataFrame:
+    """Codes whose changes lead into a circle."""
+    return follow_insee_history(history).where("not done").select("code_insee_ancien").distinct()
+
+
+def join_insee_history(df: DataFrame, history: DataFrame, code: str = "code_insee") -> DataFrame:
+    """Add the current code and the number of codes the old one was split into (1 if unchanged or without a current code)."""
+    current = resolve_insee_history(history).withColumnRenamed("code_insee_ancien", code)
     return join_unique(df, current, [code], "left").select(
         *df.columns,
         F.coalesce("code_insee_nouveau", code).alias("code_insee_actuel"),

@@ -130,7 +130,17 @@ def test_insee_history(spark):
     df = spark.createDataFrame([("A",), ("B",), ("X",), ("S",), ("Q",), (None,)], "code_insee string")
     got = as_set(joins.join_insee_history(df, history))
     assert got == {("A", "C", 1), ("B", "C", 1), ("X", "Y", 2), ("X", "Z", 2), ("S", "S", 1), ("Q", "Q", 1), (None, None, 1)}
-    assert ("A", "B", 1) in as_set(joins.join_insee_history(df, history, hops=1))
+
+
+def test_insee_history_has_no_longest_chain_and_ends_in_circles(spark):
+    chain = [(f"{i:05d}", f"{i + 1:05d}") for i in range(1, 40)]
+    circle = [("P", "Q"), ("Q", "R"), ("R", "P"), ("O", "P"), ("R", "E"), ("U", "V"), ("V", "U"), (None, "A"), ("Z", None)]
+    history = spark.createDataFrame(chain + circle + circle, "code_insee_ancien string, code_insee_nouveau string")
+    df = spark.createDataFrame([("00001",), ("00020",), ("00040",), ("P",), ("O",), ("U",), ("Z",)], "code_insee string")
+    got = as_set(joins.join_insee_history(df, history))
+    assert got == {("00001", "00040", 1), ("00020", "00040", 1), ("00040", "00040", 1), ("P", "E", 1), ("O", "E", 1), ("U", "U", 1), ("Z", "Z", 1)}
+    assert {r[0] for r in joins.insee_history_circles(history).collect()} == {"O", "P", "Q", "R", "U", "V"}
+    assert joins.join_insee_history(df, history.where("false")).where("code_insee_actuel <> code_insee").isEmpty()
 
 
 def test_legacy_rows_find_their_entity(spark):
