@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from maillage.llm.columns import stored
 from maillage.llm.text import LOWER, Texts, batches, mix, prefix_sums, windows
+from maillage.operators.joins import join_unique
 
 SHINGLE = 5
 THRESHOLD = 75  # percent: 100 * intersection >= THRESHOLD * union
@@ -174,7 +175,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     Large-star ties every larger neighbour of a node to the node's smallest neighbour, small-star every
     smaller one; alternated until nothing changes, every node hangs on the smallest of its component.
     The smallest neighbour is a combined aggregate and is joined back, so a node of very many links is
-    never gathered; adaptive execution splits it in the join. Self-links and repeats do no harm.
+    never gathered. The join does not run where the aggregate did (``join_unique``), so adaptive
+    execution can split such a node. Self-links and repeats do no harm.
     """
     links = links.where(F.col("x") != F.col("y")).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
     links = stored(links, "links")
@@ -182,10 +184,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     while True:
         both = links.unionAll(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
         low = both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("m"))
-        large = both.join(low, "x").where(F.col("y") > F.col("x")).select(F.col("y").alias("x"), F.col("m").alias("y")).distinct()
+        large = join_unique(both.where(F.col("y") > F.col("x")), low, ["x"], "inner").select(F.col("y").alias("x"), F.col("m").alias("y")).distinct()
         large = stored(large, "large-star")
         low = large.groupBy("x").agg(F.min("y").alias("m"))
-        small = large.join(low, "x").where(F.col("y") != F.col("m")).select(F.col("y").alias("x"), F.col("m").alias("y"))
+        small = join_unique(large, low, ["x"], "inner").where(F.col("y") != F.col("m")).select(F.col("y").alias("x"), F.col("m").alias("y"))
         links = stored(small.unionAll(low.select("x", F.col("m").alias("y"))).distinct(), "small-star")
         before, state = state, _fingerprint(links)
         if state == before:
@@ -205,17 +207,15 @@ def find_near_duplicates(docs: DataFrame) -> DataFrame:
     reps = some.join(classes, (some["doc_id"] == classes["rep"]) & (some["digest"] == classes["digest"])).select("rep", "signature", "bands")
     members = reps.select("rep", F.explode("bands").alias("key")).distinct()
     buckets = members.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where(F.col("n") > 1)
-    members = stored(members.join(buckets, "key").where(F.col("rep") != F.col("pivot")), "candidates")
+    members = stored(join_unique(members, buckets, ["key"], "inner").where(F.col("rep") != F.col("pivot")), "candidates")
 
     # One pair per member: signatures, then full sets.
     signatures = some.select(F.col("doc_id").alias("rep"), "signature").dropDuplicates(["rep"])
     pairs = members.select("pivot", "rep").distinct()
     agree = F.arrow_udf(_agree, "int")
-    pairs = (
-        pairs.join(signatures, "rep").withColumnRenamed("signature", "sig_y")
-        .join(signatures.select(F.col("rep").alias("pivot"), F.col("signature").alias("sig_x")), "pivot")
-        .where(agree("sig_x", "sig_y") >= MIN_AGREE).select("pivot", "rep")
-    )
+    pairs = pairs.join(signatures, "rep").withColumnRenamed("signature", "sig_y")
+    pairs = join_unique(pairs, signatures.select(F.col("rep").alias("pivot"), F.col("signature").alias("sig_x")), ["pivot"], "inner")
+    pairs = pairs.where(agree("sig_x", "sig_y") >= MIN_AGREE).select("pivot", "rep")
     pairs = stored(pairs, "pairs")
     confirmed = stored(_verify(docs, pairs), "confirmed")
     component = connected_components(confirmed)
@@ -225,7 +225,7 @@ def find_near_duplicates(docs: DataFrame) -> DataFrame:
     placed = placed.select("key", "rep", F.coalesce("component", "rep").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
     mixed = mixed.where(F.col("lo") != F.col("hi")).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    left = stored(placed.join(mixed, "key"), "mixed")
+    left = stored(join_unique(placed, mixed, ["key"], "inner"), "mixed")
     if not left.isEmpty():
         more = _compare_buckets(docs, left, signatures)
         hung = component.select(F.col("node").alias("x"), F.col("component").alias("y"))
