@@ -140,6 +140,12 @@ ADAPTERS = {
           select lag(c_custkey) over (partition by c_mktsegment, floor(c_acctbal / 10) order by c_custkey) as winner_id, c_custkey as loser_id
           from {customer}
         ) p where winner_id is not null""",
+    # Of every ten customers: two losers in order, a circle, one with two winners, one whose winner is not there.
+    "a_conflicting_pairs": """
+        select case c_custkey % 10 when 1 then c_custkey - 1 when 2 then c_custkey - 1 when 4 then c_custkey + 1 when 5 then c_custkey - 1
+            when 7 then c_custkey - 1 when 9 then c_custkey + 100000000000 end as winner_id, c_custkey as loser_id
+        from {customer} where c_custkey % 10 in (1, 2, 4, 5, 7, 9)
+        union all select c_custkey + 1, c_custkey from {customer} where c_custkey % 10 = 7""",
     "a_structure_mapping": """
         select l as id, w as root_id
         from (select cast(floor(s_suppkey / 2) as bigint) as g, min(s_suppkey) as w, max(s_suppkey) as l

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driver_checks.base import check
@@ -23,6 +26,19 @@ def _(t):
     return _mapping(t)
 
 
+@check("merge_pair_conflicts", """with recursive up as (
+      select loser_id as id, winner_id as root_id from a_conflicting_pairs
+      union select u.id, p.winner_id from up u join a_conflicting_pairs p on p.loser_id = u.root_id)
+    select loser_id as id, 'two_winners' as conflict from a_conflicting_pairs group by loser_id having count(distinct winner_id) > 1
+    union all
+    select distinct u.id, 'circle' from up u join up c on c.id = u.root_id and c.root_id = c.id
+    union all
+    select distinct id, 'absent_survivor' from up where root_id not in (select loser_id from a_conflicting_pairs) and root_id not in (select id from a_personne)
+      and root_id in (select min(winner_id) from a_conflicting_pairs group by loser_id)""")
+def _(t):
+    return components.merge_pair_conflicts(t.a_conflicting_pairs, t.a_personne)
+
+
 @check("remap_ids", f"{MAPPING} select e.id, coalesce(m.root_id, e.personne_id) as personne_id from a_emploi e left join mapping m on m.id = e.personne_id")
 def _(t):
     return components.remap_ids(t.a_emploi, "personne_id", _mapping(t)).select("id", "personne_id")
@@ -66,6 +82,50 @@ def _(t):
     return merging.merge_personne_fields(people, _mapping(t))
 
 
+PLACED = """placed as (select l.*, m.root_id, coalesce(m.root_id, l.personne_id) as p from a_person_links l left join mapping m on m.id = l.personne_id)"""
+KEPT_LINKS = """select x.id, x.p as personne_id, x.structure_id, x.type, x.suppression from placed x
+    where x.root_id is null or not exists (
+      select 1 from placed y where y.p = x.p and y.structure_id = x.structure_id and y.type = x.type
+        and y.suppression is not distinct from x.suppression
+        and (y.root_id is null or y.personne_id < x.personne_id))"""
+
+
+@check("merge_persons", f"""{MERGED_PERSONS},
+    {PLACED}
+    select 'personne' as table_name, id, cast(null as bigint) as personne_id, cast(null as bigint) as autre_id, coop_id as valeur from merged
+    union all select 'personne_affectations', id, personne_id, structure_id, type from ({KEPT_LINKS}) l
+    union all select 'personne_affectations_emploi', e.id, coalesce(m.root_id, e.personne_id), e.structure_administrative_id, e.source
+      from a_emploi e left join mapping m on m.id = e.personne_id
+    union all select 'contrat', c.id, coalesce(m.root_id, c.personne_id), c.structure_id, null from a_contrat c left join mapping m on m.id = c.personne_id
+    union all select 'formation', c.id, coalesce(m.root_id, c.personne_id), null, c.label from a_formation c left join mapping m on m.id = c.personne_id
+    union all select 'coordination_mediation', c.id, coalesce(mc.root_id, c.coordinateur_id), coalesce(mm.root_id, c.mediateur_id),
+      case when mm.id is null then c.mediateur_coop_id else pm.coop_id end
+      from a_coordination c left join mapping mc on mc.id = c.coordinateur_id
+      left join mapping mm on mm.id = c.mediateur_id left join merged pm on pm.id = mm.root_id""")
+def _(t):
+    tables = {
+        "personne": t.a_personne.select("id", "coop_id"), "personne_affectations": t.a_person_links, "personne_affectations_emploi": t.a_emploi,
+        "contrat": t.a_contrat, "formation": t.a_formation, "coordination_mediation": t.a_coordination,
+    }
+    shown = {
+        "personne": (None, None, "coop_id"), "personne_affectations": ("personne_id", "structure_id", "type"),
+        "personne_affectations_emploi": ("personne_id", "structure_administrative_id", "source"), "contrat": ("personne_id", "structure_id", None),
+        "formation": ("personne_id", None, "label"), "coordination_mediation": ("coordinateur_id", "mediateur_id", "mediateur_coop_id"),
+    }
+    return _union(merging.merge_persons(tables, _mapping(t)), shown, ("personne_id", "autre_id", "valeur"))
+
+
+def _union(tables, shown, names):
+    """All tables under one another: table name, id, two keys, a text."""
+
+    def part(name, columns):
+        kinds = ("bigint", "bigint", "string")
+        cells = [(F.col(c) if c else F.lit(None)).cast(k).alias(n) for c, k, n in zip(columns, kinds, names, strict=True)]
+        return tables[name].select(F.lit(name).alias("table_name"), F.col("id").cast("bigint").alias("id"), *cells)
+
+    return reduce(DataFrame.unionByName, [part(name, columns) for name, columns in shown.items()])
+
+
 @check("merge_personne_links", f"""{MAPPING},
     placed as (select l.*, m.root_id, coalesce(m.root_id, l.personne_id) as p from a_person_links l left join mapping m on m.id = l.personne_id)
     select x.id, x.p as personne_id, x.structure_id, x.type, x.suppression from placed x
@@ -124,6 +184,43 @@ def _(t):
     return out.withColumns(lists)
 
 
+@check("merge_structure_rows", f"""
+    select w.id, w.nom, coalesce(l.structure_coop_id, w.structure_coop_id) as structure_coop_id, coalesce(l.structure_ac_id, w.structure_ac_id) as structure_ac_id,
+      coalesce(w.siret, l.siret) as siret, coalesce(w.emplois, l.emplois) as emplois,
+      case when m.id is null then w.source else coalesce(nullif(w.source, ''), l.source) end as source,
+      {_clean_union('w.typologies_texte', 'l.typologies_texte')} as typologies, {_clean_union('w.frais_texte', 'l.frais_texte')} as frais_a_charge
+    from a_structure w left join a_structure_mapping m on m.root_id = w.id left join a_structure l on l.id = m.id
+    where w.id not in (select id from a_structure_mapping)""")
+def _(t):
+    rows = t.a_structure.select(
+        "id", "nom", "structure_coop_id", "structure_ac_id", "siret", "emplois", "source",
+        F.split("typologies_texte", r"\|").alias("typologies"), F.split("frais_texte", r"\|").alias("frais_a_charge"),
+    )
+    out = merging.merge_structure_rows(rows, t.a_structure_mapping)
+    return out.withColumns({c: F.array_join(F.array_sort(c), ",") for c in ("typologies", "frais_a_charge")})
+
+
+# Every structure is the child of the one before it; positions and members hang on structures.
+@check("merge_structures", """
+    with moved as (select old, min(new) as new from (
+        select x.structure_coop_id as old, coalesce(l.structure_coop_id, w.structure_coop_id) as new
+        from a_structure_mapping m join a_structure w on w.id = m.root_id join a_structure l on l.id = m.id
+          join a_structure x on x.id in (m.id, m.root_id)) z where old <> new group by old)
+    select 'structure' as table_name, w.id, cast(null as bigint) as structure_id, coalesce(l.structure_coop_id, w.structure_coop_id) as coop,
+      coalesce(v.new, concat('sc-', cast(w.id - 1 as varchar))) as parente
+    from a_structure w left join a_structure_mapping m on m.root_id = w.id left join a_structure l on l.id = m.id
+      left join moved v on v.old = concat('sc-', cast(w.id - 1 as varchar))
+    where w.id not in (select id from a_structure_mapping)
+    union all select 'poste', p.id, coalesce(m.root_id, p.structure_id), null, p.etat from a_poste p left join a_structure_mapping m on m.id = p.structure_id""")
+def _(t):
+    parent = F.concat(F.lit("sc-"), (F.col("id") - 1).cast("string")).alias("structure_parente")
+    tables = {"structure": t.a_structure.select("id", "structure_coop_id", parent), "poste": t.a_poste}
+    out = merging.merge_structures(tables, t.a_structure_mapping)
+    structures = out["structure"].select(F.lit("structure").alias("table_name"), "id", F.lit(None).cast("bigint").alias("structure_id"), F.col("structure_coop_id").alias("coop"), F.col("structure_parente").alias("parente"))
+    positions = out["poste"].select(F.lit("poste").alias("table_name"), "id", "structure_id", F.lit(None).cast("string").alias("coop"), F.col("etat").alias("parente"))
+    return structures.unionByName(positions)
+
+
 # ---------------------------------------------------------------- links, step by step
 # Each step as SQL over a table of links, so the steps can be checked alone and chained.
 SLOT = "{a}.personne_id = {b}.personne_id and {a}.type = {b}.type and {a}.suppression is not distinct from {b}.suppression"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,30 +53,78 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
-def resolve_merge_pairs(pairs: DataFrame) -> DataFrame:
+def _pointers(pairs: DataFrame) -> DataFrame:
+    """One row per absorbed id: its smallest winner other than itself, how many it has, and whether it is paired with itself."""
+    other = F.col("winner_id") != F.col("loser_id")
+    return pairs.groupBy(F.col("loser_id").alias("id")).agg(
+        F.min(F.when(other, F.col("winner_id"))).alias("root_id"),
+        (F.max(F.when(other, F.col("winner_id"))) > F.min(F.when(other, F.col("winner_id")))).alias("_several"),
+        F.bool_or(~other).alias("_itself"),
+    )
+
+
+def _follow(pointers: DataFrame) -> DataFrame:
+    """(id, root_id, circles): every pointer followed to its end by doubling.
+
+    A round sends each id to where its target points, so after k rounds 2**k steps are
+    made: the number of rounds is the logarithm of the longest chain. Who still moves
+    after as many steps as there are ids leads into a circle. A root of very many ids is
+    on the left of the join and can be split. Each round is cut; a count reaches the driver.
+    """
+    pointers = cut(pointers.where("root_id is not null").select("id", "root_id"))
+    n, steps = pointers.count(), 1
+    while True:
+        ahead = pointers.select(F.col("id").alias("root_id"), F.col("root_id").alias("_next"))
+        pointers = cut(
+            join_unique(pointers, ahead, ["root_id"], "left")
+            .select("id", F.coalesce("_next", "root_id").alias("root_id"), F.col("_next").isNotNull().alias("circles"))
+        )
+        if steps > n or pointers.where("circles").isEmpty():
+            return pointers
+        pointers, steps = pointers.select("id", "root_id"), steps * 2
+
+
+def merge_pair_conflicts(pairs: DataFrame, entities: DataFrame | None = None) -> DataFrame:
+    """(id, conflict) of every absorbed id whose survivor the pairs leave open.
+
+    ``same_id``: it is to be absorbed by itself. ``two_winners``: several entities claim it.
+    ``circle``: its winners (the smallest, where there are several) lead into a circle.
+    ``absent_survivor``: its survivor is not an ``id`` of ``entities``, if those are given.
+    """
+    pointers = cut(_pointers(pairs))
+    ends = _follow(pointers)
+    found = [
+        pointers.where("_itself").select("id", F.lit("same_id").alias("conflict")),
+        pointers.where("_several").select("id", F.lit("two_winners").alias("conflict")),
+        ends.where("circles").select("id", F.lit("circle").alias("conflict")),
+    ]
+    if entities is not None:
+        known = entities.select(F.col("id").alias("root_id"))
+        absent = ends.where("not circles").join(known, "root_id", "left_anti")
+        found.append(absent.select("id", F.lit("absent_survivor").alias("conflict")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def resolve_merge_pairs(pairs: DataFrame, entities: DataFrame | None = None) -> DataFrame:
     """(id, root_id) for every id that is absorbed; a <- b <- c sends both to a.
 
-    A pair of equal ids fails the job. The root of a group is the winner that is never
-    a loser; should the pairs name several, or run in a circle, the smallest one.
+    Pairs in conflict fail the job, so no entity is absorbed that was not named as a loser
+    of one survivor; ``merge_pair_conflicts`` lists them. The result is cut: a merge reads
+    it once per table.
     """
-    guarded = pairs.select(
-        "winner_id",
-        F.when(F.col("winner_id") == F.col("loser_id"), F.raise_error(F.lit("winner_id and loser_id must differ")))
-        .otherwise(F.col("loser_id"))
-        .alias("loser_id"),
-    )
-    guarded = cut(guarded.distinct())
-    groups = connected_components(guarded.select(F.col("winner_id").alias("a"), F.col("loser_id").alias("b")))
-    losers = guarded.select(F.col("loser_id").alias("node")).distinct().withColumn("_loses", F.lit(True))
-    marked = groups.join(losers, "node", "left")
-    chosen = marked.groupBy("root").agg(
-        F.coalesce(F.min(F.when(F.col("_loses").isNull(), F.col("node"))), F.min("node")).alias("root_id")
-    )
-    return (
-        join_unique(groups, chosen, ["root"], "inner")
-        .where("node <> root_id")
-        .select(F.col("node").alias("id"), "root_id")
-    )
+    pointers = cut(_pointers(pairs))
+    counts = pointers.agg(F.count_if("_itself").alias("itself"), F.count_if("_several").alias("several")).first()
+    if counts["itself"]:
+        raise ValueError(f"winner_id and loser_id must differ: {counts['itself']} pairs of equal ids")
+    if counts["several"]:
+        raise ValueError(f"{counts['several']} ids have two winners, see merge_pair_conflicts")
+    ends = _follow(pointers)
+    if not ends.where("circles").isEmpty():
+        raise ValueError("pairs run in a circle, see merge_pair_conflicts")
+    mapping = ends.select("id", "root_id")
+    if entities is not None and not mapping.join(entities.select(F.col("id").alias("root_id")), "root_id", "left_anti").isEmpty():
+        raise ValueError("a survivor is not in the table, see merge_pair_conflicts")
+    return mapping
 
 
 def remap_ids(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:

@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maillage.functions import array_union_clean, empty_json_to_null, greatest_floor
-from maillage.operators.components import drop_losers, remap_ids
+from maillage.operators.components import drop_losers, remap_ids, remap_parent
 from maillage.operators.joins import null_safe_join
+from maillage.operators.links import merge_links
+from maillage.session import cut
 
 # Columns a merge fills on the survivor.
 PERSON_GAPS = (
@@ -41,6 +43,7 @@ PERSON_REFERENCES = {
     "formation": "personne_id",
     "poste": "personne_id",
 }
+STRUCTURE_REFERENCES = {"poste": "structure_id", "activites_coop": "structure_id", "utilisateur": "structure_id", "membre": "structure_id"}
 
 
 def absorbed(df: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -143,39 +146,16 @@ def merge_persons(tables: Mapping[str, DataFrame], mapping: DataFrame) -> dict[s
     return out
 
 
-def merge_structure_ids(structure: DataFrame, mapping: DataFrame) -> DataFrame:
-    """External ids: what the absorbed structure has replaces the survivor's value."""
+def _id_parts(structure: DataFrame) -> tuple[list[Column], dict[str, Column]]:
+    """Aggregates of the absorbed structures, and the survivor's new values: what an absorbed one has replaces them."""
     ids = [c for c in STRUCTURE_IDS if c in structure.columns]
-    per_root = absorbed(structure, mapping).groupBy("root_id").agg(*[_last_filled(c).alias(f"_l_{c}") for c in ids])
-    return _write_back(structure, per_root, {c: F.coalesce(f"_l_{c}", c) for c in ids}, mapping)
-
-
-def _array_side(rows: DataFrame, column: str) -> DataFrame:
-    """Per survivor: the only absorbed array as it is, or the cleaned union of several.
-
-    Elements are made distinct before they are gathered, so what is gathered is the
-    vocabulary of the column and not the number of absorbed rows.
-    """
-    filled = rows.where(F.col(column).isNotNull())
-    single = filled.groupBy("root_id").agg(F.count("*").alias("_n"), F.min_by(column, "id").alias("_one"))
-    union = (
-        filled.select("root_id", F.explode(column).alias("e"))
-        .where("e is not null and e <> ''")
-        .groupBy("root_id")
-        .agg(F.collect_set("e").alias("_many"))
-    )
-    return single.join(union, "root_id", "left").select(
-        "root_id",
-        F.when(F.col("_n") == 1, F.col("_one")).otherwise(F.coalesce("_many", F.array().cast("array<string>"))).alias(f"_l_{column}"),
-    )
+    return [_last_filled(c).alias(f"_l_{c}") for c in ids], {c: F.coalesce(f"_l_{c}", c) for c in ids}
 
 
-def merge_structure_fields(structure: DataFrame, mapping: DataFrame, unions: Sequence[str] = STRUCTURE_UNIONS) -> DataFrame:
-    """Survivor first for single fields, cleaned union for the four list fields."""
-    rows = absorbed(structure, mapping)
+def _field_parts(structure: DataFrame) -> tuple[list[Column], dict[str, Column]]:
+    """The same for single fields: the survivor's own value first."""
     gaps = [c for c in STRUCTURE_GAPS if c in structure.columns]
-    aggs = [F.count("*").alias("_n_absorbed"), *[_first_filled(c).alias(f"_l_{c}") for c in gaps]]
-    new = {c: F.coalesce(c, f"_l_{c}") for c in gaps}
+    aggs, new = [_first_filled(c).alias(f"_l_{c}") for c in gaps], {c: F.coalesce(c, f"_l_{c}") for c in gaps}
     if "source" in structure.columns:
         not_blank = F.nullif(F.col("source"), F.lit(""))
         aggs += [_first_filled("source", not_blank).alias("_l_source"), F.max_by("source", "id").alias("_last_source")]
@@ -183,9 +163,86 @@ def merge_structure_fields(structure: DataFrame, mapping: DataFrame, unions: Seq
     if "last_sirene_enrich_at" in structure.columns:
         aggs.append(F.max("last_sirene_enrich_at").alias("_l_sirene"))
         new["last_sirene_enrich_at"] = greatest_floor(F.col("last_sirene_enrich_at"), F.col("_l_sirene"))
-    per_root = rows.groupBy("root_id").agg(*aggs)
-    for column in unions:
-        if column in structure.columns:
-            per_root = per_root.join(_array_side(rows, column), "root_id", "left")
-            new[column] = array_union_clean(F.col(column), F.col(f"_l_{column}"))
-    return _write_back(structure, per_root, new, mapping)
+    return aggs, new
+
+
+def _list_parts(lists: Sequence[str]) -> tuple[list[Column], dict[str, Column]]:
+    """The same for list fields: the only absorbed list as it is, or the cleaned union of several, joined to the survivor's."""
+    aggs, new = [], {}
+    for c in lists:
+        aggs += [F.count(c).alias(f"_n_{c}"), _first_filled(c).alias(f"_one_{c}")]
+        many = F.coalesce(f"_many_{c}", F.array().cast("array<string>"))
+        absorbed_list = F.when(F.col(f"_n_{c}") == 1, F.col(f"_one_{c}")).when(F.col(f"_n_{c}") > 1, many)
+        new[c] = array_union_clean(F.col(c), absorbed_list)
+    return aggs, new
+
+
+def _list_elements(rows: DataFrame, lists: Sequence[str]) -> DataFrame:
+    """Per survivor and list field, the distinct elements of the absorbed lists: all fields in one aggregate.
+
+    Elements are made distinct before they are gathered, so what is gathered is the
+    vocabulary of a field and not the number of absorbed rows.
+    """
+    named = F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("list")) for c in lists]))
+    elements = rows.select("root_id", named).select("root_id", "field", F.explode("list").alias("e")).where("e is not null and e <> ''")
+    return elements.distinct().groupBy("root_id").agg(
+        *[F.collect_list(F.when(F.col("field") == c, F.col("e"))).alias(f"_many_{c}") for c in lists]
+    )
+
+
+def _merge_structure(structure: DataFrame, mapping: DataFrame, parts: Sequence[tuple], lists: Sequence[str] = ()) -> DataFrame:
+    rows = absorbed(structure, mapping)
+    per_root = rows.groupBy("root_id").agg(F.count("*").alias("_n_absorbed"), *[a for aggs, _ in parts for a in aggs])
+    if lists:
+        per_root = per_root.join(_list_elements(rows, lists), "root_id", "left")
+    return _write_back(structure, per_root, {c: v for _, new in parts for c, v in new.items()}, mapping)
+
+
+def merge_structure_ids(structure: DataFrame, mapping: DataFrame) -> DataFrame:
+    """External ids alone: what the absorbed structure has replaces the survivor's value."""
+    return _merge_structure(structure, mapping, [_id_parts(structure)])
+
+
+def merge_structure_fields(structure: DataFrame, mapping: DataFrame, unions: Sequence[str] = STRUCTURE_UNIONS) -> DataFrame:
+    """Fields alone: survivor first for single fields, cleaned union for the four list fields."""
+    lists = [c for c in unions if c in structure.columns]
+    return _merge_structure(structure, mapping, [_field_parts(structure), _list_parts(lists)], lists)
+
+
+def merge_structure_rows(structure: DataFrame, mapping: DataFrame, unions: Sequence[str] = STRUCTURE_UNIONS) -> DataFrame:
+    """External ids, single fields and lists at once, then the absorbed rows go.
+
+    The two functions above each remove the absorbed rows, so neither can follow the other.
+    """
+    lists = [c for c in unions if c in structure.columns]
+    return _merge_structure(structure, mapping, [_id_parts(structure), _field_parts(structure), _list_parts(lists)], lists)
+
+
+def merge_structures(tables: Mapping[str, DataFrame], mapping: DataFrame, now: Column | None = None) -> dict[str, DataFrame]:
+    """All tables after the merge: structures, links to persons, other references, children.
+
+    Links are matched by the absorbed structure's external id as it was before the merge.
+    Children of the survivor's replaced external id follow it as well as those of the absorbed one's.
+    """
+    before = tables["structure"]
+    after = merge_structure_rows(before, mapping)
+    out = dict(tables)
+    for name, column in STRUCTURE_REFERENCES.items():
+        if name in tables:
+            out[name] = remap_ids(tables[name], column, mapping)
+    if "structure_coop_id" in before.columns:
+        codes = before.select("id", F.col("structure_coop_id").alias("_old"))
+        if "personne_affectations" in tables:
+            pairs = mapping.join(codes, "id").select(F.col("root_id").alias("winner_id"), F.col("id").alias("loser_id"), F.col("_old").alias("loser_coop_id"))
+            out["personne_affectations"] = merge_links(tables["personne_affectations"], cut(pairs), now)
+        if "structure_parente" in before.columns:
+            roots = mapping.select("id", "root_id").unionByName(mapping.select(F.col("root_id").alias("id"), "root_id").distinct())
+            new = after.select(F.col("id").alias("root_id"), F.col("structure_coop_id").alias("_new"))
+            # External ids are unique; should one be held twice, its smallest new value counts.
+            moved = (
+                roots.join(codes, "id").join(new, "root_id").where("_old <> _new")
+                .groupBy(F.col("_old").alias("id")).agg(F.min("_new").alias("root_id"))
+            )
+            after = remap_parent(after, "structure_parente", moved)
+    out["structure"] = after
+    return out

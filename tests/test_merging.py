@@ -36,9 +36,22 @@ def test_equal_ids_fail(spark):
         components.resolve_merge_pairs(pairs_of(spark, [(7, 7)])).collect()
 
 
-def test_circle_and_two_winners(spark):
-    got = as_set(components.resolve_merge_pairs(pairs_of(spark, [(1, 2), (2, 1), (8, 9), (7, 9)])))
-    assert got == {(2, 1), (8, 7), (9, 7)}
+@pytest.mark.parametrize("rows, reason", [([(1, 9), (2, 9)], "two winners"), ([(1, 2), (2, 1), (1, 3)], "circle"), ([(1, 2), (2, 3), (3, 4), (4, 2)], "two winners")])
+def test_conflicts_are_refused(spark, rows, reason):
+    with pytest.raises(ValueError, match=reason):
+        components.resolve_merge_pairs(pairs_of(spark, rows))
+
+
+def test_conflicts_are_listed(spark):
+    pairs = pairs_of(spark, [(1, 9), (2, 9), (2, 9), (11, 12), (12, 11), (12, 13), (13, 14), (20, 21), (21, 22), (30, 30), (99, 40), (40, 41), (50, 51), (50, 51)])
+    entities = spark.createDataFrame([(i,) for i in range(60)], "id int")
+    assert as_set(components.merge_pair_conflicts(pairs, entities)) == {
+        (9, "two_winners"), (11, "circle"), (12, "circle"), (13, "circle"), (14, "circle"), (30, "same_id"), (40, "absent_survivor"), (41, "absent_survivor"),
+    }
+    assert as_set(components.merge_pair_conflicts(pairs.where("winner_id < 0"), entities)) == set()
+    with pytest.raises(ValueError, match="not in the table"):
+        components.resolve_merge_pairs(pairs_of(spark, [(99, 40)]), entities)
+    assert as_set(components.resolve_merge_pairs(pairs.where("winner_id < 0"))) == set()
 
 
 def test_long_chain_and_star(spark):
@@ -159,6 +172,19 @@ def test_structure_fields(spark):
     assert out[7]["typologies"] == ["q", ""] and out[7]["last_sirene_enrich_at"] is None and out[7]["source"] == ""
 
 
+def test_structure_rows_take_ids_and_fields_at_once(spark):
+    df = spark.createDataFrame([(1, "c1", None, "P"), (2, "c2", "S2", "c1"), (3, "c3", "S3", "c2"), (4, None, None, "c3")], "id int, structure_coop_id string, siret string, structure_parente string")
+    mapping = mapping_of(spark, [(2, 1)])
+    assert as_set(merging.merge_structure_rows(df, mapping).select("id", "structure_coop_id", "siret")) == {(1, "c2", "S2"), (3, "c3", "S3"), (4, None, None)}
+    links_ = spark.createDataFrame([(1, 7, 2, LIEU, "c2", "m", None), (2, 8, None, LIEU, "c2", None, None), (3, 9, 3, LIEU, "c3", "m", None)], LINK)
+    posts = spark.createDataFrame([(1, 2), (2, 3), (3, None)], "id int, structure_id int")
+    out = merging.merge_structures({"structure": df, "personne_affectations": links_, "poste": posts}, mapping)
+    assert as_set(out["poste"]) == {(1, 1), (2, 3), (3, None)}
+    assert {(r["id"], r["structure_id"]) for r in out["personne_affectations"].collect()} == {(1, 1), (2, 1), (3, 3)}
+    # The survivor has the absorbed external id now, so children of either follow it.
+    assert {r["id"]: r["structure_parente"] for r in out["structure"].collect()} == {1: "P", 3: "c2", 4: "c3"}
+
+
 # ---------------------------------------------------------------- links
 LINK = "id int, personne_id int, structure_id int, type string, structure_coop_id string, mediateur_coop_id string, suppression timestamp"
 T1, T2 = datetime(2020, 1, 1), datetime(2021, 1, 1)
