@@ -203,7 +203,7 @@ def _(t):
       c.plafond, cast(q.demande as double) / nullif(c.plafond, 0) as taux_plafond
     from (
       select f.gouvernance_departement_code as departement_code, d.enveloppe_financement_id as enveloppe_id, count(*) as nb_demandes,
-        sum(cast(d.subvention_demandee as decimal(18,2))) as demande
+        sum(cast(d.subvention_demandee as decimal(28,8))) as demande
       from a_demande d join a_action a on a.id = d.action_id join a_feuille f on f.id = a.feuille_de_route_id group by 1, 2) q
     join a_enveloppe e on e.id = q.enveloppe_id
     left join a_plafond c on c.departement_code = q.departement_code and c.enveloppe_id = q.enveloppe_id""")
@@ -215,7 +215,7 @@ def _(t):
     select a.id as action_id, a.budget_global, ifnull(c.nb, 0) as nb_cofinancements, ifnull(cast(c.total as double), 0.0) as cofinancement,
       ifnull(cast(c.total as double), 0.0) / nullif(a.budget_global, 0) as part_cofinancee
     from a_action a left join (
-      select id_action, count(*) as nb, sum(cast(montant as decimal(18,2))) as total from a_cofinancement group by 1) c on c.id_action = a.id""")
+      select id_action, count(*) as nb, sum(cast(montant as decimal(28,8))) as total from a_cofinancement group by 1) c on c.id_action = a.id""")
 def _(t):
     return grants.cofinancement_par_action(t.a_action, t.a_cofinancement)
 

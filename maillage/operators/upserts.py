@@ -17,7 +17,9 @@ def upsert(
 ) -> DataFrame:
     """Update rows of ``target`` by key and insert new keys; the newest update of a key wins.
 
-    ``order_col`` is a column of ``updates`` that orders repeats of one key. A key with a
+    ``order_col`` is a column of ``updates`` that orders repeats of one key; repeats equal
+    in it are settled by their content (the smallest as JSON), so a rerun gives the same
+    rows. A key with a
     NULL part equals nothing: such rows of either side pass by the join, where they would
     all meet in one task, and such updates are inserted. With ``now``, ``stamp`` is set
     on the rows an update really changed.
@@ -25,7 +27,8 @@ def upsert(
     whole_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     columns = target.columns
     values = [c for c in columns if c not in keys]
-    newest = first_row_per_key(updates.where(whole_key), keys, [F.col(order_col).desc_nulls_last()]).select(*columns)
+    content = F.to_json(F.struct(*values), {"ignoreNullFields": "false"}) if values else F.lit("")
+    newest = first_row_per_key(updates.where(whole_key), keys, [F.col(order_col).desc_nulls_last(), content]).select(*columns)
     new = newest.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in values], F.lit(True).alias("_new"))
     old = target.where(whole_key).withColumn("_old", F.lit(True))
     joined = old.join(new, list(keys), "full_outer")

@@ -11,6 +11,8 @@ from maillage.functions import label_enveloppes, net_v2, zero_if_null
 from maillage.operators.joins import join_unique
 from maillage.session import cut
 
+# Wide enough not to round an amount that a double states; sums in it do not depend on the order of the rows.
+MONEY = "decimal(28,8)"
 PAIR = ["poste_conum_id", "structure_id"]
 GRANT_COLUMNS = [
     "enveloppes", "date_fin_convention", "is_territoire_prioritaire", "montant_subvention_v1", "montant_bonification_v1",
@@ -139,9 +141,12 @@ def _grants_times_payments(grants: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     left = grants.groupBy(*PAIR, *GRANT_COLUMNS).agg(F.count("*").alias("_n"))
     right = grants.groupBy(*PAIR, *PAYMENT_COLUMNS).agg(F.count("*").alias("_m"))
-    times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n") * F.col("_m")))
     placed = join_unique(left, pairs, PAIR, "inner")
-    return placed.join(right, PAIR).withColumn("_copy", times).drop("_n", "_m", "_copy")
+    joined = placed.join(right, PAIR)
+    # n, then m: no array is longer than the grants of one pair.
+    for times in ("_n", "_m"):
+        joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times)))).drop("_copy")
+    return joined.drop("_n", "_m")
 
 
 def postes_synthese(poste: DataFrame, contrat: DataFrame, subvention: DataFrame, collapse: bool = False) -> DataFrame:
@@ -211,7 +216,7 @@ def consommation_enveloppe(
             "feuille_de_route_id",
         )
         .groupBy("departement_code", F.col("enveloppe_financement_id").alias("enveloppe_id"))
-        .agg(F.count("*").alias("nb_demandes"), F.sum(F.col("subvention_demandee").cast("decimal(18,2)")).alias("_demande"))
+        .agg(F.count("*").alias("nb_demandes"), F.sum(F.col("subvention_demandee").cast(MONEY)).alias("_demande"))
     )
     return (
         requested.join(enveloppe.select(F.col("id").alias("enveloppe_id"), F.col("montant").alias("montant_enveloppe")), "enveloppe_id")
@@ -227,7 +232,7 @@ def consommation_enveloppe(
 def cofinancement_par_action(action: DataFrame, cofinancement: DataFrame) -> DataFrame:
     """Co-financing of each action and its share of the budget; actions without any have 0."""
     given = cofinancement.groupBy("id_action").agg(
-        F.sum(F.col("montant").cast("decimal(18,2)")).alias("_total"), F.count("*").alias("_n")
+        F.sum(F.col("montant").cast(MONEY)).alias("_total"), F.count("*").alias("_n")
     )
     total = F.coalesce(F.col("_total").cast("double"), F.lit(0.0))
     return action.join(given, F.col("id") == F.col("id_action"), "left").select(
