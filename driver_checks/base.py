@@ -187,7 +187,8 @@ ADAPTERS = {
           concat('SELECT x.', case (conv_id + turn) % 5 when 0 then 'nom' when 1 then 'id, x.email_de_contact' when 2 then 'nom_commune' when 3 then 'prenom' else 'departement_code' end,
             ' FROM ', case (conv_id * 3 + turn) % 9 when 0 then 'llm.structure' when 1 then 'main.personne' when 2 then 'Main."Poste"' when 3 then 'main.subvention'
               when 4 then 'main.structure' when 5 then 'admin.commune' when 6 then 'llm.personne_enrichie' when 7 then 'audit.journal' else 'reference.naf' end,
-            ' x', case (conv_id + turn) % 4 when 0 then ', min.utilisateur u' when 1 then ' join llm.structure_administrative s on s.id = x.id' else '' end,
+            ' x', case (conv_id + turn) % 8 when 0 then ', min.utilisateur u' when 1 then ' join llm.structure_administrative s on s.id = x.id'
+              when 2 then ', personne p' when 3 then ' join secret.notes n on true' when 4 then ' join parquet.`/data/personne` on true' when 5 then ', "Poste", admin.commune' else '' end,
             ' where note = ', text) as texte
         from {conversations}""",
     "a_feuille": "select c_custkey as id, lpad(cast(c_nationkey as string), 2, '0') as gouvernance_departement_code from {customer}",

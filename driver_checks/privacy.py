@@ -105,8 +105,19 @@ def _sql_list(names):
 
 ALLOWED = """(t like 'admin.%' or t like 'reference.%' or t like 'llm.%' or t in ('main.subvention', 'main.lieu_inclusion_structure_administrative',
       'min.departement', 'min.region', 'min.groupement', 'min.enveloppe_financement', 'min.departement_enveloppe'))"""
+# Names at relation positions, and texts that may hide some, in words of their own.
+WORD, GAP = r"[^\s,();.]+", r"[\s(]*(?:(?:only|lateral)\b[\s(]*)*"
+PLACE = rf"{WORD}(?:\s*\.\s*{WORD})*"
+ITEMS = rf"\b(?:from|join|into|update|table)\b{GAP}{PLACE}(?:(?:[\s)]+(?:as\s+)?{WORD})?[\s)]*,{GAP}{PLACE})*"
+PLACED_NAMES = rf"""list_filter(list_transform(flatten(list_transform(regexp_extract_all(regexp_replace(lower(texte), '\b(?:select|with|values)\b', ';', 'g'), '{ITEMS}'), lambda l: string_split(l, ','))),
+      lambda i: regexp_replace(regexp_extract(i, '^\s*(?:\b(?:from|join|into|update|table)\b)?{GAP}({PLACE})', 1), '["`\s]', '', 'g')),
+      lambda n: n <> '')"""
+HIDDEN = r"""(contains(texte, '--') or contains(texte, '/*') or len(list_filter(
+      regexp_split_to_array(lower(texte), '\b(?:select|where|group|order|having|limit|union|except|intersect|window|set|values|returning)\b'),
+      lambda c: regexp_matches(c, '(?s)\bjoin\b.*,'))) > 0)"""
 AUDIT = f"""
-    select id, names, list_filter(names, lambda t: not {ALLOWED}) as bad from (select id, {TABLE_NAMES} as names from a_requetes) q"""
+    select id, names, list_sort(list_distinct(list_filter(list_concat(names, placed, case when hidden then ['?'] else [] end), lambda t: not {ALLOWED}))) as bad
+    from (select id, {TABLE_NAMES} as names, {PLACED_NAMES} as placed, {HIDDEN} as hidden from a_requetes) q"""
 
 
 @check("audit_queries", f"""

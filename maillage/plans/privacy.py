@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maillage import model
@@ -14,6 +14,16 @@ from maillage.sources.tables import read_table
 # Schemas whose mention in a query text counts as use of a table. Fixed values.
 SCHEMAS = ("admin", "main", "min", "reference", "llm", "import", "audit", "api", "auth", "dataviz", "pseudonymisation")
 TABLE_PATTERN = r'\b(' + "|".join(SCHEMAS) + r')"?\s*\.\s*"?([a-z_][a-z0-9_]*)'
+# What stands where a relation is named, and in a list of relations after it.
+_NAME = r"[^\s,();.]+(?:\s*\.\s*[^\s,();.]+)*"
+_OPEN = r"[\s(]*(?:(?:only|lateral)\b[\s(]*)*"
+_NAMES_AT = r"\b(?:from|join|into|update|table)\b"
+RELATIONS_PATTERN = rf"{_NAMES_AT}{_OPEN}{_NAME}(?:(?:[\s)]+(?:as\s+)?[^\s,();.]+)?[\s)]*,{_OPEN}{_NAME})*"
+RELATION_PATTERN = rf"^\s*(?:{_NAMES_AT})?{_OPEN}({_NAME})"
+CLAUSES_PATTERN = r"\b(?:select|where|group|order|having|limit|union|except|intersect|window|set|values|returning)\b"
+# `name as (`, as the parts of a WITH are written.
+PARTS_PATTERN = r"([a-z_][a-z0-9_]*)\s+as\s*(?:materialized\s*)?\("
+UNREADABLE = "?"
 # A column is used as a word of its own: `nom` in `p.nom`, not in `nom_commune`.
 COLUMN_PATTERN = r"[\p{L}\p{N}_]+"
 ALLOWED_SCHEMAS = ("admin", "reference")
@@ -87,26 +97,59 @@ def policy_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, tier int")
 
 
+def _relations(text: Column) -> Column:
+    """Names at relation positions, quotes and spaces removed; names of WITH parts are left out unless a protected table has them."""
+    # A nested query is no name, and what it selects no list of relations.
+    lists = F.regexp_extract_all(F.regexp_replace(text, r"\b(?:select|with|values)\b", ";"), F.lit(RELATIONS_PATTERN), F.lit(0))
+    items = F.flatten(F.transform(lists, lambda one: F.split(one, ",")))
+    names = F.transform(items, lambda item: F.regexp_replace(F.regexp_extract(item, RELATION_PATTERN, 1), r'["`\s]', ""))
+    bare = sorted({t.split(".")[-1].lower() for t in (*model.TIER_1, *model.TIER_2, *model.TIER_3, *model.TECHNICAL)})
+    parts = F.filter(F.regexp_extract_all(text, F.lit(PARTS_PATTERN), F.lit(1)), lambda part: ~part.isin(*bare))
+    return F.filter(names, lambda name: (name != "") & ~F.array_contains(parts, name))
+
+
+def _unreadable(text: Column) -> Column:
+    """Whether relations may stand where no pattern is sure to find them.
+
+    That is so with comments, with a comma after a join, and with a comma after a closing
+    bracket in a text that nests a query.
+    """
+    # What is selected is no relation: it is cut off from its mark up to FROM.
+    marked = F.split(F.regexp_replace(text, r"\bselect\b", "limit ;"), CLAUSES_PATTERN)
+    clauses = F.transform(marked, lambda c: F.regexp_replace(c, r"(?s)^\s*;.*?\bfrom\b", ""))
+    after_join = F.exists(clauses, lambda c: c.rlike(r"(?s)\bjoin\b.*,"))
+    after_nested = F.exists(F.slice(clauses, 2, F.size(clauses)), lambda c: c.rlike(r"\)[^(]*,"))
+    nests = text.rlike(r"\(\s*(?:select|with|values)\b")
+    return F.contains(text, F.lit("--")) | F.contains(text, F.lit("/*")) | after_join | (nests & after_nested)
+
+
 def audit_queries(queries: DataFrame, id_col: str, text: str) -> DataFrame:
     """Which tables each query text uses, and whether the policy lets it pass.
 
     A query passes when it names at least one table and every table it names is
-    allowed. Any schema-qualified name counts as use, wherever it stands, so a name
-    after a comma or in a subquery is not missed. The policy is a fixed short list
-    and is compared in place: no shuffle, whatever the number of queries.
+    allowed. Any schema-qualified name counts as use, wherever it stands (``tables``).
+    Beyond those, whatever stands where a relation is named (after FROM, JOIN, INTO,
+    UPDATE, TABLE or a comma that follows) must be on the list too, qualified or not,
+    quoted or a path. The audit fails closed: a text in which relations may be hidden is
+    refused as ``?``, a null text has no table and does not pass, and FROM within an
+    expression, as in ``extract(year from d)``, counts as a relation. The policy is a
+    fixed short list and is compared in place: no shuffle, whatever the number of queries.
     """
+    lowered = F.lower(text)
     found = F.expr(f"regexp_extract_all(lower({text}), r'{TABLE_PATTERN}', 0)")
     tables = F.array_sort(F.array_distinct(F.transform(found, lambda t: F.regexp_replace(t, r'["\s]', ""))))
     include = "^(" + "|".join(p.replace(".", r"\.").replace("*", r".*") for p in model.INCLUDE_PATTERNS) + ")$"
-    refused = F.filter("tables", lambda t: ~t.rlike(include) | t.isin(*model.EXCLUDED))
+    doubt = F.when(_unreadable(lowered), F.array(F.lit(UNREADABLE))).otherwise(F.array().cast("array<string>"))
+    named = F.array_sort(F.array_union(F.concat("tables", "_relations"), "_doubt"))
+    refused = F.filter(named, lambda t: ~t.rlike(include) | t.isin(*model.EXCLUDED))
     tiers = F.transform("refused", lambda t: F.when(t.isin(*model.TIER_1), 1).when(t.isin(*model.TIER_2), 2).when(t.isin(*model.TIER_3), 3))
     return (
-        queries.select(id_col, tables.alias("tables"))
+        queries.select(id_col, tables.alias("tables"), _relations(lowered).alias("_relations"), doubt.alias("_doubt"))
         .withColumn("refused", refused)
         .select(
             id_col, "tables", "refused",
             F.array_min(F.array_compact(tiers)).alias("strictest_tier"),
-            ((F.size("tables") > 0) & (F.size("refused") == 0)).alias("allowed"),
+            F.coalesce((F.size("tables") > 0) & (F.size("refused") == 0), F.lit(False)).alias("allowed"),
         )
     )
 

@@ -21,6 +21,20 @@ CASES = [
     (8, "select 1 from llm.structure s, Main . \"Poste\" p", False, 2),
     (9, "select 1", False, None),
     (10, "select 1 from min.region where x in (select id from audit.journal)", False, None),
+    (11, "select nom from admin.commune c, personne p", False, None),
+    (12, "select 1 from admin.commune join secret.notes on true", False, None),
+    (13, "select 1 from parquet.`/data/main/personne` p join admin.commune on true", False, None),
+    (14, 'select 1 from admin.commune c, admin.region r, "personne"', False, None),
+    (15, "select 1 from (select a from admin.commune where b) y, personne", False, None),
+    (16, "select 1 from admin.commune c join admin.region r on true, personne", False, None),
+    (17, "select 1 from admin.commune/**/, personne", False, None),
+    (18, "with villes as (select 1 from admin.commune) select count(*) from villes v", True, None),
+    (19, "with personne as (select 1 from admin.commune) select count(*) from personne", False, None),
+    (20, "select count(*), max(a), b from (select a, b from llm.structure where c in (1, 2)) s", True, None),
+    (21, "select 1 from ((admin.commune)), ((personne))", False, None),
+    (22, "select 1 from admin.commune c join llm.structure s on s.id = c.id group by c.a, c.b order by 1, 2", True, None),
+    (23, None, False, None),
+    (24, "update personne set nom = 1 where id in (select id from admin.commune)", False, None),
 ]
 
 
