@@ -4,7 +4,8 @@ Score = bias + sum of the weights of the terms present + sum over pairs of terms
 their factors. The pairs let two terms count together that are harmless alone. Terms are words in lower
 case without other characters, and their first bytes, so that compounds share a term. Terms are chosen
 by their association with the label on the training sample; the machine is then trained on all of the
-sample at once by Adam steps in numpy.
+sample at once by Adam steps in numpy. Where the sample is bounded, by label, the bias is brought back to
+the ratio of the labels among all usable rows, so that scores and threshold mean the same at every size.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maillage.llm.columns import held_out
+from maillage.llm.columns import held_out, stored
 from maillage.llm.text import LOWER, Texts, batches, prefix_sums, windows
 
 FIT_TOXIC, FIT_OTHER = 3000, 6000  # bounds of the labelled sample, by label
@@ -87,15 +88,17 @@ def _present(column: pa.Array):
         yield key // BUCKETS, key % BUCKETS
 
 
-def train(texts: list[str], labels: list[int], n_terms: int = TERMS) -> ToxicityModel:
+def train(texts: list[str], labels: list[int], n_terms: int = TERMS, shares: tuple[float, float] = (1.0, 1.0)) -> ToxicityModel:
     """Choose terms, then Adam on all documents at once with a penalty on weights and factors.
 
-    No rows, or rows of one class only, give a model without terms whose bias is the smoothed prior.
+    ``shares``: how much of the toxic and of the other usable rows the sample holds. No rows, or rows of one
+    class only, give a model without terms whose bias is the smoothed prior of all usable rows.
     """
     y = np.asarray(labels, np.float64)
     prior = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     slot = np.full(BUCKETS, -1, np.int16)
     if not len(y) or y.min() == y.max():
+        prior = float(np.log((y.sum() / shares[0] + 1) / ((len(y) - y.sum()) / shares[1] + 1)))
         return ToxicityModel(slot, np.zeros(0), np.zeros((0, FACTORS)), prior)
     column = pa.array(texts, pa.string())
     toxic, other = np.zeros(BUCKETS), np.zeros(BUCKETS)
@@ -131,17 +134,24 @@ def train(texts: list[str], labels: list[int], n_terms: int = TERMS) -> Toxicity
             m += 0.1 * (g - m)
             v += 0.01 * (g**2 - v)
             p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-    return ToxicityModel(slot, params[0], params[1], float(params[2][0]))
+    return ToxicityModel(slot, params[0], params[1], float(params[2][0] + np.log(shares[1] / shares[0])))
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_other: int = FIT_OTHER) -> ToxicityModel:
-    """Train on at most ``fit_toxic`` and ``fit_other`` labelled documents that are not held out, those with the smallest id hashes."""
-    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_y")).where(~held_out(F.col("_id"), 5, 0))
-    parts = [known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n) for y, n in ((1, fit_toxic), (0, fit_other))]
+    """Train on at most ``fit_toxic`` and ``fit_other`` labelled documents that are not held out, those with the smallest id hashes.
+
+    Labels without a document in ``docs`` neither take a place in the sample nor count towards the ratio.
+    """
+    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_y")).where(~held_out(F.col("_id"), 5, 0) & F.col("_y").isin(0, 1))
+    usable = stored(known.join(docs.select("doc_id"), F.col("doc_id") == F.col("_id"), "left_semi"), "toxicity-labels")
+    n = {r["_y"]: r["n"] for r in usable.groupBy("_y").agg(F.count("*").alias("n")).collect()}
+    bounds = ((1, fit_toxic), (0, fit_other))
+    parts = [usable.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(bound) for y, bound in bounds]
     chosen = parts[0].unionAll(parts[1])
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "_y", "text").collect()
     rows.sort(key=lambda r: (r["_id"], r["_y"], r["text"] or ""))
-    return train([r["text"] or "" for r in rows], [r["_y"] for r in rows])
+    shares = tuple(min(1.0, bound / n[y]) if y in n else 1.0 for y, bound in bounds)
+    return train([r["text"] or "" for r in rows], [r["_y"] for r in rows], shares=shares)
 
 
 def toxicity_score(model: ToxicityModel, text: Column) -> Column:

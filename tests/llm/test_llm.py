@@ -123,3 +123,17 @@ def test_classifiers_and_empty_tables(spark, docs, labels):
         assert toxicity.score_toxicity(frame, labels).count() == n
     assert curve_packing.pack(empty).count() == 0 and near_duplicates.find_near_duplicates(empty).count() == 0
     assert rule_cascade.judge(empty).count() == 0 and pieces.code_documents(empty).count() == 0 and attention.score_documents(empty).count() == 0
+
+
+def test_toxicity_keeps_the_ratio_of_all_labels(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, f"word{w}", int(i % 10 == 0)) for i, w in enumerate(rng.integers(0, 3, 3000).tolist())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    # The words tell nothing: a sample of two clean texts for a toxic one is no reason for scores near a third.
+    texts = pa.array([r[1] for r in rows])
+    bound = toxicity.fit(frame, frame, fit_toxic=150, fit_other=300)
+    assert np.mean(bound.score(texts)) < 0.16 and np.isclose(np.mean(toxicity.fit(frame, frame).score(texts)), 0.1, atol=0.03)
+    # Of one label only: the prior of all rows, not of the sample. Labels whose document is absent count nowhere.
+    one, half = frame.where("toxic = 0"), frame.where("doc_id < 600")
+    assert np.isclose(toxicity.fit(one, one, fit_other=10).bias, toxicity.fit(one, one).bias)
+    assert np.isclose(toxicity.fit(half, frame, 20, 40).bias, toxicity.fit(half, half, 20, 40).bias)
