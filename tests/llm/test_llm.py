@@ -137,3 +137,20 @@ def test_toxicity_keeps_the_ratio_of_all_labels(spark):
     one, half = frame.where("toxic = 0"), frame.where("doc_id < 600")
     assert np.isclose(toxicity.fit(one, one, fit_other=10).bias, toxicity.fit(one, one).bias)
     assert np.isclose(toxicity.fit(half, frame, 20, 40).bias, toxicity.fit(half, half, 20, 40).bias)
+
+
+def test_attention_learns_from_more_than_a_fixed_number_of_texts(spark):
+    n = 2 * attention.SHARE * attention.FIT_ROWS
+    rows = spark.range(n).selectExpr("id as doc_id", "cast(id as string) as text")
+    assert attention.sample(rows).count() > 1.7 * attention.FIT_ROWS and attention.sample(rows.limit(1000)).count() == 1000
+    # Neighbours are those of brute force, within texts that are not held out.
+    ids, bounds, context = np.array([5, 6, 5, 7, 6, 5]), np.array([0, 3, 3, 5, 6]), np.array([-1] * 5 + [0, 1, -1])
+    codes = sorted(np.concatenate(list(attention.near_codes(ids, bounds, np.array([True, True, True, False]), context, 2))).tolist())
+    assert codes == sorted([25, 30, 25, 35, 30, 25 + 1 + 1, 30 + 1 + 0, 35 + 1 + 1, 30 + 3 + 0, 25 + 3 + 1])
+    # An id beyond the most frequent ones joins the class of those with its neighbours.
+    size, width = attention.FREQUENT + 500, 50
+    of = np.arange(size)
+    codes = np.concatenate([of * (2 * width + 1), of * (2 * width + 1) + 1 + of % width])
+    times = np.concatenate([np.arange(size, 0, -1), np.full(size, 3)])
+    group, count = attention.classes_of(codes, times, width, np.append(np.ones(size, bool), False))
+    assert (group[attention.FREQUENT : size] > 1).all() and (group[:size] == group[of % width]).all() and count[0] == size
