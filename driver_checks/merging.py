@@ -422,6 +422,23 @@ def _(t):
     return bridge
 
 
+@check("split_structure_whole", """
+    select 'sites' as table_name, id, id as other_id, nom, null as siret, null as denomination_antenne, null as emplois from a_structure
+    union all select 'entities', id, id, null, siret, denomination_sirene, emplois
+      from (select *, row_number() over (partition by siret, denomination_sirene order by id) as n from a_structure
+            where siret is not null or denomination_sirene is not null) x where n = 1
+    union all select 'bridge', id, min(id) over (partition by siret, denomination_sirene), null, null, null, null
+      from a_structure where siret is not null or denomination_sirene is not null""")
+def _(t):
+    legacy = t.a_structure.withColumnRenamed("denomination_sirene", "denomination_antenne")
+    sites, entities, bridge = dedupe.split_structure(legacy, ["nom"], ["emplois"])
+    named = [("sites", sites.withColumnRenamed("old_main_structure_id", "other_id")), ("entities", entities.withColumnRenamed("old_main_structure_id", "other_id")),
+             ("bridge", bridge.toDF("id", "other_id"))]
+    parts = [df.withColumn("table_name", F.lit(name)) for name, df in named]
+    out = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    return out.select("table_name", "id", "other_id", "nom", "siret", "denomination_antenne", "emplois")
+
+
 @check("merge_import_warnings", """
     select id, case when siret is null and emplois is null then '["siret_absent","emplois_absents"]' when siret is null then '["siret_absent"]'
       when emplois is null then '["emplois_absents"]' end as import_warnings from a_structure""")

@@ -446,6 +446,16 @@ def _(t):
     return t.a_poste.select("id", "structure_id").orderBy(F.col("structure_id").isNull().desc(), "id").limit(50)
 
 
+@check("sort_nulls_last_whole", "select id, date_fin from a_contrat")
+def _(t):
+    return t.a_contrat.select("id", "date_fin").orderBy(F.col("date_fin").desc_nulls_last(), "id")
+
+
+@check("sort_bool_expr_whole", "select id, structure_id from a_poste")
+def _(t):
+    return t.a_poste.select("id", "structure_id").orderBy(F.col("structure_id").isNull().desc(), "id")
+
+
 @check("limit_exploratory", "select id, etat from a_poste order by id limit 100")
 def _(t):
     return t.a_poste.select("id", "etat").orderBy("id").limit(100)

@@ -27,6 +27,15 @@ def _(t):
     return quarter.groupBy("type").agg(F.count("*").alias("nb"), F.sum("duree").alias("minutes"))
 
 
+@check("write_table_whole", """
+    select date_trunc('month', date)::date as periode, type, count(*) as nb, cast(sum(duree) as bigint) as minutes from a_activites group by 1, 2""")
+def _(t):
+    root = scratch_path(t.spark, "activities")
+    tables.write_table(t.a_activites, root, "main.activites_coop", ["periode"])
+    written = tables.read_table(t.spark, root, "main.activites_coop")
+    return written.groupBy("periode", "type").agg(F.count("*").alias("nb"), F.sum("duree").alias("minutes"))
+
+
 @check("land_raw", "select * from customer")
 def _(t):
     return t.spark.read.parquet(landing.land_raw(t.customer, "crm", "clients", scratch_path(t.spark, "land")))
