@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from maillage.llm import attention, curve_packing, html_blocks, near_duplicates, ogg, pieces, quality, rule_cascade, toxicity, url_rules
+from maillage.llm import (
+    attention, curve_packing, divergence, html_blocks, importance, near_duplicates, ogg, pieces, quality, rule_cascade, token_counts, toxicity, url_rules,
+)
 from maillage.llm.columns import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +58,18 @@ def op10_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_cascade.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -64,7 +78,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_ogg_media, op2_subword_quality, op3_attention_scores, op4_suffix_array_pieces, op5_curve_packing, op6_recurrent_blocks, op7_url_expressions, op8_minhash_components, op9_factorization_toxicity,
-        op10_rule_cascade, pipeline,
+        op10_rule_cascade, op11_importance_resampling, op12_source_divergence, op13_token_counts, pipeline,
     )
 }
 
@@ -116,6 +130,79 @@ ORACLES: dict[str, str] = {
                     or word_chars < 2 * n_words or word_chars > 16 * n_words) as kept
         from judged
     """,
+    # crc32 of the distinct features, byte by byte: the table of one byte's effect, then a fold over each feature's bytes.
+    "op11_importance_resampling": r"""
+        with recursive effect(byte, value, step) as (
+          select range, range, 0 from range(256)
+          union all
+          select byte, case when value & 1 = 1 then xor(value >> 1, 3988292384) else value >> 1 end, step + 1 from effect where step < 8
+        ), bytes as materialized (
+          select list(value order by byte) as effects from effect where step = 8
+        ), texts as (
+          select 's' as side, doc_id as id, text from documents union all select 't', item_id, text from benchmark
+        ), split as (
+          select side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from texts
+        ), features as materialized (
+          select side, id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as feature from split
+        ), distinct_features as (
+          select distinct feature from features
+        ), codes as (
+          select feature, list_transform(range(0, octet_length(encode(feature))), lambda i: ('0x' || substr(hex(encode(feature)), 2 * i + 1, 2))::bigint) as b from distinct_features
+        ), hashed as (
+          select feature, xor(list_reduce(list_prepend(4294967295, b), lambda crc, x: xor(crc >> 8, effects[1 + (xor(crc, x) & 255)])), 4294967295) % 10000 as bucket
+          from codes, bytes
+        ), counts as (
+          select bucket, count(*) filter (side = 's') as s, count(*) filter (side = 't') as t from features join hashed using (feature) group by bucket
+        ), gains as (
+          select bucket, floor(1000 * ln((t + 1)::double * (select sum(s) + 10000 from counts)::double / ((s + 1)::double * (select sum(t) + 10000 from counts)::double)))::bigint as gain from counts
+        ), weights as (
+          select id, count(*) as n, floor(sum(gain)::double / count(*))::bigint as weight from features join hashed using (feature) join gains using (bucket) where side = 's' group by id
+        ), scored as (
+          select doc_id, coalesce(n, 0) as n_features, coalesce(weight, 0)
+                 + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296)))::bigint as score, coalesce(weight, 0) as weight
+          from documents left join weights on id = doc_id
+        ), placed as (
+          select *, row_number() over (order by score desc, doc_id) as place, count(*) over () as n from scored where n_features >= 39
+        )
+        select doc_id, scored.n_features, scored.weight, scored.score, place as rank
+        from scored left join (select * from placed where place <= 25 * n // 100) as drawn using (doc_id)
+    """,
+    "op12_source_divergence": r"""
+        with docs as (
+          select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+          from documents
+        ), tokens as materialized (
+          select id, lang, source, unnest(w) as term from docs
+        ), terms as materialized (
+          select lang, term, count(*)::hugeint as n from tokens group by lang, term having count(distinct id) >= 3
+        ), langs as (
+          select lang, count(*)::hugeint as v, sum(n)::hugeint as n from terms group by lang
+        ), counts as materialized (
+          select lang, source, term, count(*)::hugeint as n from tokens join terms using (lang, term) group by lang, source, term
+        ), sizes as (
+          select lang, source, sum(n)::hugeint as n from counts group by lang, source
+        ), groups as (
+          select g.lang, g.source, coalesce(sizes.n, 0) + coalesce(v, 0) as total from (select distinct lang, source from docs) as g left join sizes using (lang, source) left join langs using (lang)
+        ), shares as materialized (
+          select g.lang, g.source, term, coalesce(c.n, 0) as n, 1 + 1000000000 * (coalesce(c.n, 0) + 1) // total as p
+          from groups as g join terms using (lang) left join counts as c using (lang, source, term)
+        ), summed as (
+          select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value from shares as a join shares as b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+        ), pairs as (
+          select a.lang, a.source, b.source as item, coalesce(value, 0)::bigint as value
+          from groups as a join groups as b on a.lang = b.lang and a.source <> b.source left join summed as s on s.lang = a.lang and s.source = a.source and s.item = b.source
+        ), best as (
+          select lang, source, term as item, ((p - q) * (p - q) // q)::bigint as value
+          from (select s.lang, source, term, s.n, p, 1 + 1000000000 * (terms.n + 1) // (langs.n + v) as q from shares as s join terms using (lang, term) join langs on langs.lang = s.lang)
+          where n > 0 and p > q
+        ), ranked as (
+          select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item) as rank from pairs
+          union all
+          select lang, source, 'term', item, value, row_number() over (partition by lang, source order by value desc, item) from best
+        )
+        select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 200
+    """,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
