@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
@@ -12,61 +13,117 @@ from maillage.operators.joins import join_unique
 from maillage.session import cut
 
 DEFAULT_THRESHOLD = "0.3"  # fixed value: usual trigram threshold of PostgreSQL
+# Names of more trigrams are joined on single trigrams: the pairs of a prefix grow with its square.
+LONGEST_PAIRED = 64
+# Bounds of the length classes, by a rule: each about half as wide again as the one before.
+CLASSES = [1, 2, 3]
+while CLASSES[-1] < 1 << 30:
+    CLASSES.append(CLASSES[-1] * 3 // 2)
 
 
-def fuzzy_name_pairs(people: DataFrame, name: str, threshold: str = DEFAULT_THRESHOLD) -> DataFrame:
-    """Distinct lower-case names whose trigram similarity reaches ``threshold``.
+def _class_pairs(t: Fraction) -> Iterator[tuple[int, int, int, int]]:
+    """(class of the shorter name, class of the longer name, rare trigrams in a key, number) of all class pairs that can hold a match."""
+    number = 0
+    for a in range(len(CLASSES) - 1):
+        for b in range(a, len(CLASSES) - 1):
+            if t * CLASSES[b] > CLASSES[a + 1] - 1:
+                break
+            least_shared = -(-t * (CLASSES[a] + CLASSES[b]) // (1 + t))
+            yield a, b, 2 if least_shared >= 2 and CLASSES[b + 1] <= LONGEST_PAIRED else 1, number
+            number += 1
 
-    Exact, by prefix and position filtering (Bayardo et al. 2007, Xiao et al. 2008). With
-    the trigrams of each name sorted by rarity, the first one that two names of
-    similarity t share is among the first ``n - ceil(t n) + 1`` of the longer name and
-    the first ``n - ceil(2 t / (1 + t) n) + 1`` of the shorter one. Only those are
-    joined: common trigrams hardly ever meet, and none is left out. A pair is judged at
-    its first shared trigram alone, where the places of that trigram bound what can
-    still be shared; this costs whole-number comparisons, and spares a distinct of the
-    pairs. Bearers of one name are counted (``nb_a``, ``nb_b``), not paired with each
-    other. The ranked names are cut, as both sides of the join read them; a trigram
-    that very many names have in front is split on both sides by adaptive execution.
-    """
-    t = Fraction(threshold)
-    num, den = t.numerator, t.denominator
+
+def ranked_names(people: DataFrame, name: str) -> DataFrame:
+    """Distinct lower-case names: no, nom, id, nb, n, grams from the rarest on, and a bit vector of 128 bits."""
     names = people.where(F.col(name).isNotNull()).groupBy(F.lower(name).alias("nom")).agg(
         F.min("id").alias("id"), F.count("*").alias("nb")
     )
     occurrences = names.select("nom", "id", "nb", F.explode(F.transform(trigrams(F.col("nom")), trigram_code)).alias("gram"))
     rarity = occurrences.groupBy("gram").agg(F.count("*").alias("df"))
+    place = F.pmod(F.xxhash64("gram"), F.lit(128)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place % 64)
     # A name has as many trigrams as letters, so gathering those of one name is bounded.
-    ranked = cut(
-        join_unique(occurrences, rarity, ["gram"], "inner")
-        .groupBy("nom", "id", "nb")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("grams"))
-        .withColumn("n", F.size("grams"))
+    ranked = join_unique(occurrences, rarity, ["gram"], "inner").groupBy("nom", "id", "nb").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("grams"),
+        *[F.bit_or(F.when(place.between(64 * k, 64 * k + 63), bit).otherwise(0)).alias(f"bits{k}") for k in range(2)],
     )
+    return cut(ranked.withColumn("n", F.size("grams")).withColumn("no", F.monotonically_increasing_id()))
+
+
+def _ceil(numerator: Column, t: Fraction) -> Column:
+    """ceil(t * numerator), in whole numbers."""
+    return F.floor((numerator * t.numerator + (t.denominator - 1)) / F.lit(t.denominator)).cast("int")
+
+
+def candidate_pairs(ranked: DataFrame, threshold: str = DEFAULT_THRESHOLD) -> DataFrame:
+    """(no_x, no_y) once each, x the shorter name: all pairs that reach the threshold, and few others."""
+    t = Fraction(threshold)
+    of_both = t / (1 + t)  # a match shares at least this part of the two sizes added up
+    spark = ranked.sparkSession
+    length_class = F.size(F.filter(F.array(*[F.lit(c) for c in CLASSES]), lambda c: c <= F.col("n"))) - 1
+    occupied = {r["class"] for r in ranked.select(length_class.alias("class")).distinct().collect()}  # at most a row per class
+    pairs = [p for p in _class_pairs(t) if occupied.issuperset(p[:2])]
+    schema = "class int, number int, partner int, partner_end int, key_size int"
+    roles = {
+        "x": spark.createDataFrame([(a, k, CLASSES[b], CLASSES[b + 1], size) for a, b, size, k in pairs], schema),
+        "y": spark.createDataFrame([(b, k, CLASSES[a], CLASSES[a + 1], size) for a, b, size, k in pairs], schema),
+    }
+    n, partner = F.col("n"), F.col("partner")
+    # The length of the shortest partner that counts, and whether the class holds any.
+    nearest = {"x": F.greatest(n, partner), "y": F.greatest(partner, _ceil(n, t))}
+    possible = {"x": nearest["x"] * t.numerator <= n * t.denominator, "y": F.least(F.col("partner_end") - 1, n) >= _ceil(n, t)}
 
-    def ceil_of(part: int, whole: int) -> Column:
-        """ceil(part / whole * n), in whole numbers."""
-        return F.floor((F.col("n") * part + (whole - 1)) / F.lit(whole)).cast("int")
+    def keys(role: str) -> DataFrame:
+        rows = ranked.withColumn("class", length_class).join(F.broadcast(roles[role]), "class").where(possible[role])  # a row per class pair
+        prefix = F.slice("grams", F.lit(1), n - _ceil(n + nearest[role], of_both) + F.col("key_size"))
+        rows = rows.select("no", "n", "bits0", "bits1", "number", "key_size", prefix.alias("prefix"))
+        rows = rows.select("*", F.posexplode("prefix").alias("at", "gram"))
+        before = F.when(F.col("key_size") == 2, F.slice("prefix", F.lit(1), F.col("at"))).otherwise(F.array(F.lit(0).cast("long")))
+        rows = rows.select("no", "n", "bits0", "bits1", "at", "number", "key_size", "gram", F.explode(before).alias("rarer"))
+        kept = [F.col(c).alias(f"{c}_{role}") for c in ("no", "n", "bits0", "bits1", "at")]
+        return rows.select(F.xxhash64("number", "rarer", "gram").alias("key"), *kept, *(["key_size"] if role == "x" else []))
+
+    def shared_at_most(a: str, b: str) -> Column:
+        lone = [F.bit_count(F.col(f"bits{k}_{a}").bitwiseAND(F.bitwise_not(f"bits{k}_{b}"))) for k in range(2)]
+        return F.col(f"n_{a}") - lone[0] - lone[1]
 
-    prefix = F.slice("grams", F.lit(1), F.col("n") - ceil_of(num, den) + 1)
-    keyed = ranked.select("*", F.posexplode(prefix).alias("pos", "gram"))
-    # x is the shorter name of a pair, y the longer one; names of one length go by their text.
-    x = keyed.where(F.col("pos") <= F.col("n") - ceil_of(2 * num, num + den))
-    x = x.select(*[F.col(c).alias(f"{c}_x") for c in keyed.columns if c != "gram"], "gram")
-    y = keyed.select(*[F.col(c).alias(f"{c}_y") for c in keyed.columns if c != "gram"], "gram")
     both = F.col("n_x") + F.col("n_y")
-    ordered = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("nom_x") < F.col("nom_y")))
-    still_possible = F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")) * (num + den) >= both * num
-    shared_before = F.arrays_overlap(
-        F.slice("grams_x", F.lit(1), F.col("pos_x")), F.slice("grams_y", F.lit(1), F.col("pos_y"))
-    )
-    common = F.size(F.array_intersect("grams_x", "grams_y"))
-    # One expression, so that the cheap tests come first and spare the array work.
-    similar = F.when(still_possible & ordered, F.when(~shared_before, common * den >= (both - common) * num))
+    needed = both * of_both.numerator
+    enough = [
+        F.col("n_x") * t.denominator >= F.col("n_y") * t.numerator,
+        (F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y")) - 1 + F.col("key_size")) * of_both.denominator >= needed,
+        F.least(shared_at_most("x", "y"), shared_at_most("y", "x")) * of_both.denominator >= needed,
+    ]
+    ordered = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("no_x") < F.col("no_y")))
+    joined = keys("x").join(keys("y"), "key").where(ordered & enough[0] & enough[1] & enough[2])
+    return joined.select("no_x", "no_y").distinct()
+
+
+def fuzzy_name_pairs(people: DataFrame, name: str, threshold: str = DEFAULT_THRESHOLD) -> DataFrame:
+    """Distinct lower-case names whose trigram similarity reaches ``threshold``.
+
+    Exact, by prefix filtering (Chaudhuri et al. 2006) with keys of several tokens (Wang et al. 2012). A pair of
+    similarity t shares at least o = t / (1 + t) of both sizes together. With the trigrams of each name sorted by
+    rarity, the two rarest that both share are then among the first ``n - o + 2`` of each, so names are joined on
+    pairs of rare trigrams. o depends on the partner's size, so both sides write their keys once per class of
+    partner sizes; where as little as one shared trigram could do, or names are long, a key is one trigram and the
+    prefix one shorter. What meets is thinned by whole numbers only: by the places of the key in both names, which
+    bound what can still be shared, and by bit vectors, as each bit that only one name has is a trigram the other
+    lacks. Trigrams themselves are read for the distinct pairs that are left. Bearers of one name are counted
+    (``nb_a``, ``nb_b``), not paired with each other. Names without a letter or digit have no trigrams and no pairs.
+    The ranked names are cut, as all joins read them; a key that very many names share is split on both sides by
+    adaptive execution.
+    """
+    t = Fraction(threshold)
+    ranked = ranked_names(people, name)
+    out = candidate_pairs(ranked, threshold)
+    for side in ("x", "y"):
+        out = out.join(ranked.select(*[F.col(c).alias(f"{c}_{side}") for c in ("no", "nom", "id", "nb", "n", "grams")]), f"no_{side}")
+    both = F.col("n_x") + F.col("n_y")
     first = F.col("nom_x") < F.col("nom_y")
     return (
-        x.join(y, "gram")
-        .where(similar)
-        .withColumn("communs", common)
+        out.withColumn("communs", F.size(F.array_intersect("grams_x", "grams_y")))
+        .where(F.col("communs") * t.denominator >= (both - F.col("communs")) * t.numerator)
         .select(
             *[F.when(first, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y")).alias(f"{c}_a") for c in ("nom", "id", "nb")],
             *[F.when(first, F.col(f"{c}_y")).otherwise(F.col(f"{c}_x")).alias(f"{c}_b") for c in ("nom", "id", "nb")],
