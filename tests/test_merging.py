@@ -1,6 +1,7 @@
 """Merges, links and duplicates on hand-written rows and against plain Python."""
 
 import itertools
+import math
 import random
 from datetime import date, datetime
 
@@ -380,3 +381,43 @@ def test_zones_with_holes_and_parts(spark):
     want = {(2, "hole"), (2, "l"), (3, "hole"), (4, "parts"), (6, "parts"), (7, "l")}
     for cell in (0.3, 1.0, 100.0):
         assert as_set(spatial.join_point_in_polygon(points, zones, cell).select("id", "zone_id")) == want
+
+
+def star(rng, n, x, y, size):
+    """A closed ring of n vertices around a point, jagged and not convex."""
+    angles = sorted(rng.uniform(0, 2 * math.pi) for _ in range(n))
+    radii = [size * (0.6 + rng.uniform(0, min(0.4, 8 / n)) + 0.2 * math.sin(7 * a)) for a in angles]
+    ring = [(x + r * math.cos(a), y + r * math.sin(a)) for a, r in zip(angles, radii, strict=True)]
+    return [*ring, ring[0]]
+
+
+def inside(x, y, rings):
+    odd = False
+    for ring in rings:
+        for (a, b), (c, d) in itertools.pairwise(ring):
+            if (b > y) != (d > y) and x < (c - a) * (y - b) / (d - b) + a:
+                odd = not odd
+    return odd
+
+
+def test_zones_of_many_vertices_against_every_edge(spark):
+    rng = random.Random(3)
+    zones = {
+        # A large outline with a hole and an island in it, another polygon, and zones of any size around.
+        "large": [[star(rng, 20_000, 0.3, 0.2, 1.0), star(rng, 3000, 0.3, 0.2, 0.25), star(rng, 7, 0.3, 0.2, 0.05)], [star(rng, 50, 3, 3, 0.3)]],
+        "small": [[star(rng, 5, -0.5, 0.2, 0.02)]], "middle": [[star(rng, 300, 0.1, 0.1, 0.4)]], "box": [[[(0.0, 0.0), (0.5, 0.0), (0.5, 0.5), (0.0, 0.5), (0.0, 0.0)]]],
+        "empty": [], "no ring": [[]], "point": [[[(1.0, 1.0)]]],
+    }
+    spots = [(rng.uniform(-1.5, 3.5), rng.uniform(-1.5, 3.5)) for _ in range(150)] + [(rng.uniform(-0.6, 0.6), rng.uniform(-0.6, 0.6)) for _ in range(100)]
+    spots += zones["large"][0][0][:60:2] + [(x, y) for x in (0.0, 0.1, 0.5) for y in (0.0, 0.25, 0.5)] * 2  # on vertices, borders, repeated
+    want = {(i, z) for i, (x, y) in enumerate(spots) for z, polygons in zones.items() if any(inside(x, y, rings) for rings in polygons)}
+    geom = [(z, [[[{"lon": x, "lat": y} for x, y in ring] for ring in rings] for rings in polygons]) for z, polygons in zones.items()]
+    table = spark.createDataFrame(geom, "zone_id string, geom array<array<array<struct<lon double, lat double>>>>")
+    points = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(spots)], "id int, lon double, lat double")
+    for cell in (0.2, 4.0):
+        got = [(r["id"], r["zone_id"]) for r in spatial.join_point_in_polygon(points, table, cell).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+        # Edges are copied to the few cells they pass, at every level, and the first level keeps those of crowded cells out.
+        levels = spatial.zone_cells(table, cell)
+        carried = sum(t.agg(F.coalesce(F.sum(F.when(F.col("edges").isNotNull(), F.size("edges"))), F.lit(0))).first()[0] for t in levels)
+        assert len(levels) > 1 and carried < 3 * 23_400
