@@ -104,41 +104,96 @@ def _(t):
     return quality.dq_foreign_key(t.a_emploi, "structure_administrative_id", parents, "id").select("id", "structure_administrative_id")
 
 
-@check("dq_report", """
-    select 'main.poste' as table_name, 'check:poste_rendu' as rule, count(*) as violations from a_poste where etat = 'rendu' and date_rendu_poste is null
-    union all select 'main.poste', 'domain:etat', count(*) from a_poste where etat not in ('vacant', 'occupe', 'rendu')
-    union all select 'main.poste', 'domain:typologie', count(*) from a_poste where typologie not in ('conum', 'coordo', 'dns')
-    union all select 'main.poste', 'not_null:id', count(*) from a_poste where id is null
-    union all select 'main.poste', 'not_null:poste_conum_id', count(*) from a_poste where poste_conum_id is null
-    union all select 'main.poste', 'not_null:date_attribution', count(*) from a_poste where date_attribution is null
-    union all select 'main.poste', 'length:typologie', count(*) from a_poste where length(typologie) > 6
-    union all select 'main.poste', 'length:etat', count(*) from a_poste where length(etat) > 6
-    union all select 'main.subvention', 'not_null:poste_id', count(*) from a_subvention where poste_id is null
-    union all select 'main.poste', 'unique:poste_conum_id, structure_id, personne_id', count(*) from (
-      select 1 from a_poste where poste_conum_id is not null and structure_id is not null and personne_id is not null
-      group by poste_conum_id, structure_id, personne_id having count(*) > 1) u
-    union all select 'main.poste', 'foreign_key:structure_id', count(*) from a_poste p
-      where structure_id is not null and not exists (select 1 from a_structure_administrative s where s.id = p.structure_id)
-    union all select 'main.structure_administrative', 'check:siret_format', count(*) from a_structure_administrative where not regexp_full_match(siret, '[0-9]{14}')
-    union all select 'main.structure_administrative', 'not_null:id', count(*) from a_structure_administrative where id is null
-    union all select 'main.structure_administrative', 'length:siret', count(*) from a_structure_administrative where length(siret) > 14
-    union all select 'main.structure_administrative', 'length:denomination_antenne', count(*) from a_structure_administrative where length(denomination_antenne) > 255
-    union all select 'main.structure_administrative', 'unique:old_main_structure_id', count(*) from (
-      select 1 from a_structure_administrative where old_main_structure_id is not null group by old_main_structure_id having count(*) > 1) u
-    union all select 'main.structure_administrative', 'unique:siret, denomination_antenne', count(*) from (
-      select 1 from a_structure_administrative group by siret, denomination_antenne having count(*) > 1) u
-    union all select 'main.subvention', 'foreign_key:poste_id', count(*) from a_subvention g where not exists (select 1 from a_poste p where p.id = g.poste_id)""")
-def _(t):
-    tables = {
-        "main.poste": t.a_poste, "main.subvention": t.a_subvention, "main.structure_administrative": t.a_structure_administrative,
+# Tables of the model that the given data can fill: adapter and its columns.
+REPORTED = {
+    "admin.region": ("a_region", "id code nom"),
+    "admin.departement": ("a_departement", "id region_id code nom"),
+    "admin.commune": ("a_commune", "id departement_id code_insee nom population"),
+    "admin.ifn_commune": ("a_ifn_commune", "code_insee score"),
+    "admin.zonage": ("a_zonage", "code_insee type code"),
+    "admin.insee_historique": ("a_insee_historique", "code_insee_ancien code_insee_nouveau"),
+    "main.structure_administrative": ("a_structure_administrative", "id denomination_sirene siret denomination_antenne contact old_main_structure_id departement_code"),
+    "main.structure": (
+        "a_structure", "id nom structure_coop_id structure_ac_id structure_cartographie_nationale_id denomination_sirene siret source emplois"
+        " last_sirene_enrich_at typologies_texte frais_texte",
+    ),
+    "main.personne": (
+        "a_personne", "id prenom nom contact aidant_connect_id cn_pg_id coop_id is_coordinateur is_mediateur nb_accompagnements_ac profession_ac edited_by deleted_by",
+    ),
+    "main.personne_affectations_emploi": ("a_emploi", "id personne_id structure_administrative_id source est_active"),
+    "main.personne_affectations": ("a_links", "id personne_id structure_id type structure_coop_id mediateur_coop_id suppression"),
+    "main.poste": ("a_poste", "id poste_conum_id structure_id personne_id etat typologie date_attribution date_rendu_poste created_at"),
+    "main.contrat": ("a_contrat", "id personne_id structure_id date_debut date_fin date_rupture"),
+    "main.subvention": (
+        "a_subvention", "poste_id montant_subvention_v1 montant_subvention_v2 montant_bonification_v2 montant_versement_v1 versement_1_v2 versement_2_v2"
+        " versement_3_v2 date_fin_convention_dgcl date_fin_convention_ditp date_fin_convention_dge",
+    ),
+    "main.activites_coop": ("a_activites", "id personne_id type date duree lieu_code_insee accompagnements sujet beneficiaires"),
+    "main.adresse": ("a_adresse", "id code_postal nom_commune nom_voie numero_voie repetition"),
+    "main.coordination_mediation": ("a_coordination", "id coordinateur_id mediateur_id coordinateur_coop_id mediateur_coop_id suppression"),
+    "main.formation": ("a_formation", "id personne_id label parcours"),
+    "min.action": ("a_action", "id feuille_de_route_id budget_global"),
+    "min.feuille_de_route": ("a_feuille", "id gouvernance_departement_code"),
+    "min.demande_de_subvention": ("a_demande", "action_id enveloppe_financement_id subvention_demandee"),
+    "min.co_financement": ("a_cofinancement", "id_action id_membre montant"),
+    "min.enveloppe_financement": ("a_enveloppe", "id libelle montant"),
+    "min.departement_enveloppe": ("a_plafond", "departement_code enveloppe_id plafond"),
+    "min.region": ("a_region", "id code nom"),
+    "min.departement": ("a_departement", "id region_id code nom"),
+}
+
+
+def _report_sql() -> str:
+    """One count per declared rule, each by a query of its own."""
+    checks = {  # what breaks them, and the columns they read
+        "poste_rendu": ("etat = 'rendu' and date_rendu_poste is null", "etat date_rendu_poste"),
+        "siret_format": ("not regexp_full_match(siret, '[0-9]{14}')", "siret"),
+        "ridet_format": ("not regexp_full_match(ridet, '[0-9]{7,10}')", "ridet"),
     }
-    # The rules on columns the adapters do not have are left out.
-    uniques = [u for u in model.UNIQUE_KEYS if u.table in tables and all(k in tables[u.table].columns for k in u.keys)]
-    rules = {
-        name: {r: c for r, c in quality.row_rules(name, df.columns).items() if r != "check:ridet_format"}
-        for name, df in tables.items()
-    }
-    return quality.dq_report(tables, rules, uniques)
+    selects = []
+
+    def put(table: str, rule: str, sql: str | None, missing: str = "column") -> None:
+        name, count = (rule, f"({sql})") if sql else (f"missing_{missing}:{rule}", "cast(null as bigint)")
+        selects.append(f"""select '{table}' as table_name, '{name.replace("'", "''")}' as rule, {count} as violations""")
+
+    for table, (source, listed) in REPORTED.items():
+        columns = set(listed.split())
+
+        def broken(rule: str, condition: str, *needs: str, table=table, source=source, columns=columns) -> None:
+            put(table, rule, f"select count(*) from {source} where {condition}" if columns.issuperset(needs) else None)
+
+        for c in model.CHECKS:
+            if c.table == table:
+                broken(f"check:{c.name}", checks[c.name][0], *checks[c.name][1].split())
+        for (owner, column), allowed in model.DOMAINS.items():
+            if owner == table:
+                values = ", ".join(f"'{v}'" for v in allowed)
+                broken(f"domain:{column}", f"{column} not in ({values})", column)
+        key = model.primary_key(table)
+        for column in dict.fromkeys([*key, *model.REQUIRED_COLUMNS.get(table, "").split()]):
+            broken(f"not_null:{column}", f"{column} is null", column)
+        for column, longest in model.MAX_LENGTHS.get(table, {}).items():
+            broken(f"length:{column}", f"length({column}) > {longest}", column)
+        keys = [(f"unique:{', '.join(u.keys)}" + (f" where {u.where}" if u.where else ""), u) for u in model.UNIQUE_KEYS if u.table == table]
+        for rule, u in [*keys, (f"primary_key:{', '.join(key)}", model.Unique(table, key))]:
+            parts = [k.replace(model.SENTINEL, "timestamp '1234-01-02 03:04:05'") for k in u.keys]
+            plain = [k.split("(")[-1].split(" ")[0].split(",")[0] for k in parts]
+            condition = " and ".join(["true", *([] if u.nulls_equal else [f"{k} is not null" for k in parts]), *([u.where] if u.where else [])])
+            sql = f"select count(*) from (select 1 from {source} where {condition} group by {', '.join(parts)} having count(*) > 1) x"
+            put(table, rule, sql if columns.issuperset(plain) else None)
+        for fk in model.FOREIGN_KEYS:
+            if fk.child == table:
+                parent, has = REPORTED.get(fk.parent, ("", ""))
+                sql = f"""select count(*) from {source} c where c.{fk.column} is not null and not exists (
+                    select 1 from {parent} p where cast(p.{fk.parent_column} as varchar) = cast(c.{fk.column} as varchar))"""
+                fits = fk.column in columns and fk.parent_column in has.split()
+                put(table, f"foreign_key:{fk.column}", sql if parent and fits else None, "column" if parent else "table")
+    return " union all ".join(selects)
+
+
+@check("dq_report", _report_sql())
+def _(t):
+    return quality.dq_report({name: getattr(t, source) for name, (source, _) in REPORTED.items()})
 
 
 @check("cascade_delete", """

@@ -66,6 +66,41 @@ def test_report_covers_every_kind_of_rule(spark):
     assert found[("admin.departement", "length:code")] == 0
 
 
+def test_report_names_what_it_cannot_test(spark):
+    rows = spark.createDataFrame([(1, 5, "rendu")] * 3 + [(2, None, "odd")], "id int, structure_id int, etat string")
+    found = {(r["table_name"], r["rule"]): r["violations"] for r in quality.dq_report({"main.poste": rows}).collect()}
+    assert found[("main.poste", "missing_column:check:poste_rendu")] is None
+    assert found[("main.poste", "missing_column:unique:poste_conum_id, structure_id, personne_id")] is None
+    assert found[("main.poste", "missing_table:foreign_key:structure_id")] is None
+    assert (found[("main.poste", "domain:etat")], found[("main.poste", "primary_key:id")], found[("main.poste", "not_null:id")]) == (1, 1, 0)
+    # Every declared rule on the table, and nothing twice.
+    declared = [c for c in model.CHECKS if c.table == "main.poste"] + [d for d in model.DOMAINS if d[0] == "main.poste"]
+    declared += [u for u in model.UNIQUE_KEYS if u.table == "main.poste"] + [k for k in model.FOREIGN_KEYS if k.child == "main.poste"]
+    assert len(found) == len(declared) + 3 + 3 + 1  # required columns, lengths, primary key
+
+
+def test_report_compares_keys_by_value(spark):
+    parents = spark.createDataFrame([(1, "a\",\"b"), (2, "c"), (2, None)], "id int, code string")
+    children = spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, 3), (5, None)], "id long, ref long")
+    key = model.ForeignKey("c", "ref", "p", "id")
+    uniques = [model.Unique("p", ("id", "code")), model.Unique("p", ("id", "code"), nulls_equal=True), model.Unique("p", ("coalesce(code, 'c')",)), model.Unique("c", ("ref",), where="id < 4")]
+    out = quality.dq_report({"p": parents, "c": children}, {}, uniques, [key])
+    assert sorted((r["table_name"], r["rule"], r["violations"]) for r in out.collect()) == [
+        ("c", "foreign_key:ref", 2), ("c", "unique:ref where id < 4", 0), ("p", "unique:coalesce(code, 'c')", 1), ("p", "unique:id, code", 0), ("p", "unique:id, code", 0),
+    ]
+    assert quality.dq_report({"p": parents.where("false")}, {}, uniques, []).where("violations <> 0").count() == 0
+
+
+def test_report_reads_each_table_once(spark):
+    from driver_checks import QUERIES
+    from driver_checks.quality import REPORTED
+
+    plan = QUERIES["dq_report"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    # An adapter is one scan of a given table; of all rules there are two aggregates, and those of the two adapters that group.
+    assert plan.count("FileScan parquet") == len(REPORTED) and plan.count("Exchange") <= 7
+
+
+
 def test_deletions(spark):
     child = spark.createDataFrame([(1, 5), (2, 6), (3, None)], "id int, parent int")
     gone = spark.createDataFrame([(5,), (5,), (7,)], "pid int")
