@@ -162,6 +162,16 @@ def _(t):
     return found.select("id", F.array_join("needles", ",").alias("needles"))
 
 
+# More needles than are looked for one by one: the beginning of every benchmark text, sought in all documents.
+@check("scan_many_needles", """
+    with needle as (select distinct lower(substr(text, 5, 30)) as n, dense_rank() over (order by lower(substr(text, 5, 30))) as k from benchmark where length(text) > 4)
+    select doc_id, string_agg(n, '|' order by k) as needles from documents join needle on contains(lower(text), n) group by doc_id""")
+def _(t):
+    beginnings = t.benchmark.where("length(text) > 4").select(F.lower(F.substring("text", 5, 30)).alias("n")).distinct()
+    needles = sorted(r["n"] for r in beginnings.collect())  # the list a caller would name
+    return privacy.scan_sensitive_text(t.documents, "doc_id", "text", needles).select("doc_id", F.array_join("needles", "|").alias("needles"))
+
+
 USED_SQL = f"select distinct unnest({TABLE_NAMES}) as table_name from a_requetes"
 
 

@@ -8,6 +8,7 @@ from driver_checks.base import check
 from maillage import model
 from maillage.operators import quality, upserts
 from maillage.operators.ordering import latest_by
+from maillage.session import scratch_path
 
 STAMP = "2026-01-01 00:00:00"
 
@@ -230,8 +231,10 @@ def _(t):
         "id", F.expr("date_debut + 10").alias("date_attribution"), F.lit(None).cast("timestamp_ntz").alias("updated_at"), F.lit(2).alias("v")
     )
     early = late.withColumn("date_attribution", F.lit("1990-01-01").cast("date")).withColumn("v", F.lit(1))
-    now = F.lit(STAMP).cast("timestamp_ntz")
-    return upserts.upsert(target, late.unionByName(early), ["id"], "v", now)
+    stored = upserts.StoredTarget(scratch_path(t.spark, "positions"), ("id",), 16)
+    stored.write(target)
+    stored.upsert(late.unionByName(early), "v", F.lit(STAMP).cast("timestamp_ntz"))
+    return stored.read(t.spark)
 
 
 @check("latest_by_source_clock", """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,13 +162,76 @@ def audit_pii_columns(queries: DataFrame, id_col: str, text: str, names: Sequenc
     return queries.select(id_col, hits.alias("columns")).withColumn("allowed", F.size("columns") == 0)
 
 
+# Up to so many needles each is looked for by itself; more are looked for together.
+APART = 16
+WINDOWS = (1, 2, 4, 8)  # characters
+FILTER_BYTES = 1 << 19  # places of the filter on window hashes, a byte each
+
+
 def scan_sensitive_text(
     docs: DataFrame, id_col: str, text: str, needles: Sequence[str] = model.SENSITIVE_NEEDLES
 ) -> DataFrame:
-    """Documents that contain a needle, without regard to case, with the needles found."""
+    """Documents that contain a needle, without regard to case, with the needles found, in the order given.
+
+    Many needles are looked for in one pass over a text: every window of it is hashed and tested against a filter made
+    from the beginnings of the needles, with three places set for each, and only the windows that pass (one in
+    thousands, and the true ones) are held against the needles themselves, which are then confirmed in full. Windows are as long
+    as the needles allow, up to 8 characters. All of it is one projection: no text is shuffled, and a document costs
+    as much as it is long. A NULL text holds nothing; an empty needle is in every other text. Repeated needles are
+    found once.
+    """
     lowered = F.lower(text)
-    hits = F.filter(F.array(*[F.lit(n.lower()) for n in needles]), lambda n: F.contains(lowered, n))
-    return docs.select(id_col, hits.alias("needles")).where("size(needles) > 0")
+    sought = list(dict.fromkeys(n.lower() for n in needles))
+    if len(sought) <= APART:
+        hits = F.filter(F.array(*[F.lit(n) for n in sought]).cast("array<string>"), lambda n: F.contains(lowered, n))
+        return docs.select(id_col, hits.alias("needles")).where("size(needles) > 0")
+    found = [F.array(F.lit("")).cast("array<string>")] if "" in sought else []
+    for k, size in enumerate(WINDOWS):
+        longer = WINDOWS[k + 1] if k + 1 < len(WINDOWS) else None
+        some = [n for n in sought if len(n) >= size and (longer is None or len(n) < longer)]
+        if some:
+            windows = F.array_distinct(F.regexp_extract_all(lowered, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+            passed = F.filter(windows, _passes(docs, [n[:size] for n in some]))
+            found.append(F.get(F.transform(F.array(passed), _confirmation(lowered, some, size)), F.lit(0)))
+    if not found:
+        return docs.select(id_col, F.array().cast("array<string>").alias("needles")).where("false")
+    held = docs.where(F.col(text).isNotNull()).select(id_col, F.flatten(F.array(*found)).alias("_found")).where("size(_found) > 0")
+    return held.select(id_col, F.array_intersect(_listed(sought), F.col("_found")).alias("needles"))
+
+
+def _listed(words: Sequence[str]) -> Column:
+    """A literal array of any length: one literal text, taken apart once when the query is planned."""
+    mark = next(c for c in map(chr, range(0xE000, 0xF900)) if all(c not in w for w in words))  # for private use
+    return F.split(F.lit(mark.join(words)), mark)
+
+
+def _confirmation(lowered: Column, needles: Sequence[str], size: int):
+    """From windows of a text to the needles that begin with one of them and are in the text."""
+
+    def confirm(windows: Column) -> Column:
+        held = F.filter(_listed(needles), lambda n: F.array_contains(windows, F.substring(n, 1, size)) & F.contains(lowered, n))
+        return F.when(F.size(windows) == 0, F.array().cast("array<string>")).otherwise(held)
+
+    return confirm
+
+
+def _places(window: Column) -> list[Column]:
+    """Three places in the filter that the hash of a window names."""
+    return [F.pmod(F.xxhash64(F.lit(seed), window), F.lit(FILTER_BYTES)).cast("int") for seed in (1, 2, 3)]
+
+
+def _passes(docs: DataFrame, beginnings: Sequence[str]):
+    """Test of a window against a filter that all beginnings pass."""
+    rows = docs.sparkSession.range(1).select(F.explode(_listed(sorted(set(beginnings)))).alias("w")).select(F.explode(F.array(*_places(F.col("w")))).alias("place"))
+    filled = bytearray(FILTER_BYTES)
+    for row in rows.distinct().collect():  # three places per needle, which the caller listed
+        filled[row["place"]] = 1
+    places, one = F.lit(bytes(filled)), F.lit(b"\x01")
+
+    def test(window: Column) -> Column:
+        return reduce(lambda a, b: a & b, [F.substring(places, place + 1, F.lit(1)) == one for place in _places(window)])
+
+    return test
 
 
 def policy_coverage(expected: DataFrame, listed: DataFrame, name: str = "table_name") -> DataFrame:

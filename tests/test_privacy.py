@@ -1,6 +1,7 @@
 """The policy cases, and the properties of the reduced views."""
 
 import json
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -137,6 +138,43 @@ def test_profiles_of_protected_tables_are_refused(spark):
     assert (rows["nom"]["nb_null"], rows["nom"]["min_value"], rows["id"]["approx_distinct"]) == (1, "a", 2)
 
 
+def test_profiles_of_parts_add_up_to_that_of_the_whole(spark):
+    rows = spark.range(5000).selectExpr(
+        "cast(id as int) as n", "id % 300 as few", "concat('v', id % 4000) as s", "cast(id as double) / 7 as x", "cast(id as decimal(20,3)) as d",
+        "date_add(date'2020-01-01', cast(id as int)) as day", "if(id % 3 = 0, null, id % 2 = 0) as flag", "map('a', id % 10, 'b', 1) as m",
+        "named_struct('k', id % 20) as st", "array(id % 5) as l", "parse_json(concat('{\"a\":', id % 7, '}')) as va", "cast(cast(id % 9 as string) as binary) as b", "1 as `odd name`",
+    )
+    whole = {r["column_name"]: r for r in profiling.profile_columns(rows, "admin.region").collect()}
+    parts = [profiling.profile_parts(rows.where(w), "admin.region", w) for w in ("n < 1900", "n >= 1900 and n < 4000", "n >= 4000")]
+    stored = parts[0].unionAll(parts[1]).unionAll(parts[2])
+    assert {r["column_name"]: r for r in profiling.merge_profiles(stored).collect()} == whole
+    assert set(whole) == set(rows.columns) and [whole["n"][c] for c in ("nb", "min_value", "max_value")] == [5000, "0", "4999"]
+    assert whole["flag"]["nb_null"] == 1667 and whole["m"]["min_value"] is None and whole["day"]["min_value"] == "2020-01-01"
+    for column, exact in (("n", 5000), ("few", 300), ("s", 4000), ("m", 10), ("va", 7), ("st", 20), ("l", 5), ("b", 9), ("flag", 2)):
+        assert abs(whole[column]["approx_distinct"] - exact) <= 0.05 * exact
+    assert profiling.profile_columns(rows, "admin.region", stored).count() == 0
+    assert profiling.profile_columns(rows.where("false"), "admin.region").count() == len(rows.columns)
+
+
+def test_many_needles_against_brute_force(spark):
+    rng = random.Random(8)
+    letters = "abcdeé\n .İß😀$(|"
+    needles = ["".join(rng.choice(letters) for _ in range(rng.randint(5, 14))) for _ in range(9900)]
+    needles += ["".join(rng.choice("xyzä") for _ in range(rng.randint(1, 4))) for _ in range(100)] + ["NEEDLE", "needle", "\x01", "a,b"]
+    texts = ["".join(rng.choice(letters + "xyzä") for _ in range(rng.choice((0, 3, 60, 400)))) for _ in range(120)]
+    texts += [t + rng.choice(needles).upper() + t for t in texts[:60]] + ["no NeEdLe here", "", None, "q" * 30_000 + "needle"] + ["repeated needle"] * 2
+    docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "id int, texte string, needles string")
+    lowered = dict(enumerate(r[0] for r in docs.orderBy("id").select(F.lower("texte")).collect()))
+    for sought in (needles, needles[-40:], needles[-10:], ["", *needles[-40:]]):
+        order = list(dict.fromkeys(n.lower() for n in sought))
+        want = {i: [n for n in order if n in t] for i, t in lowered.items() if t is not None}
+        got = privacy.scan_sensitive_text(docs, "id", "texte", sought)
+        assert {r["id"]: r["needles"] for r in got.collect()} == {i: found for i, found in want.items() if found}
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Python" not in plan
+    assert privacy.scan_sensitive_text(docs.where("false"), "id", "texte", needles).count() == 0
+
+
 def test_catalog_carries_comments(spark):
     df = tables.with_comments(spark.createDataFrame([(1, 2)], "id int, duree int"), {"duree": "minutes"})
     rows = tables.catalog_columns(spark, {"main.activites_coop": df}).collect()

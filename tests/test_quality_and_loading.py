@@ -1,6 +1,7 @@
 """Rules, deletions, loading by key, sources."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,6 +141,51 @@ def test_upsert(spark):
     assert as_set(upserts.upsert(once, keyed, ["k1", "k2"], "version")) == as_set(once)
 
 
+def files_of(path):
+    return {str(f): f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+
+
+def test_stored_upsert_rewrites_touched_parts_only(spark):
+    schema = "k1 int, k2 string, v int, updated_at timestamp"
+    rows = [(i, "a", i, None) for i in range(200)] + [(7, None, 1, None), (7, None, 1, None)]
+    target = spark.createDataFrame(rows, schema)
+    updates = spark.createDataFrame([(3, "a", 33, None, 1), (3, "a", 34, None, 2), (500, "a", 5, None, 1), (9, None, 9, None, 1)], schema + ", version int")
+    table = upserts.StoredTarget(scratch_path(spark, "target"), ("k1", "k2"), 32)
+    table.write(target)
+    before = files_of(table.path)
+    touched = table.upsert(updates, "version", F.lit(STAMP))
+    after = files_of(table.path)
+    kept = {f for f in before if int(f.split("_bucket=")[1].split("/")[0]) not in touched}
+    assert 0 < len(touched) <= 3 and len(kept) > 20 and all(after[f] == before[f] for f in kept)
+    assert not any(f in after for f in before if f not in kept)
+    want = upserts.upsert(target, updates, ["k1", "k2"], "version", F.lit(STAMP))
+    assert sorted(map(str, table.read(spark).collect())) == sorted(map(str, want.select(*target.columns).collect()))
+    assert table.upsert(updates.where("false"), "version") == [] and files_of(table.path) == after
+
+
+def test_stored_upsert_reports_keys_held_twice(spark):
+    table = upserts.StoredTarget(scratch_path(spark, "target"), ("id",), 4)
+    table.write(spark.createDataFrame([(1, 1), (1, 2), (2, 3)], "id int, v int"))
+    assert as_set(table.duplicated_keys(table.read(spark))) == {(1, 2)}
+    before = files_of(table.path)
+    with pytest.raises(upserts.DuplicateKeys, match="1, 2"):
+        table.upsert(spark.createDataFrame([(1, 5, 1)], "id int, v int, n int"), "n")
+    assert files_of(table.path) == before
+
+
+def test_unchanged_tables_are_not_joined(spark):
+    rows = [(i, f"v{i}", float(i), None) for i in range(300)] + [(None, "n", 0.0, None)]
+    before = spark.createDataFrame(rows, "id int, v string, x double, updated_at timestamp")
+    same = before.repartition(5).orderBy(F.desc("v")).withColumn("updated_at", F.lit(STAMP))
+    assert "Join" not in upserts.stamp_updated_at(before, same, "id", F.lit(STAMP))._jdf.queryExecution().executedPlan().toString()
+    # Values that trade places, a row twice, a new and a removed row.
+    after = before.where("id is null or id <> 9").withColumn("v", F.expr("case id when 1 then 'v2' when 2 then 'v1' else v end")).unionByName(before.where("id = 4"))
+    after = after.unionByName(spark.createDataFrame([(999, "new", 1.0, None)], before.schema))
+    assert 3 <= len(upserts.changed_buckets(before, after, "id", ["v", "x"])) <= 5
+    out = upserts.stamp_updated_at(before, after, "id", F.lit(STAMP))
+    assert out.count() == after.count() and {r["id"] for r in out.where("updated_at is not null").collect()} == {1, 2}
+
+
 def test_stamps(spark):
     before = spark.createDataFrame([(1, "a", None), (2, None, None)], "id int, v string, updated_at timestamp")
     after = spark.createDataFrame([(1, "a", None), (2, "b", None), (3, "c", None)], before.schema)
@@ -243,12 +289,50 @@ def test_keys_depend_on_the_row_alone(spark):
 
 def test_refresh_may_read_what_it_replaces(spark):
     path = scratch_path(spark, "refresh")
+    with pytest.raises(FileNotFoundError):
+        refresh.current_table(spark, path)
     assert refresh.refresh_table(spark, path, lambda: spark.range(3)).count() == 3
-    doubled = refresh.refresh_table(spark, path, lambda: spark.read.parquet(path).unionByName(spark.read.parquet(path)))
-    assert doubled.count() == 6 and spark.read.parquet(path).count() == 6
+    held = refresh.current_table(spark, path)
+
+    def doubled():
+        return refresh.current_table(spark, path).unionByName(refresh.current_table(spark, path))
+
+    assert refresh.refresh_table(spark, path, doubled).count() == 6 and refresh.current_table(spark, path).count() == 6
     with pytest.raises(Exception):
         refresh.refresh_table(spark, path, lambda: spark.range(3).select(F.raise_error(F.lit("stop"))))
-    assert spark.read.parquet(path).count() == 6
+    assert refresh.current_table(spark, path).count() == 6 and held.count() == 3
+    # Columns may change with a version.
+    assert refresh.refresh_table(spark, path, lambda: spark.range(2).select(F.lit("x").alias("a b"))).columns == ["a b"]
+
+
+def test_readers_between_the_steps_of_a_refresh_see_one_whole_version(spark, monkeypatch):
+    path = scratch_path(spark, "refresh")
+    refresh.refresh_table(spark, path, lambda: spark.range(3))
+    seen, point = [], refresh._point
+
+    def observed(*args, **kw):
+        seen.append(refresh.current_table(spark, path).count())  # the new folder is there, the pointer is not
+        point(*args, **kw)
+        seen.append(refresh.current_table(spark, path).count())
+
+    def build():
+        seen.append(refresh.current_table(spark, path).count())
+        return spark.range(5)
+
+    monkeypatch.setattr(refresh, "_point", observed)
+    assert refresh.refresh_table(spark, path, build).count() == 5 and seen == [3, 3, 5]
+
+
+def test_old_versions_are_kept_for_a_while(spark):
+    path = scratch_path(spark, "refresh")
+    held = refresh.refresh_table(spark, path, lambda: spark.range(3))
+    refresh.refresh_table(spark, path, lambda: spark.range(4))
+    assert refresh.expire_versions(spark, path) == [] and held.count() == 3
+    old = refresh.expire_versions(spark, path, timedelta(0), datetime(2100, 1, 1))
+    assert len(old) == 1 and spark.read.parquet(f"{path}/{old[0]}").count() == 0
+    assert refresh.expire_versions(spark, path, timedelta(0), datetime(2100, 1, 1)) == []
+    assert refresh.current_table(spark, path).count() == 4
+    assert refresh.refresh_table(spark, path, lambda: spark.range(5)).count() == 5
 
 
 def test_tables_are_found_by_name(spark):
