@@ -10,24 +10,22 @@ from maillage.operators import aggregates
 from maillage.plans import activity, grants, people, privacy, territory
 
 # ---------------------------------------------------------------- people
+# One aggregate of the active employments decides every flag.
 ENRICHED = """
-    select p.id, p.prenom, p.nom, p.contact, p.aidant_connect_id, p.cn_pg_id, p.coop_id, p.is_coordinateur, p.is_mediateur,
-      p.nb_accompagnements_ac, p.profession_ac, p.edited_by, p.deleted_by,
-      case when p.is_mediateur then 'mediateur' else 'aidant_numerique' end as type_accompagnateur,
-      p.ac as labellisation_aidant_connect,
-      p.is_mediateur is true and p.med as est_actuellement_mediateur_en_poste,
-      p.is_mediateur is not true and p.ac as est_actuellement_aidant_numerique_en_poste,
-      p.cn as est_actuellement_conseiller_numerique,
-      p.is_coordinateur is true and ((p.is_mediateur is true and p.med) or (p.is_mediateur is not true and p.ac)) as est_actuellement_coordo_actif,
-      p.employeur as structure_employeuse_id
-    from (
-      select x.*,
-        exists (select 1 from a_emploi e where e.personne_id = x.id and e.est_active and e.source = 'aidants-connect') as ac,
-        exists (select 1 from a_emploi e where e.personne_id = x.id and e.est_active and e.source in ('idposte', 'coop')) as med,
-        exists (select 1 from a_emploi e where e.personne_id = x.id and e.est_active and e.source = 'idposte') as cn,
-        (select e.structure_administrative_id from a_emploi e where e.personne_id = x.id and e.est_active
-         order by e.structure_administrative_id limit 1) as employeur
-      from a_personne x) p"""
+    with employed as (
+      select personne_id, count_if(source = 'aidants-connect') > 0 as labelled, count_if(source = 'idposte') > 0 as funded,
+        count_if(source in ('coop', 'idposte')) > 0 as mediating, min(structure_administrative_id) as employer
+      from a_emploi where est_active group by personne_id
+    ), judged as (
+      select person.*, coalesce(is_mediateur, false) as mediator, coalesce(labelled, false) as labelled, coalesce(funded, false) as funded,
+        case when coalesce(is_mediateur, false) then coalesce(mediating, false) else coalesce(labelled, false) end as at_work, employer
+      from a_personne person left join employed on employed.personne_id = person.id
+    )
+    select * exclude (mediator, labelled, funded, at_work, employer), if(mediator, 'mediateur', 'aidant_numerique') as type_accompagnateur,
+      labelled as labellisation_aidant_connect, mediator and at_work as est_actuellement_mediateur_en_poste,
+      at_work and not mediator as est_actuellement_aidant_numerique_en_poste, funded as est_actuellement_conseiller_numerique,
+      at_work and coalesce(is_coordinateur, false) as est_actuellement_coordo_actif, employer as structure_employeuse_id
+    from judged"""
 REDUCED = f"""
     select id, aidant_connect_id, cn_pg_id, coop_id, is_coordinateur, is_mediateur, nb_accompagnements_ac, profession_ac, type_accompagnateur,
       labellisation_aidant_connect, est_actuellement_mediateur_en_poste, est_actuellement_aidant_numerique_en_poste,
@@ -79,81 +77,73 @@ def _(t):
 
 
 # ---------------------------------------------------------------- grants
-CHOSEN = """
-    select distinct on (p.poste_conum_id, p.structure_id) p.id, p.poste_conum_id, p.structure_id, p.personne_id, p.etat, p.typologie
-    from a_poste p left join a_contrat c on c.personne_id = p.personne_id and c.structure_id = p.structure_id and c.date_rupture is null
-    order by p.poste_conum_id, p.structure_id, (c.id is not null) desc, p.date_attribution desc nulls last, p.created_at desc nulls first, p.id"""
-IN_FORCE = f"""
-    select k.poste_conum_id, k.structure_id, count(distinct c.id) as nb_contrats_en_cours
-    from ({CHOSEN}) k join a_contrat c on c.personne_id = k.personne_id and c.structure_id = k.structure_id
-    where c.date_rupture is null group by 1, 2"""
-LAST = f"""
-    select k.poste_conum_id, k.structure_id, max(c.date_fin) as date_fin
-    from ({CHOSEN}) k join a_contrat c on c.personne_id = k.personne_id and c.structure_id = k.structure_id group by 1, 2"""
-GRANTS = """
-    select p.poste_conum_id, p.structure_id,
-      case when g.montant_subvention_v1 is not null and g.montant_subvention_v2 is not null then 'V1, V2'
-        when g.montant_subvention_v1 is not null then 'V1' when g.montant_subvention_v2 is not null then 'V2' end as enveloppes,
-      greatest(g.date_fin_convention_dgcl, g.date_fin_convention_ditp, g.date_fin_convention_dge) as date_fin_convention,
-      ifnull(g.montant_bonification_v2, 0) > 0 as is_territoire_prioritaire,
-      ifnull(g.montant_subvention_v1, 0) as montant_subvention_v1,
-      cast(0 as int) as montant_bonification_v1,
-      ifnull(g.montant_subvention_v2, 0) - ifnull(g.montant_bonification_v2, 0) as montant_subvention_v2,
-      ifnull(g.montant_bonification_v2, 0) as montant_bonification_v2,
-      ifnull(g.montant_subvention_v1, 0) + ifnull(g.montant_subvention_v2, 0) as montant_subvention_cumule
-    from a_subvention g join a_poste p on p.id = g.poste_id"""
-PAID = """
-    select p.poste_conum_id, p.structure_id,
-      ifnull(g.montant_versement_v1, 0) + ifnull(g.versement_1_v2, 0) + ifnull(g.versement_2_v2, 0) + ifnull(g.versement_3_v2, 0) as montant_versement_cumule,
-      ifnull(g.montant_versement_v1, 0) as versement_cumule_v1,
-      ifnull(g.versement_1_v2, 0) + ifnull(g.versement_2_v2, 0) + ifnull(g.versement_3_v2, 0) as versement_cumule_v2
-    from a_subvention g join a_poste p on p.id = g.poste_id"""
-
-
-def _summary_sql(granted: str, paid: str) -> str:
-    return f"""
-    select k.poste_conum_id, k.id as poste_id, k.structure_id, k.personne_id, k.etat, k.typologie, k.typologie = 'coordo' as est_coordinateur,
-      g.enveloppes, g.date_fin_convention, l.date_fin as date_fin_contrat, ifnull(g.is_territoire_prioritaire, false) as bonification,
-      cast(ifnull(g.montant_subvention_cumule, 0) as bigint) as montant_subvention_cumule,
-      cast(ifnull(v.montant_versement_cumule, 0) as bigint) as montant_versement_cumule,
-      cast(ifnull(g.montant_subvention_v1, 0) as bigint) as subvention_v1, cast(0 as int) as bonification_v1,
-      cast(ifnull(v.versement_cumule_v1, 0) as bigint) as versement_cumule_v1,
-      cast(ifnull(g.montant_subvention_v2, 0) as bigint) as subvention_v2,
-      cast(ifnull(g.montant_bonification_v2, 0) as bigint) as bonification_v2,
-      cast(ifnull(v.versement_cumule_v2, 0) as bigint) as versement_cumule_v2,
-      ifnull(f.nb_contrats_en_cours, 0) as nb_contrats_en_cours
-    from ({CHOSEN}) k
-    left join ({granted}) g on g.poste_conum_id = k.poste_conum_id and g.structure_id = k.structure_id
-    left join ({paid}) v on v.poste_conum_id = k.poste_conum_id and v.structure_id = k.structure_id
-    left join ({LAST}) l on l.poste_conum_id = k.poste_conum_id and l.structure_id = k.structure_id
-    left join ({IN_FORCE}) f on f.poste_conum_id = k.poste_conum_id and f.structure_id = k.structure_id"""
-
-
-GRANTS_ADDED = f"""
+# Positions in the order in which one of a pair is chosen, with the facts about the contracts of their person and structure.
+RANKED = """
+    with agreed as (
+      select personne_id, structure_id, count(distinct id) filter (date_rupture is null) as running, max(date_fin) as last_end
+      from a_contrat where personne_id is not null and structure_id is not null group by all
+    )
+    select position.*, coalesce(running, 0) as running, last_end, agreed.personne_id is not null as has_contract,
+      row_number() over (partition by poste_conum_id, structure_id
+        order by least(coalesce(running, 0), 1) desc, coalesce(date_attribution, date '0001-01-01') desc, created_at is null desc, created_at desc, id) as place
+    from a_poste position left join agreed using (personne_id, structure_id)"""
+PICKED = f"select * from ({RANKED}) ranked where place = 1"
+# What each grant adds to the pair of its position, absent amounts as 0.
+MONEY = """
     select poste_conum_id, structure_id,
-      case when bool_or(enveloppes in ('V1', 'V1, V2')) and bool_or(enveloppes in ('V2', 'V1, V2')) then 'V1, V2'
-        when bool_or(enveloppes = 'V1') then 'V1' when bool_or(enveloppes = 'V2') then 'V2' end as enveloppes,
-      max(date_fin_convention) as date_fin_convention, bool_or(is_territoire_prioritaire) as is_territoire_prioritaire,
-      sum(montant_subvention_v1) as montant_subvention_v1, sum(montant_subvention_v2) as montant_subvention_v2,
-      sum(montant_bonification_v2) as montant_bonification_v2, sum(montant_subvention_cumule) as montant_subvention_cumule
-    from ({GRANTS}) x group by 1, 2"""
-PAID_ADDED = f"""
-    select poste_conum_id, structure_id, sum(montant_versement_cumule) as montant_versement_cumule,
-      sum(versement_cumule_v1) as versement_cumule_v1, sum(versement_cumule_v2) as versement_cumule_v2
-    from ({PAID}) x group by 1, 2"""
-
-
-@check("poste_par_structure", CHOSEN)
+      nullif(concat_ws(', ', if(montant_subvention_v1 is null, null, 'V1'), if(montant_subvention_v2 is null, null, 'V2')), '') as enveloppes,
+      list_max([date_fin_convention_dge, date_fin_convention_dgcl, date_fin_convention_ditp]) as date_fin_convention,
+      coalesce(montant_subvention_v1, 0) as first_grant, coalesce(montant_subvention_v2, 0) as second_grant, coalesce(montant_bonification_v2, 0) as bonus,
+      coalesce(montant_versement_v1, 0) as first_paid,
+      coalesce(list_sum([versement_1_v2, versement_2_v2, versement_3_v2]), 0)::bigint as second_paid
+    from a_subvention funding join (select id as poste_id, poste_conum_id, structure_id from a_poste) place using (poste_id)"""
+GRANTS = f"""
+    select poste_conum_id, structure_id, enveloppes, date_fin_convention, bonus > 0 as is_territoire_prioritaire, first_grant as montant_subvention_v1,
+      0::int as montant_bonification_v1, second_grant - bonus as montant_subvention_v2, bonus as montant_bonification_v2,
+      first_grant + second_grant as montant_subvention_cumule
+    from ({MONEY}) money"""
+PAID = f"""
+    select poste_conum_id, structure_id, first_paid + second_paid as montant_versement_cumule, first_paid as versement_cumule_v1, second_paid as versement_cumule_v2
+    from ({MONEY}) money"""
+# Per pair a list of its grants and one of its payments, every element of one beside every element of the other.
+CROSSED = f"""
+    select poste_conum_id, structure_id, granted, unnest(payments) as paid
+    from (select poste_conum_id, structure_id, unnest(listed) as granted, listed as payments
+          from (select poste_conum_id, structure_id, list(money) as listed from ({MONEY}) money group by all) pairs) granted"""
+ADDED = f"""
+    select poste_conum_id, structure_id, total as granted, total as paid
+    from (select poste_conum_id, structure_id, struct_pack(
+        enveloppes := nullif(concat_ws(', ', if(bool_or(contains(enveloppes, 'V1')), 'V1', null), if(bool_or(contains(enveloppes, 'V2')), 'V2', null)), ''),
+        date_fin_convention := max(date_fin_convention), first_grant := sum(first_grant), second_grant := sum(second_grant), bonus := sum(bonus),
+        first_paid := sum(first_paid), second_paid := sum(second_paid)) as total
+      from ({MONEY}) money group by all) added"""
+
+
+def _summary_sql(funded: str) -> str:
+    def amount(value: str) -> str:
+        return f"coalesce({value}, 0)::bigint"
+
+    return f"""
+    select poste_conum_id, id as poste_id, structure_id, personne_id, etat, typologie, typologie = 'coordo' as est_coordinateur, granted.enveloppes as enveloppes,
+      granted.date_fin_convention as date_fin_convention, last_end as date_fin_contrat, {amount('granted.bonus')} > 0 as bonification,
+      {amount('granted.first_grant + granted.second_grant')} as montant_subvention_cumule, {amount('paid.first_paid + paid.second_paid')} as montant_versement_cumule,
+      {amount('granted.first_grant')} as subvention_v1, 0::int as bonification_v1, {amount('paid.first_paid')} as versement_cumule_v1,
+      {amount('granted.second_grant - granted.bonus')} as subvention_v2, {amount('granted.bonus')} as bonification_v2,
+      {amount('paid.second_paid')} as versement_cumule_v2, running as nb_contrats_en_cours
+    from ({PICKED}) picked left join ({funded}) funded using (poste_conum_id, structure_id)"""
+
+
+@check("poste_par_structure", f"select id, poste_conum_id, structure_id, personne_id, etat, typologie from ({PICKED}) p")
 def _(t):
     return grants.poste_par_structure(t.a_poste, t.a_contrat)
 
 
-@check("contrats_en_cours", IN_FORCE)
+@check("contrats_en_cours", f"select poste_conum_id, structure_id, running as nb_contrats_en_cours from ({PICKED}) p where running > 0")
 def _(t):
     return grants.contrats_en_cours(t.a_poste, t.a_contrat)
 
 
-@check("dernier_contrat", LAST)
+@check("dernier_contrat", f"select poste_conum_id, structure_id, last_end as date_fin from ({PICKED}) p where has_contract")
 def _(t):
     return grants.dernier_contrat(t.a_poste, t.a_contrat)
 
@@ -168,19 +158,29 @@ def _(t):
     return grants.versements_cumules(t.a_subvention, t.a_poste)
 
 
-@check("postes_synthese", _summary_sql(GRANTS, PAID))
+@check("postes_synthese", _summary_sql(CROSSED))
 def _(t):
     return grants.postes_synthese(t.a_poste, t.a_contrat, t.a_subvention)
 
 
-@check("postes_synthese_collapse", _summary_sql(GRANTS_ADDED, PAID_ADDED))
+@check("postes_synthese_collapse", _summary_sql(ADDED))
 def _(t):
     return grants.postes_synthese(t.a_poste, t.a_contrat, t.a_subvention, collapse=True)
 
 
+@check("postes_synthese_totaux", f"""
+    select count(*) as nb_lignes, sum(montant_subvention_cumule)::bigint as montant_subvention_cumule, sum(montant_versement_cumule)::bigint as montant_versement_cumule,
+      sum(subvention_v1)::bigint as subvention_v1, sum(versement_cumule_v1)::bigint as versement_cumule_v1, sum(subvention_v2)::bigint as subvention_v2,
+      sum(bonification_v2)::bigint as bonification_v2, sum(versement_cumule_v2)::bigint as versement_cumule_v2
+    from ({_summary_sql(CROSSED)}) s""")
+def _(t):
+    totals = grants.postes_factorises(t.a_poste, t.a_contrat, t.a_subvention).totals()
+    return totals.select(*[F.col(c).cast("long").alias(c) for c in totals.columns])
+
+
 @check("fenetre_contrat", f"""
     select poste_id, structure_id, date_fin_convention, montant_subvention_cumule
-    from ({_summary_sql(GRANTS_ADDED, PAID_ADDED)}) s where date_fin_convention < date '1999-01-01'""")
+    from ({_summary_sql(ADDED)}) s where date_fin_convention < date '1999-01-01'""")
 def _(t):
     summary = grants.postes_synthese(t.a_poste, t.a_contrat, t.a_subvention, collapse=True)
     return grants.fenetre_contrat(summary, "1999-01-01").select(

@@ -311,9 +311,12 @@ def sql_collapse(L):
 
 
 def sql_guard(L):
-    return f"""select {HEAD}, case when n > 1 and r.scope then null else r.structure_coop_id end as structure_coop_id, r.mediateur_coop_id, r.suppression
-      from (select g.*, row_number() over (partition by scope, structure_coop_id, mediateur_coop_id, type, suppression order by (structure_id is null), id) as n
-            from (select l.*, l.structure_coop_id is not null and (p.winner_id is not null or l.structure_id is null) as scope
+    same = "structure_coop_id, mediateur_coop_id, type, suppression"
+    return f"""select {HEAD}, case when r.scope and (n > 1 or (r.winner_id is null and r.held)) then null else r.structure_coop_id end as structure_coop_id,
+        r.mediateur_coop_id, r.suppression
+      from (select g.*, row_number() over (partition by scope, winner_id, {same} order by id) as n,
+                   bool_or(scope and winner_id is not null) over (partition by {same}) as held
+            from (select l.*, p.winner_id, l.structure_coop_id is not null and (p.winner_id is not null or l.structure_id is null) as scope
                   from {L} l left join a_link_pairs p on p.winner_id = l.structure_id) g) r"""
 
 
@@ -414,15 +417,6 @@ def _(t):
 
 
 @check("split_structure", """
-    select id as lieu_id, min(id) over (partition by siret, denomination_sirene) as structure_administrative_id
-    from a_structure where siret is not null or denomination_sirene is not null""")
-def _(t):
-    legacy = t.a_structure.withColumnRenamed("denomination_sirene", "denomination_antenne")
-    _, _, bridge = dedupe.split_structure(legacy, ["nom"], ["emplois"])
-    return bridge
-
-
-@check("split_structure_whole", """
     select 'sites' as table_name, id, id as other_id, nom, null as siret, null as denomination_antenne, null as emplois from a_structure
     union all select 'entities', id, id, null, siret, denomination_sirene, emplois
       from (select *, row_number() over (partition by siret, denomination_sirene order by id) as n from a_structure

@@ -435,23 +435,12 @@ def _(t):
     return ordering.top_k(counted, "nb", "personne_id", 20)
 
 
-@check("sort_nulls_last", """
-    select id, date_fin from a_contrat order by date_fin desc nulls last, id limit 50""")
-def _(t):
-    return t.a_contrat.select("id", "date_fin").orderBy(F.col("date_fin").desc_nulls_last(), "id").limit(50)
-
-
-@check("sort_bool_expr", "select id, structure_id from a_poste order by (structure_id is null) desc, id limit 50")
-def _(t):
-    return t.a_poste.select("id", "structure_id").orderBy(F.col("structure_id").isNull().desc(), "id").limit(50)
-
-
-@check("sort_nulls_last_whole", "select id, date_fin from a_contrat")
+@check("sort_nulls_last", "select id, date_fin from a_contrat")
 def _(t):
     return t.a_contrat.select("id", "date_fin").orderBy(F.col("date_fin").desc_nulls_last(), "id")
 
 
-@check("sort_bool_expr_whole", "select id, structure_id from a_poste")
+@check("sort_bool_expr", "select id, structure_id from a_poste")
 def _(t):
     return t.a_poste.select("id", "structure_id").orderBy(F.col("structure_id").isNull().desc(), "id")
 

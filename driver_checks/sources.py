@@ -18,16 +18,6 @@ def _(t):
 
 
 @check("write_table", """
-    select type, count(*) as nb, cast(sum(duree) as bigint) as minutes from a_activites
-    where date >= date '1998-01-01' and date < date '1998-04-01' group by 1""")
-def _(t):
-    root = scratch_path(t.spark, "activities")
-    tables.write_table(t.a_activites, root, "main.activites_coop", ["periode"])
-    quarter = tables.read_table(t.spark, root, "main.activites_coop").where("periode between date'1998-01-01' and date'1998-03-01'")
-    return quarter.groupBy("type").agg(F.count("*").alias("nb"), F.sum("duree").alias("minutes"))
-
-
-@check("write_table_whole", """
     select date_trunc('month', date)::date as periode, type, count(*) as nb, cast(sum(duree) as bigint) as minutes from a_activites group by 1, 2""")
 def _(t):
     root = scratch_path(t.spark, "activities")

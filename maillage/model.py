@@ -364,6 +364,24 @@ WITHHELD = {
     "llm.membre": ("contact", "contact_technique"),
     "llm.personne_enrichie": ("prenom", "nom", "contact", "edited_by", "deleted_by"),
 }
+# Columns each safe view shows; a column that is not listed is not shown.
+_PERSON = """id aidant_connect_id conseiller_numerique_id cn_pg_id coop_id is_coordinateur is_mediateur formation_fne_ac profession_ac
+    nb_accompagnements_ac created_at updated_at deleted_at"""
+SHOWN = {
+    "llm.personne": f"{_PERSON} is_referent_ac updated_at_ac is_visible updated_at_coop updated_at_idposte",
+    "llm.contact": "id fonction est_referent_fne created_at updated_at",
+    # The contact is shown reduced to the keys below. The department is the one that the documented queries group by.
+    "llm.structure_administrative": """id old_main_structure_id siret ridet denomination_sirene rna denomination_antenne adresse_id structure_coop_id
+        structure_tp_id structure_ac_id etat_administratif code_activite_principale categorie_juridique publique nb_mandats_ac contact deleted_at
+        deleted_by edited_by last_sirene_enrich_at created_at updated_at updated_at_coop updated_at_idposte updated_at_ac departement_code""",
+    "llm.utilisateur": """id date_de_creation departement_code derniere_connexion groupement_id invite_le is_super_admin is_supprime region_code role
+        old_structure_id structure_id""",
+    "llm.structure": "id code_postal commune departement_code identifiant_etablissement id_mongo nom statut type categorie_juridique",
+    "llm.membre": """id gouvernance_departement_code type statut old_uuid is_coporteur categorie_membre nom siret_ridet date_suppression
+        old_structure_id structure_id""",
+    "llm.personne_enrichie": f"""{_PERSON} type_accompagnateur labellisation_aidant_connect est_actuellement_mediateur_en_poste
+        est_actuellement_aidant_numerique_en_poste est_actuellement_conseiller_numerique est_actuellement_coordo_actif structure_employeuse_id""",
+}
 ORG_CONTACT_KEYS = ("site_web", "telephone")
 PII_COLUMNS = (
     "nom", "prenom", "email", "email_de_contact", "sso_email", "courriels", "telephone",

@@ -184,9 +184,15 @@ def _collapse(rows: DataFrame, now: Column | None) -> DataFrame:
 
 
 def _guard(rows: DataFrame, now: Column | None) -> DataFrame:
-    scope = F.col("structure_coop_id").isNotNull() & (_is("winner") | F.col("structure_id").isNull())
+    """Rows of a survivor are held against each other, rows without a structure against those of all survivors."""
     keys = ["structure_coop_id", "mediateur_coop_id", "type", "suppression"]
-    return neutralise_rest(rows, keys, [F.col("structure_id").isNull()], "id", ["structure_coop_id"], scope, now)
+    lone = F.col("structure_id").isNull()
+    scope = F.col("structure_coop_id").isNotNull() & (_is("winner") | lone)
+    placed = rows.withColumn("_holder", F.when(~lone, F.col("_side")))
+    guarded = neutralise_rest(placed, [*keys, "_holder"], [], "id", ["structure_coop_id"], scope, now)
+    marked = flag_matches(guarded.where(lone & F.col("structure_coop_id").isNotNull()), guarded.where(scope & ~lone), keys, "_held")
+    freed = _change(marked, F.col("_held"), {"structure_coop_id": F.lit(None).cast(rows.schema["structure_coop_id"].dataType)}, now, rows.columns)
+    return guarded.where(~lone | F.col("structure_coop_id").isNull()).select(*rows.columns).unionByName(freed)
 
 
 def _closed(rows: DataFrame) -> DataFrame:
@@ -243,10 +249,11 @@ def links_collapse_active_closed(links: DataFrame, pairs: DataFrame, now: Column
 
 
 def links_dedupe_guard(links: DataFrame, pairs: DataFrame, now: Column | None = None) -> DataFrame:
-    """On (both external ids, type, close date) the first row keeps its structure's external id.
+    """On (both external ids, type, close date) one row keeps its structure's external id.
 
-    Rows with a structure come first, then the smallest id. Groups without a structure
-    id have nothing to lose and are left out.
+    Of the rows of one survivor the smallest id keeps it. A row without a structure keeps it only where no row of any
+    survivor has the same key, and it is the smallest of its kind. Rows of different survivors leave each other alone.
+    Groups without a structure id have nothing to lose and are left out.
     """
     rows = _untouched(links, pairs).unionByName(_touched(links, pairs), allowMissingColumns=True)
     return _guard(rows, now).select(*links.columns)

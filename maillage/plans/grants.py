@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -130,23 +131,71 @@ def _summed(grants: DataFrame) -> DataFrame:
     )
 
 
-def _grants_times_payments(grants: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Every grant of a pair beside every payment of the pair, as the view is defined.
+@dataclass(frozen=True)
+class FactorisedSummary:
+    """The summary of positions before grants and payments of a pair are written out beside each other.
 
-    Equal rows are counted first and written out again at the end, so what meets in
-    the join are the distinct grants and the distinct payments of a pair. The positions
-    join the grants before the rows multiply, and the multiplying join comes last: it
-    is an inner join, in which adaptive execution splits a hot pair on both sides, and
-    nothing shuffles its result.
+    ``pairs``: one row per pair, with its position and contracts. ``grants`` and ``payments``: the distinct ones of a
+    pair with the number of times each occurs (``_n``, ``_m``). The view has every grant beside every payment; what is
+    asked of it is computed from the three tables, whose rows do not multiply, and ``rows`` writes it out.
     """
-    left = grants.groupBy(*PAIR, *GRANT_COLUMNS).agg(F.count("*").alias("_n"))
-    right = grants.groupBy(*PAIR, *PAYMENT_COLUMNS).agg(F.count("*").alias("_m"))
-    placed = join_unique(left, pairs, PAIR, "inner")
-    joined = placed.join(right, PAIR)
-    # n, then m: no array is longer than the grants of one pair.
-    for times in ("_n", "_m"):
-        joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times)))).drop("_copy")
-    return joined.drop("_n", "_m")
+
+    pairs: DataFrame
+    grants: DataFrame
+    payments: DataFrame
+
+    def ending_before(self, before: date | str) -> FactorisedSummary:
+        """The part of the view whose agreement ends before a date; pairs without such a grant are left out."""
+        kept = self.grants.where(F.col("date_fin_convention") < F.lit(before).cast("date"))
+        return FactorisedSummary(join_unique(self.pairs, kept.select(*PAIR).distinct(), PAIR, "left_semi"), kept, self.payments)
+
+    def totals(self) -> DataFrame:
+        """nb_lignes and the sums of the amounts over all rows that the view has: one row, from one row per pair."""
+        times = {side: {c: F.sum(F.col(c).cast("decimal(38,0)") * F.col(n)).alias(c) for c in columns if c.startswith(("montant", "versement"))}
+                 for side, columns, n in (("g", GRANT_COLUMNS, "_n"), ("p", PAYMENT_COLUMNS, "_m"))}
+        granted = self.grants.groupBy(*PAIR).agg(F.sum("_n").alias("_n"), *times["g"].values())
+        paid = self.payments.groupBy(*PAIR).agg(F.sum("_m").alias("_m"), *times["p"].values())
+        funded = join_unique(join_unique(self.pairs.select(*PAIR), granted, PAIR, "left"), paid, PAIR, "left")
+        lines = {"g": F.col("_m"), "p": F.col("_n")}  # a grant stands beside each payment, a payment beside each grant
+
+        def total(column: str, side: str) -> Column:
+            return F.coalesce(F.sum(F.col(column) * lines[side]), F.lit(0)).cast("decimal(38,0)")
+
+        named = {name: (c, "g" if c in GRANT_COLUMNS else "p") for name, c in AMOUNTS.items()}
+        return funded.agg(
+            F.coalesce(F.sum(F.coalesce(F.col("_n") * F.col("_m"), F.lit(1))), F.lit(0)).cast("decimal(38,0)").alias("nb_lignes"),
+            *[total(c, side).alias(name) for name, (c, side) in named.items()],
+        )
+
+    def rows(self) -> DataFrame:
+        """Every grant of a pair beside every payment of the pair, as the view is defined; pairs without a grant once.
+
+        The positions join the grants before the rows multiply, and the multiplying join comes last: it is an inner
+        join, in which adaptive execution splits a hot pair on both sides, and nothing shuffles its result. Equal rows
+        are written out at the very end, n times, then m, so no array is longer than the grants of one pair.
+        """
+        joined = join_unique(self.grants, self.pairs.where("_finance"), PAIR, "inner").join(self.payments, PAIR)
+        for times in ("_n", "_m"):
+            joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times)))).drop("_copy")
+        return _named(joined.drop("_n", "_m").unionByName(self.pairs.where("_finance is null"), allowMissingColumns=True))
+
+
+# Amounts of the view, by the names it gives them.
+AMOUNTS = {
+    "montant_subvention_cumule": "montant_subvention_cumule", "montant_versement_cumule": "montant_versement_cumule", "subvention_v1": "montant_subvention_v1",
+    "versement_cumule_v1": "versement_cumule_v1", "subvention_v2": "montant_subvention_v2", "bonification_v2": "montant_bonification_v2",
+    "versement_cumule_v2": "versement_cumule_v2",
+}
+
+
+def postes_factorises(poste: DataFrame, contrat: DataFrame, subvention: DataFrame) -> FactorisedSummary:
+    """The summary of positions in factorised form. Grants and pairs are read by several branches, so each is computed once and cut."""
+    grants = cut(grants_par_poste(subvention, poste).dropna(subset=PAIR))
+    funded = grants.select(*PAIR).distinct().withColumn("_finance", F.lit(True))
+    pairs = cut(join_unique(_chosen_postes(poste, contrat), funded, PAIR, "left"))
+    return FactorisedSummary(
+        pairs, grants.groupBy(*PAIR, *GRANT_COLUMNS).agg(F.count("*").alias("_n")), grants.groupBy(*PAIR, *PAYMENT_COLUMNS).agg(F.count("*").alias("_m"))
+    )
 
 
 def postes_synthese(poste: DataFrame, contrat: DataFrame, subvention: DataFrame, collapse: bool = False) -> DataFrame:
@@ -154,18 +203,17 @@ def postes_synthese(poste: DataFrame, contrat: DataFrame, subvention: DataFrame,
 
     A pair with n grants has n x n rows: grants and payments are joined to the pair
     independently. ``collapse=True`` adds them up to one row per pair instead. Pairs
-    without a structure meet no grant and no contract.
+    without a structure meet no grant and no contract. ``postes_factorises`` answers
+    questions about the n x n rows without writing them out.
     """
-    pairs = _chosen_postes(poste, contrat)
+    if not collapse:
+        return postes_factorises(poste, contrat, subvention).rows()
     grants = grants_par_poste(subvention, poste).dropna(subset=PAIR)
-    if collapse:
-        joined = pairs.join(_summed(grants), PAIR, "left")
-    else:
-        # Both are read by several branches, so each is computed once and cut.
-        grants = cut(grants)
-        pairs = cut(join_unique(pairs, grants.select(*PAIR).distinct().withColumn("_finance", F.lit(True)), PAIR, "left"))
-        funded = _grants_times_payments(grants, pairs.where("_finance"))
-        joined = funded.unionByName(pairs.where("_finance is null"), allowMissingColumns=True)
+    return _named(_chosen_postes(poste, contrat).join(_summed(grants), PAIR, "left"))
+
+
+def _named(joined: DataFrame) -> DataFrame:
+    """The columns of the view, absent amounts as 0."""
     zero = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in GRANT_COLUMNS + PAYMENT_COLUMNS}
     return joined.select(
         "poste_conum_id",

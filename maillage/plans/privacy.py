@@ -38,13 +38,14 @@ def redact_json_keys(df: DataFrame, column: str, keep: Sequence[str]) -> DataFra
 
 
 def safe_view(name: str, df: DataFrame) -> DataFrame:
-    """The reduced form of a protected table, e.g. ``llm.personne``.
+    """The reduced form of a protected table, e.g. ``llm.personne``: the documented columns that the table has, and no others.
 
-    Withheld columns are dropped before the scan is planned, so they are never read.
+    A column that is new, renamed or misspelt is not shown, whatever it holds. Columns are chosen before the scan is
+    planned, so the others are never read.
     """
-    if name == "llm.structure_administrative":
-        return redact_json_keys(df, "contact", model.ORG_CONTACT_KEYS)
-    return df.drop(*model.WITHHELD[name])
+    shown = set(model.SHOWN[name].split())
+    view = df.select(*[F.col(f"`{c}`") for c in df.columns if c in shown])
+    return redact_json_keys(view, "contact", model.ORG_CONTACT_KEYS) if name == "llm.structure_administrative" and "contact" in view.columns else view
 
 
 def strip_identifiers(df: DataFrame) -> DataFrame:

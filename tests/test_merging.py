@@ -361,6 +361,17 @@ def test_import_warnings(spark):
     assert [r["import_warnings"] for r in out.collect()] == ['["nom"]', None]
 
 
+def test_guard_keeps_survivors_apart(spark):
+    schema = "id int, personne_id int, structure_id int, type string, structure_coop_id string, mediateur_coop_id string, suppression timestamp"
+    rows = [
+        (1, 1, 10, "t", "s", "m", None), (2, 1, 20, "t", "s", "m", None), (3, 1, 20, "t", "s", "m", None),  # equal keys of two survivors
+        (4, 2, None, "t", "s", "m", None), (5, 2, None, "t", "free", "m", None), (6, 2, None, "t", "free", "m", None), (7, 2, 30, "t", "s", "m", None),
+    ]
+    pairs = spark.createDataFrame([(10, 11, "c11"), (20, 21, "c21")], "winner_id int, loser_id int, loser_coop_id string")
+    got = {r["id"]: r["structure_coop_id"] for r in links.links_dedupe_guard(spark.createDataFrame(rows, schema), pairs).collect()}
+    assert got == {1: "s", 2: "s", 3: None, 4: None, 5: "free", 6: None, 7: "s"}
+
+
 # ---------------------------------------------------------------- points in zones
 def test_zones_with_holes_and_parts(spark):
     def ring(*corners):

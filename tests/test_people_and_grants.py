@@ -202,3 +202,32 @@ def test_scope(spark):
 def test_full_name_needs_both(spark):
     df = spark.createDataFrame([("Ada", "L"), (None, "L")], "p string, n string")
     assert [r[0] for r in df.select(fn.nom_complet(F.col("p"), F.col("n"))).collect()] == ["Ada L", None]
+
+
+def test_totals_of_the_fan_out_without_the_fan_out(spark):
+    poste = spark.createDataFrame(
+        [(1, 10, 5, 7, "occupe", "conum", date(2020, 1, 1), datetime(2020, 1, 1)), (2, 11, None, 8, "vacant", "conum", date(2020, 1, 1), None)],
+        "id long, poste_conum_id long, structure_id long, personne_id long, etat string, typologie string, date_attribution date, created_at timestamp",
+    )
+    contrat = spark.createDataFrame([], "id long, personne_id long, structure_id long, date_fin date, date_rupture date")
+    amounts = ["montant_subvention_v1", "montant_subvention_v2", "montant_bonification_v2", "montant_versement_v1", "versement_1_v2", "versement_2_v2", "versement_3_v2"]
+    dates = ["date_fin_convention_dgcl", "date_fin_convention_ditp", "date_fin_convention_dge"]
+    schema = "poste_id long, " + ", ".join(f"{a} long" for a in amounts) + ", " + ", ".join(f"{d} date" for d in dates)
+    one = (1, 3, 10, 4, 1, 2, 0, None, None, None, date(2021, 1, 1))
+    other = (1, None, 5, 0, 0, 1, 1, 1, None, date(2030, 1, 1), None)
+
+    def totals(summary):
+        found = summary.totals()
+        assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+        return {c: int(v) for c, v in found.first().asDict().items()}
+
+    many = spark.createDataFrame([one] * 2000 + [other] * 500, schema)
+    got = totals(grants.postes_factorises(poste, contrat, many))
+    assert got["nb_lignes"] == 2500 * 2500 + 1
+    assert got["montant_subvention_cumule"] == 2500 * (2000 * 13 + 500 * 5) and got["versement_cumule_v2"] == 2500 * (2000 * 2 + 500 * 3)
+    # On few grants the rows themselves say the same.
+    few = spark.createDataFrame([one] * 3 + [other] * 2, schema)
+    for summary in (grants.postes_factorises(poste, contrat, few), grants.postes_factorises(poste, contrat, few).ending_before("2022-01-01")):
+        rows, got = summary.rows().collect(), totals(summary)
+        assert got.pop("nb_lignes") == len(rows) and got == {c: sum(r[c] for r in rows) for c in got}
+    assert len(rows) == 15 and {r["date_fin_convention"] for r in rows} == {date(2021, 1, 1)}

@@ -86,8 +86,8 @@ def test_whole_sorts_are_in_order_to_the_last_row(spark):
     from driver_checks import QUERIES
 
     folder = "/root/testdata/sf0.001"
-    rows = QUERIES["sort_nulls_last_whole"](spark, folder).collect()
+    rows = QUERIES["sort_nulls_last"](spark, folder).collect()
     assert len(rows) > 50
     assert rows == sorted(rows, key=lambda r: (r.date_fin is None, -r.date_fin.toordinal() if r.date_fin else 0, r.id))
-    rows = QUERIES["sort_bool_expr_whole"](spark, folder).collect()
+    rows = QUERIES["sort_bool_expr"](spark, folder).collect()
     assert len(rows) > 50 and rows == sorted(rows, key=lambda r: (r.structure_id is not None, r.id))

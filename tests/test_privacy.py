@@ -73,6 +73,18 @@ def test_reduced_views_have_no_withheld_column(spark):
         assert privacy.safe_view(name, df).columns == ["id"]
 
 
+def test_columns_nobody_documented_are_not_shown(spark):
+    df = spark.createDataFrame([(1, "a@b", "x")], "id int, email_prive string, fonction string")
+    assert privacy.safe_view("llm.contact", df).columns == ["id", "fonction"]
+    odd = spark.createDataFrame([(1, "x")], "id int, `Nom.complet` string")
+    assert privacy.safe_view("llm.personne", odd).columns == ["id"]
+    # Columns shown per view, of 23, 9, 26, 18, 12, 14 and 25, and the department; none of them is withheld.
+    assert {n: len(c.split()) for n, c in model.SHOWN.items()} == {
+        "llm.personne": 18, "llm.contact": 5, "llm.structure_administrative": 27, "llm.utilisateur": 12, "llm.structure": 10, "llm.membre": 12, "llm.personne_enrichie": 20,
+    }
+    assert not any(set(model.WITHHELD.get(n, ())) & set(c.split()) for n, c in model.SHOWN.items())
+
+
 def test_withheld_columns_are_not_read(spark, tmp_path):
     path = str(tmp_path / "contact")
     spark.createDataFrame([(1, "a", "b", "c", "d")], "id int, nom string, prenom string, email string, telephone string").write.parquet(path)
