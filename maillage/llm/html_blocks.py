@@ -37,16 +37,27 @@ SEED = 13
 # Elements that do not end a block, and those without an end tag.
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Elements whose content is never text of a page.
-_RAW = "script style noscript template textarea title select svg iframe object math button".split()
+# Formulas are part of the sentence around them.
+INLINE |= frozenset("math mi mn mo ms mtext mspace mrow mfrac msup msub msubsup mover munder munderover msqrt mroot mstyle semantics annotation".split())
+# Elements whose content is never text of a page: to the end tag, or to the end of the page.
+_RAW = "script style noscript template textarea title iframe".split()
+# Controls and drawings: left out where they end before any block does, else their tags alone are.
+_CONTROLS = "button select svg object".split()
+INLINE |= frozenset(_CONTROLS)
 # An open element that one of the same group ends.
 _SIBLINGS = {n: g for g in (("p",), ("li",), ("dt", "dd"), ("tr",), ("td", "th"), ("option",)) for n in g}
 # Block elements that end an open paragraph.
 _ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul figure".split())
 
+# No part of a tag outside of quotes has a `<`, so an open tag that never ends is looked through once and not once per `<`.
+_ATTRIBUTES = r"(?:\"[^\"]*\"|'[^']*'|[^<>\"'])*"
+_BLOCKS = "|".join(sorted((_ENDS_P | {"body", "html", "li", "tr", "td", "th", "dd", "dt"}) - {"form"}))
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(_RAW) + r")\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)"
+    rf"|<(?P<raw>{'|'.join(_RAW)})\b{_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<control>{'|'.join(_CONTROLS)})\b{_ATTRIBUTES}>(?:[^<]|<(?!(?P=control)\b|/?(?:{_BLOCKS})\b|/(?P=control)\s*>))*</(?P=control)\s*>"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>{_ATTRIBUTES})>"
+    r"|<[!?][^<>]*>",
     re.DOTALL | re.IGNORECASE,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.IGNORECASE)
@@ -92,20 +103,20 @@ def leaf_blocks(page: str) -> list[Block]:
             if in_link:
                 linked += len(piece)
         at = m.end()
-        if m[3] is None:
-            if m[1]:
+        if m["tag"] is None:
+            if m["raw"] or m["control"]:
                 parts.append(" ")
             continue
-        tag = m[3].lower()
+        tag, is_end, attributes = m["tag"].lower(), m["end"], m["attributes"]
         if tag in INLINE:
             if tag == "a":
-                in_link = 0 if m[2] else 1
+                in_link = 0 if is_end else 1
             elif tag == "br":
                 parts.append(" ")
             continue
         flush()
         in_link = 0 if tag in _ENDS_P or tag == "li" else in_link
-        if m[2]:
+        if is_end:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     del stack[k:]
@@ -122,8 +133,8 @@ def leaf_blocks(page: str) -> list[Block]:
                     break
                 if stack[k][0] in ("ul", "ol", "dl", "table", "div", "article", "section", "body"):
                     break
-        if not m[4].rstrip().endswith("/"):
-            stack.append((tag, _features(tag, m[4])))
+        if not attributes.rstrip().endswith("/"):
+            stack.append((tag, _features(tag, attributes)))
     if at < len(page):
         parts.append(html.unescape(page[at:]))
     flush()
