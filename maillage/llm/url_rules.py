@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maillage.llm.columns import ascii_lower
+from maillage.operators.joins import join_unique
 
 BLOCK, ALLOW = "block", "allow"
 PREFIX_CHARS = 8  # hex digits of the digest on which the join runs
@@ -46,7 +47,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     """Per row: id, host, path, rule that decides (null: none) and verdict (without a rule: ``default``).
 
     Nulls and texts without ``://`` have an empty host and path and fit no rule. Repeated rows are
-    judged once each. Rules fit a host and all its subdomains if the path begins with the rule's path;
+    given the verdict of their URL, which is found once. Rules fit a host and all its subdomains if the path begins with the rule's path;
     the longest rule wins, of equal lengths that with the longer host. An empty rule table fits nothing.
     Only path prefixes of lengths that some rule has are made: the number of lengths is bounded by the
     longest rule path, not by the number of rules or pages. The hash join is Spark's choice: a small
@@ -55,17 +56,18 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     """
     lengths = sorted(r[0] for r in rules.select("path_chars").distinct().collect())
     host, path = url_host(F.col(url_col)), url_path(F.col(url_col))
-    base = pages.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col), host.alias("host"), path.alias("path"))
+    base = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
+    places = base.where(F.col("host") != "").select("host", "path").distinct()  # an URL is judged once, however often it occurs
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     prefixes = F.filter(
         F.array(*(F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths)) if lengths else F.array().cast("array<string>"),
         lambda p: p.isNotNull(),
     )
-    expressions = base.where(F.col("host") != "").select("_row", F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes"))
-    expressions = expressions.select("_row", "suffix", F.explode("prefixes").alias("prefix")).withColumn("expr_digest", _digest(F.col("suffix"), F.col("prefix")))
+    expressions = places.select("host", "path", F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes"))
+    expressions = expressions.select("host", "path", "suffix", F.explode("prefixes").alias("prefix")).withColumn("expr_digest", _digest(F.col("suffix"), F.col("prefix")))
     hits = expressions.withColumn("key", F.substring("expr_digest", 1, PREFIX_CHARS)).join(rules, "key").where(F.col("expr_digest") == F.col("digest"))
-    best = hits.groupBy("_row").agg(F.max(F.struct(F.length("rule").alias("n"), "host_chars", "verdict", "rule")).alias("best"))
-    return base.join(best, "_row", "left").select(
+    best = hits.groupBy("host", "path").agg(F.max(F.struct(F.length("rule").alias("n"), "host_chars", "verdict", "rule")).alias("best"))
+    return join_unique(base, best, ["host", "path"], "left").select(
         id_col, "host", "path", F.col("best.rule").alias("rule"), F.coalesce(F.col("best.verdict"), F.lit(default)).alias("verdict")
     )
