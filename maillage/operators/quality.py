@@ -154,7 +154,7 @@ def dq_report(
                     tag(table, number, role, f"{column} is not null", _key([column]))
 
     role, n = F.col("role"), F.col("n")
-    rows = [df.selectExpr(f"inline(array_compact(array({', '.join(tagged[name])})))") for name, df in tables.items() if tagged[name]]
+    rows = [df.selectExpr(f"inline(array({', '.join(tagged[name])}))").where("rule is not null") for name, df in tables.items() if tagged[name]]
     declared = next(iter(tables.values())).sparkSession.createDataFrame(
         [(i, *entry) for i, entry in enumerate(names)], "number int, table_name string, rule string, tested boolean"
     )
