@@ -18,7 +18,7 @@ HEADLINE = (
     "postes_synthese", "postes_synthese_collapse", "coll_terr", "rollup_territory", "activites_par_territoire_periode",
     "activites_par_thematique", "beneficiaires_totaux", "consommation_enveloppe", "audit_queries", "scan_sensitive_text",
     "dq_unique", "dq_report", "resolve_merge_pairs", "merge_personne_fields", "merge_links", "dedupe_personne_ids",
-    "fuzzy_name_pairs", "upsert", "join_point_in_polygon",
+    "fuzzy_name_pairs", "upsert", "join_point_in_polygon", "merge_structures", "merge_persons", "merge_structure_rows",
 )
 
 

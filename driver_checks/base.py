@@ -10,6 +10,7 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from maillage.session import configure
 
@@ -208,6 +209,9 @@ def _used(sql: str) -> list[str]:
     return [name for name in GIVEN if "{" + name + "}" in sql]
 
 
+_SCHEMAS: dict[str, StructType] = {}  # of the given tables, so that each is looked up once and not at every use
+
+
 class Tables:
     """Given tables and adapters by name, e.g. ``t.orders`` or ``t.a_poste``."""
 
@@ -216,7 +220,10 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in GIVEN:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            if path not in _SCHEMAS:
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         if name in ADAPTERS:
             sql = ADAPTERS[name]
             return self.spark.sql(sql, **{g: getattr(self, g) for g in _used(sql)})
