@@ -154,3 +154,35 @@ def test_attention_learns_from_more_than_a_fixed_number_of_texts(spark):
     times = np.concatenate([np.arange(size, 0, -1), np.full(size, 3)])
     group, count = attention.classes_of(codes, times, width, np.append(np.ones(size, bool), False))
     assert (group[attention.FREQUENT : size] > 1).all() and (group[:size] == group[of % width]).all() and count[0] == size
+
+
+@pytest.mark.parametrize("fillers", [300, 6000])
+def test_toxicity_learns_what_two_terms_say_together(fillers):
+    """Toxic is just one of two words that tell nothing alone, among many others that tell nothing at all."""
+    rng = np.random.default_rng(5)
+
+    def some(n):
+        texts, labels = [], []
+        for one, two in rng.integers(0, 2, (n, 2)).tolist():
+            words = [f"filler{k}" for k in rng.integers(0, fillers, 40)] + ["insult"] * one + ["group"] * two
+            rng.shuffle(words)
+            texts.append(" ".join(words))
+            labels.append(int(one != two))
+        return texts, labels
+
+    model = toxicity.train(*some(4000))
+    texts, labels = some(1000)
+    assert np.mean((model.score(pa.array(texts)) >= 0.5) == np.array(labels)) > 0.95
+    assert (model.slot >= 0).sum() >= fillers * 0.9  # no term was left out
+
+
+def test_toxicity_gradient_is_that_of_differences():
+    rng = np.random.default_rng(2)
+    row, slot = np.divmod(np.unique(rng.integers(0, 12 * 7, 40)), 7)
+    pairs, y = toxicity.Pairs(row, slot, 12, 7), rng.integers(0, 2, 12).astype(float)
+    x = rng.normal(size=1 + 7 * (1 + toxicity.FACTORS))
+    grad = pairs.loss(x, y, True)[1]
+    for at in range(len(x)):
+        step = np.zeros_like(x)
+        step[at] = 1e-5
+        assert grad[at] == pytest.approx((pairs.loss(x + step, y, True)[0] - pairs.loss(x - step, y, True)[0]) / 2e-5, abs=1e-5)
