@@ -23,6 +23,8 @@ def _stand_in(kind: T.DataType) -> Column:
         return F.lit(0).cast(kind)
     if isinstance(kind, T.BooleanType):
         return F.lit(False)
+    if isinstance(kind, T.BinaryType):
+        return F.lit("").cast(kind)
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.lit("1970-01-01").cast(kind)
     raise TypeError(f"no key type: {kind.simpleString()}")
