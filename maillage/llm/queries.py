@@ -47,7 +47,7 @@ def op7_url_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.find_near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates.find_near_duplicates(table(spark, sf_dir, "documents")).drop("text_md5")
 
 
 def op9_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -186,3 +186,21 @@ def test_toxicity_gradient_is_that_of_differences():
         step = np.zeros_like(x)
         step[at] = 1e-5
         assert grad[at] == pytest.approx((pairs.loss(x + step, y, True)[0] - pairs.loss(x - step, y, True)[0]) / 2e-5, abs=1e-5)
+
+
+def test_near_duplicates_keep_texts_of_one_id_apart(spark):
+    base, unlike = " ".join(f"word{i}" for i in range(60)), " ".join(f"else{i}" for i in range(40))
+    rows = [(5, base), (7, base), (7, unlike), (7, unlike), (9, base.replace("word30", "x")), (9, base.upper()), (None, base), (11, None)]
+    for kind, name in (("long", lambda i: i), ("string", lambda i: None if i is None else f"{i:02}")):
+        docs = spark.createDataFrame([(name(i), t, "clash") for i, t in rows], f"doc_id {kind}, text string, kept string")
+        got = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in near_duplicates.find_near_duplicates(docs).collect())
+        want = [(5, 5, True), (7, 5, False), (7, 7, True), (7, 7, True), (9, 5, False), (9, 5, False), (None, None, True), (11, 11, True)]
+        assert got == sorted((str(name(i)), str(name(c)), k) for i, c, k in want)
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, digest string")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns
+    assert sorted(map(str, left.select("doc_id", "text").collect())) == sorted(
+        map(str, spark.createDataFrame([(5, base), (7, unlike), (None, base), (11, None)], "doc_id long, text string").collect())
+    )
