@@ -25,11 +25,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates: that with the smallest doc_id. Repeated rows leave one."""
+    """One document of every group of near-duplicates: that with the smallest doc_id. Repeated rows leave one.
+
+    Texts that share a doc_id are judged each for itself.
+    """
     del sf_dir
     bound_batches(spark)
     found = near_duplicates.find_near_duplicates(docs)
-    rest = docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_md5").alias("_md5")).distinct()
+    rest = docs.join(gone, (F.col("doc_id") == F.col("_id")) & (near_duplicates.text_md5(F.col("text")) == F.col("_md5")), "left_anti")
     repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where((F.col("n") > 1) & F.col("doc_id").isNotNull()).select("doc_id")
     if repeated.isEmpty():
         return rest
