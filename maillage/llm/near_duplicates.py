@@ -7,8 +7,10 @@
 3. Nodes that share a band key are candidates. Each is first compared with the smallest node of its bucket
    only, so a bucket makes one pair per member: signatures first, then the full sets. Confirmed links are
    joined into components.
-4. Buckets whose members still lie in several components are compared block by block inside tasks of
-   bounded size. A block emits links of a spanning forest, never its pairs.
+4. Members of buckets that still lie in several components are dealt anew by their rarest shingles: similar
+   sets share one among those (``rare_shingles``), while a template that many texts share is not rare. Members
+   of different components with a rare shingle in common are compared block by block inside tasks of bounded
+   size. A block emits links of a spanning forest, never its pairs.
 5. Links become components by alternating large-star and small-star rounds.
 
 Band keys meet with a probability of 1 - (1 - s**ROWS)**BANDS for similarity s: 0.999995 at 0.75.
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from maillage.llm.columns import stored
@@ -34,7 +36,7 @@ THRESHOLD = 75  # percent: 100 * intersection >= THRESHOLD * union
 BANDS, ROWS = 32, 4
 # Of the 128 minima, so many agree at least: 5.4 standard deviations below the mean at similarity 0.75.
 MIN_AGREE = 70
-BLOCK = 1024  # members of a bucket compared in one task, against as many
+BLOCK = 1024  # bearers of a rare shingle compared in one task, against as many
 FILTER_BITS = 1 << 23  # of the filter that keeps other texts out of the shuffle: 1 MB
 BITMAP_BITS = 32768  # of one bitmap of Spark's bitmap functions, a fixed value
 SEED = 3
@@ -232,11 +234,10 @@ def find_near_duplicates(docs: DataFrame) -> DataFrame:
     # Buckets whose members, the pivot aside, are in several components.
     placed = members.where(F.col("n") > 2).select("key", "node").join(component, "node", "left")
     placed = placed.select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
-    mixed = mixed.where(F.col("lo") != F.col("hi")).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    left = stored(join_unique(placed, mixed, ["key"], "inner"), "mixed")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") != F.col("hi")).select("key")
+    left = stored(join_unique(placed, mixed, ["key"], "inner").select("node", "component").distinct(), "mixed")
     if not left.isEmpty():
-        more = _compare_buckets(docs, classes, left, signatures)
+        more = _compare_left(docs, classes, left, signatures)
         hung = component.select(F.col("node").alias("x"), F.col("component").alias("y"))
         component = connected_components(hung.unionAll(stored(more, "more-links")))
 
@@ -283,11 +284,50 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.where(F.arrow_udf(_confirm, "boolean")("set_x", "set_y")).select(F.col("pivot").alias("x"), F.col("node").alias("y"))
 
 
-def _compare_buckets(docs: DataFrame, classes: DataFrame, members: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Links between members (key, node, component, blocks) of one bucket in different components."""
+def _one_by_one(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per set and shingle, in batches of bounded size; ``size`` is that of the set."""
+    for part in parts:
+        for node, component, packed in zip(*(part.column(c) for c in ("node", "component", "shingles")), strict=True):
+            shingles = np.frombuffer(packed.as_py(), np.int64)
+            for at in range(0, len(shingles), 1 << 14):
+                some = shingles[at : at + (1 << 14)]
+                same = [pa.repeat(x, len(some)) for x in (node, component, pa.scalar(len(shingles), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(some)], ["node", "component", "size", "key"])
+
+
+def rare_shingles(sets: DataFrame) -> DataFrame:
+    """node, component, key: the rarest shingles of every set in ``sets`` (node, component, shingles), those of one set alone left out.
+
+    Two sets with 100 * intersection >= THRESHOLD * union share at least that percentage of either. Of the shingles of
+    a set in order of their number of sets, so many come first that the rest is too small for that; the first ones of two
+    similar sets therefore have one in common. Shingles of one set alone take up places and meet nobody.
+    """
+    one = sets.mapInArrow(_one_by_one, "node binary, component binary, size long, key long")
+    often = one.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    shared = join_unique(one, often, ["key"], "inner")
+    own = Window.partitionBy("node")
+    shared = shared.withColumn("place", F.row_number().over(own.orderBy("n", "key"))).withColumn("shared", F.count("*").over(own))
+    needed = F.expr(f"({THRESHOLD} * size + 99) div 100")  # shingles in common at least
+    first = F.col("size") - needed + 1
+    return shared.where(F.col("size") - F.col("shared") + F.col("place") <= first).select("node", "component", "key")
+
+
+def _compare_left(docs: DataFrame, classes: DataFrame, left: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Links between nodes of ``left`` (node, component) in different components that share a rare shingle.
+
+    Shingles with the same bearers, such as those of one passage, count once.
+    """
+    sets = stored(left.join(_sets_of(docs, classes, left), "node"), "left-sets")
+    rare = stored(rare_shingles(sets), "rare")
+    bearers = rare.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("h"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("g")
+    )
+    groups = bearers.where(F.col("lo") != F.col("hi")).groupBy("n", "h", "g").agg(F.min("key").alias("key"))
+    groups = groups.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    members = join_unique(rare, groups, ["key"], "inner")
     own = (F.xxhash64("node").bitwiseAND(0x7FFFFFFF) % F.col("blocks")).cast("int")
     spread = members.withColumn("block", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.select("key", "node", "component", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
-    full = spread.join(signatures, "node").join(_sets_of(docs, classes, members), "node")
+    full = spread.join(signatures, "node").join(sets.select("node", "shingles"), "node")
     full = full.select("key", "node", "component", "block", "a", "b", "signature", "shingles")
     return full.groupBy("key", "a", "b").applyInArrow(_compare_block, "x binary, y binary").distinct()

@@ -204,3 +204,37 @@ def test_near_duplicates_keep_texts_of_one_id_apart(spark):
     assert sorted(map(str, left.select("doc_id", "text").collect())) == sorted(
         map(str, spark.createDataFrame([(5, base), (7, unlike), (None, base), (11, None)], "doc_id long, text string").collect())
     )
+
+
+def test_near_duplicates_among_many_texts_with_a_shared_half(spark):
+    """Unlike texts that share half their words meet in all buckets; a few of them have near copies."""
+    rng = np.random.default_rng(4)
+    half = [f"t{i}" for i in range(60)]
+    texts = {}
+    for k in range(300):
+        own = [f"u{k}x{i}" for i in range(60)]
+        texts[k] = " ".join(half + own)
+        if k % 25 == 0:
+            for c in range(1, 4):
+                near = list(own)
+                near[int(rng.integers(0, 60))] = f"n{k}x{c}"
+                texts[1000 * c + k] = " ".join(half + near)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    # Copies share 106 of 126 shingles at least, other texts 56 of 176.
+    assert {r.doc_id: r.component_id for r in near_duplicates.find_near_duplicates(df).collect()} == {d: d % 1000 for d in texts}
+
+
+def test_rare_shingles_of_similar_sets_meet_and_templates_do_not(spark):
+    rng = np.random.default_rng(6)
+    template = rng.integers(0, 1 << 62, 40)
+    sets = [np.unique(np.concatenate((template, rng.integers(0, 1 << 62, 60)))) for _ in range(80)]
+    sets += [np.unique(np.concatenate((s[: len(s) - 8], rng.integers(0, 1 << 62, 8)))) for s in sets[:30]]
+    sets += [rng.integers(0, 1 << 62, 1), np.arange(3), np.arange(4)]
+    rows = [(bytes([k]), bytes([k]), bytearray(s.astype(np.int64).tobytes())) for k, s in enumerate(sets)]
+    got = near_duplicates.rare_shingles(spark.createDataFrame(rows, "node binary, component binary, shingles binary")).collect()
+    bearers: dict = {}
+    for r in got:
+        bearers.setdefault(r.key, set()).add(r.node[0])
+    met = {(a, b) for group in bearers.values() for a in group for b in group if a < b}
+    similar = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if near_duplicates.linked(np.sort(sets[a]).astype(np.uint64), np.sort(sets[b]).astype(np.uint64))}
+    assert len(similar) > 30 and similar <= met and len(met) < 2 * len(similar)
