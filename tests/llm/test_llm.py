@@ -238,3 +238,63 @@ def test_rare_shingles_of_similar_sets_meet_and_templates_do_not(spark):
     met = {(a, b) for group in bearers.values() for a in group for b in group if a < b}
     similar = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if near_duplicates.linked(np.sort(sets[a]).astype(np.uint64), np.sort(sets[b]).astype(np.uint64))}
     assert len(similar) > 30 and similar <= met and len(met) < 2 * len(similar)
+
+
+def test_attention_gradient_sums_and_windows():
+    rng = np.random.default_rng(9)
+    size, end = 30, 29
+    group = np.append(rng.integers(1, attention.CLASSES, end), 0)
+    model = attention.start(group, np.ones(size, np.int64))
+    bounds = np.array([0, 1, 40, 100])
+    ids = rng.integers(0, end, 100)
+    ids[bounds[1:] - 1] = end
+    queries, keys, known, place = attention.blocks(model.row[ids], bounds, int(model.row[end]))
+    assert sorted(place[place >= 0].tolist()) == list(range(100))  # every id is scored once
+    # Masked attention, place by place.
+    own, lead = model.class_scores(ids, bounds, end)
+    p = {k: v.astype(float) for k, v in model.params.items()}
+    at_block = {int(q): (b, j) for b, row in enumerate(place) for j, q in enumerate(row) if q >= 0}
+    for at in range(100):
+        first = max(b for b in bounds if b <= at)
+        begin = max(first, first + ((at - first) // attention.BLOCK - 1) * attention.BLOCK)
+        rows = [model.row[end] if k == first else model.row[ids[k - 1]] for k in range(begin, at + 1)]
+        e = p["embed"][rows]
+        weight = np.exp(e @ p["k"] @ (e[-1] @ p["q"]) + p["near"][np.arange(len(rows))[::-1]])
+        seen = np.concatenate((weight / weight.sum() @ (e @ p["v"]), e[-1]))
+        logits = np.maximum(seen @ p["w1"] + p["b1"], 0) @ p["w2"] + p["b2"]
+        share = np.exp(logits) / np.exp(logits).sum()
+        assert own[at] == pytest.approx(np.log10(share[group[ids[at]]]), abs=1e-4)
+        assert lead[at] == pytest.approx(np.log10(share[: attention.LEADING].sum()), abs=1e-4)
+        b, j = at_block[at]
+        assert np.allclose(model.forward(queries, keys, known)[b, j], logits, atol=1e-3)
+    # Numeric gradients, in double precision.
+    model.params, model._tables, model._steep = p, None, True
+    target = np.where(place >= 0, group[ids][place], -1)
+
+    def loss():
+        model._tables = None
+        logits = model.forward(queries, keys, known)
+        whole = np.log(np.exp(logits).sum(2))
+        there = target >= 0
+        return (whole[there] - logits[(*np.nonzero(there), target[there])]).mean()
+
+    model._tables = None
+    grads = attention.gradients(model, queries, keys, known, target)
+    for name, grad in grads.items():
+        values = p[name].reshape(-1)
+        for at in rng.choice(len(values), min(12, len(values)), replace=False):
+            was, step, both = values[at], 1e-5, []
+            for sign in (1, -1):
+                values[at] = was + sign * step
+                both.append(loss())
+            values[at] = was
+            assert grad.reshape(-1)[at] == pytest.approx((both[0] - both[1]) / (2 * step), abs=2e-4), name
+
+
+def test_ids_of_a_class_sum_to_one():
+    rng = np.random.default_rng(10)
+    group = rng.integers(0, attention.CLASSES, 500)
+    table = attention.emission_table(group, rng.integers(0, 9, (attention.CLASSES + 1, 500)).astype(float))
+    for row in table:
+        sums = np.bincount(group, 10.0 ** row.astype(float), attention.CLASSES)
+        assert np.allclose(sums[np.unique(group)], 1, atol=1e-4)
