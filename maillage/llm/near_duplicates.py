@@ -8,9 +8,10 @@
    only, so a bucket makes one pair per member: signatures first, then the full sets. Confirmed links are
    joined into components.
 4. Members of buckets that still lie in several components are dealt anew by their rarest shingles: similar
-   sets share one among those (``rare_shingles``), while a template that many texts share is not rare. Members
-   of different components with a rare shingle in common are compared block by block inside tasks of bounded
-   size. A block emits links of a spanning forest, never its pairs.
+   sets share one among those (``rare_shingles``), while a template that many texts share is not rare. Bearers of
+   a rare shingle are compared with the smallest of them first, as in 3. Those still in different components are
+   then compared block by block inside tasks of bounded size. A block emits links of a spanning forest, never
+   its pairs.
 5. Links become components by alternating large-star and small-star rounds.
 
 Band keys meet with a probability of 1 - (1 - s**ROWS)**BANDS for similarity s: 0.999995 at 0.75.
@@ -223,23 +224,21 @@ def find_near_duplicates(docs: DataFrame) -> DataFrame:
     # One pair per member: signatures, then full sets.
     signatures = reps.select("node", "signature")
     pairs = members.select("pivot", "node").distinct()
-    agree = F.arrow_udf(_agree, "int")
-    pairs = pairs.join(signatures, "node").withColumnRenamed("signature", "sig_y")
-    pairs = join_unique(pairs, signatures.select(F.col("node").alias("pivot"), F.col("signature").alias("sig_x")), ["pivot"], "inner")
-    pairs = pairs.where(agree("sig_x", "sig_y") >= MIN_AGREE).select("pivot", "node")
-    pairs = stored(pairs, "pairs")
-    confirmed = stored(_verify(docs, classes, pairs), "confirmed")
+    pairs = stored(_agreeing(pairs, signatures), "pairs")
+    sets = stored(_sets_of(docs, classes, pairs.select("node").unionAll(pairs.select("pivot"))), "sets")
+    confirmed = stored(_verify(pairs, sets), "confirmed")
     component = connected_components(confirmed)
 
     # Buckets whose members, the pivot aside, are in several components.
-    placed = members.where(F.col("n") > 2).select("key", "node").join(component, "node", "left")
-    placed = placed.select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") != F.col("hi")).select("key")
-    left = stored(join_unique(placed, mixed, ["key"], "inner").select("node", "component").distinct(), "mixed")
+    placed = _placed(members.where(F.col("n") > 2).select("key", "node"), component)
+    left = stored(join_unique(placed, _mixed(placed), ["key"], "inner").select("node").distinct(), "mixed")
     if not left.isEmpty():
-        more = _compare_left(docs, classes, left, signatures)
-        hung = component.select(F.col("node").alias("x"), F.col("component").alias("y"))
-        component = connected_components(hung.unionAll(stored(more, "more-links")))
+        sets = stored(_sets_of(docs, classes, left), "left-sets")
+        rare = stored(rare_shingles(sets), "rare")
+        for find in (_compare_pivots, _compare_blocks):
+            more = stored(find(_placed(rare, component), sets, signatures), "more-links")
+            hung = component.select(F.col("node").alias("x"), F.col("component").alias("y"))
+            component = connected_components(hung.unionAll(more))
 
     # The smallest document of every component, and of every class without links. The node that a component is named after has no row.
     component = component.unionAll(component.select(F.col("component").alias("node"), "component").distinct())
@@ -277,57 +276,74 @@ def _sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame
     return sets.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
-def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs (x, y) whose full sets are similar enough."""
-    sets = stored(_sets_of(docs, classes, pairs.select("node").unionAll(pairs.select("pivot"))), "sets")
+def _agreeing(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Pairs (pivot, node) whose signatures agree often enough."""
+    pairs = pairs.join(signatures, "node").withColumnRenamed("signature", "sig_y")
+    pairs = join_unique(pairs, signatures.select(F.col("node").alias("pivot"), F.col("signature").alias("sig_x")), ["pivot"], "inner")
+    return pairs.where(F.arrow_udf(_agree, "int")("sig_x", "sig_y") >= MIN_AGREE).select("pivot", "node")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (x, y) of ``pairs`` whose full sets are similar enough."""
     joined = pairs.join(sets, "node").withColumnRenamed("shingles", "set_y").join(sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("set_x")), "pivot")
     return joined.where(F.arrow_udf(_confirm, "boolean")("set_x", "set_y")).select(F.col("pivot").alias("x"), F.col("node").alias("y"))
 
 
+def _placed(bearers: DataFrame, component: DataFrame) -> DataFrame:
+    """key, node, component: a node without a link is its own."""
+    return bearers.join(component, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+
+
+def _mixed(placed: DataFrame, *more: Column) -> DataFrame:
+    """Keys whose nodes are in several components, with aggregates."""
+    keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), *more)
+    return keys.where(F.col("lo") != F.col("hi")).drop("lo", "hi")
+
+
 def _one_by_one(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per set and shingle, in batches of bounded size; ``size`` is that of the set."""
     for part in parts:
-        for node, component, packed in zip(*(part.column(c) for c in ("node", "component", "shingles")), strict=True):
+        for node, packed in zip(part.column("node"), part.column("shingles"), strict=True):
             shingles = np.frombuffer(packed.as_py(), np.int64)
             for at in range(0, len(shingles), 1 << 14):
                 some = shingles[at : at + (1 << 14)]
-                same = [pa.repeat(x, len(some)) for x in (node, component, pa.scalar(len(shingles), pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(some)], ["node", "component", "size", "key"])
+                same = [pa.repeat(x, len(some)) for x in (node, pa.scalar(len(shingles), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(some)], ["node", "size", "key"])
 
 
 def rare_shingles(sets: DataFrame) -> DataFrame:
-    """node, component, key: the rarest shingles of every set in ``sets`` (node, component, shingles), those of one set alone left out.
+    """node, key: the rarest shingles of every set in ``sets`` (node, shingles), those of one set alone left out.
 
     Two sets with 100 * intersection >= THRESHOLD * union share at least that percentage of either. Of the shingles of
     a set in order of their number of sets, so many come first that the rest is too small for that; the first ones of two
     similar sets therefore have one in common. Shingles of one set alone take up places and meet nobody.
     """
-    one = sets.mapInArrow(_one_by_one, "node binary, component binary, size long, key long")
+    one = sets.mapInArrow(_one_by_one, "node binary, size long, key long")
     often = one.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     shared = join_unique(one, often, ["key"], "inner")
     own = Window.partitionBy("node")
     shared = shared.withColumn("place", F.row_number().over(own.orderBy("n", "key"))).withColumn("shared", F.count("*").over(own))
     needed = F.expr(f"({THRESHOLD} * size + 99) div 100")  # shingles in common at least
     first = F.col("size") - needed + 1
-    return shared.where(F.col("size") - F.col("shared") + F.col("place") <= first).select("node", "component", "key")
+    return shared.where(F.col("size") - F.col("shared") + F.col("place") <= first).select("node", "key")
 
 
-def _compare_left(docs: DataFrame, classes: DataFrame, left: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Links between nodes of ``left`` (node, component) in different components that share a rare shingle.
+def _compare_pivots(placed: DataFrame, sets: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Links between the nodes of a key and its smallest node, of those in different components."""
+    pivots = _mixed(placed, F.min(F.struct("node", "component")).alias("pivot"))
+    pairs = join_unique(placed, pivots, ["key"], "inner").where(F.col("component") != F.col("pivot.component"))
+    pairs = pairs.select(F.col("pivot.node").alias("pivot"), "node").distinct()
+    return _verify(_agreeing(pairs, signatures), sets)
 
-    Shingles with the same bearers, such as those of one passage, count once.
-    """
-    sets = stored(left.join(_sets_of(docs, classes, left), "node"), "left-sets")
-    rare = stored(rare_shingles(sets), "rare")
-    bearers = rare.groupBy("key").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("h"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("g")
-    )
-    groups = bearers.where(F.col("lo") != F.col("hi")).groupBy("n", "h", "g").agg(F.min("key").alias("key"))
+
+def _compare_blocks(placed: DataFrame, sets: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Links between the nodes of a key that are in different components. Keys with the same nodes, such as those of one passage, count once."""
+    h, g = (F.bit_xor(F.xxhash64(F.lit(salt), "node")).alias(name) for salt, name in enumerate("hg"))
+    groups = _mixed(placed, F.count("*").alias("n"), h, g).groupBy("n", "h", "g").agg(F.min("key").alias("key"))
     groups = groups.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = join_unique(rare, groups, ["key"], "inner")
+    members = join_unique(placed, groups, ["key"], "inner")
     own = (F.xxhash64("node").bitwiseAND(0x7FFFFFFF) % F.col("blocks")).cast("int")
     spread = members.withColumn("block", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.select("key", "node", "component", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
-    full = spread.join(signatures, "node").join(sets.select("node", "shingles"), "node")
-    full = full.select("key", "node", "component", "block", "a", "b", "signature", "shingles")
+    full = spread.join(signatures, "node").join(sets, "node").select("key", "node", "component", "block", "a", "b", "signature", "shingles")
     return full.groupBy("key", "a", "b").applyInArrow(_compare_block, "x binary, y binary").distinct()

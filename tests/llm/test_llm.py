@@ -230,8 +230,8 @@ def test_rare_shingles_of_similar_sets_meet_and_templates_do_not(spark):
     sets = [np.unique(np.concatenate((template, rng.integers(0, 1 << 62, 60)))) for _ in range(80)]
     sets += [np.unique(np.concatenate((s[: len(s) - 8], rng.integers(0, 1 << 62, 8)))) for s in sets[:30]]
     sets += [rng.integers(0, 1 << 62, 1), np.arange(3), np.arange(4)]
-    rows = [(bytes([k]), bytes([k]), bytearray(s.astype(np.int64).tobytes())) for k, s in enumerate(sets)]
-    got = near_duplicates.rare_shingles(spark.createDataFrame(rows, "node binary, component binary, shingles binary")).collect()
+    rows = [(bytearray([k]), bytearray(s.astype(np.int64).tobytes())) for k, s in enumerate(sets)]
+    got = near_duplicates.rare_shingles(spark.createDataFrame(rows, "node binary, shingles binary")).collect()
     bearers: dict = {}
     for r in got:
         bearers.setdefault(r.key, set()).add(r.node[0])
