@@ -10,8 +10,8 @@
 4. Members of buckets that still lie in several components are dealt anew by their rarest shingles: similar
    sets share one among those (``rare_shingles``), while a template that many texts share is not rare. Bearers of
    a rare shingle are compared with the smallest of them first, as in 3. Those still in different components are
-   then compared block by block inside tasks of bounded size. A block emits links of a spanning forest, never
-   its pairs.
+   then compared block by block inside tasks of bounded size: signatures first, then the full sets of those that
+   have a partner by signature. A block emits links of a spanning forest, never its pairs.
 5. Links become components by alternating large-star and small-star rounds.
 
 Band keys meet with a probability of 1 - (1 - s**ROWS)**BANDS for similarity s: 0.999995 at 0.75.
@@ -162,6 +162,21 @@ def forest(component: np.ndarray, left: np.ndarray, signatures: np.ndarray, sets
     return edges
 
 
+def _with_partners(block: pa.Table) -> pa.Table:
+    """Rows of a block whose signature agrees often enough with one of another component that they are compared with."""
+    signatures = np.frombuffer(b"".join(block.column("signature").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+    component = np.unique(block.column("component").to_pylist(), return_inverse=True)[1]
+    a, b = block.column("a")[0].as_py(), block.column("b")[0].as_py()
+    left = block.column("block").to_numpy() == a
+    partner = np.zeros(len(left), bool)
+    for i in np.flatnonzero(left):
+        others = np.flatnonzero((component != component[i]) & (left if a == b else ~left))
+        others = others[(signatures[others] == signatures[i]).sum(1) >= MIN_AGREE]
+        partner[others] = True
+        partner[i] |= len(others) > 0
+    return block.filter(pa.array(partner))
+
+
 def _compare_block(block: pa.Table) -> pa.Table:
     a, b = block.column("a")[0].as_py(), block.column("b")[0].as_py()
     block = block.take(pc.sort_indices(block.column("node"))).combine_chunks()
@@ -345,5 +360,8 @@ def _compare_blocks(placed: DataFrame, sets: DataFrame, signatures: DataFrame) -
     own = (F.xxhash64("node").bitwiseAND(0x7FFFFFFF) % F.col("blocks")).cast("int")
     spread = members.withColumn("block", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.select("key", "node", "component", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
-    full = spread.join(signatures, "node").join(sets, "node").select("key", "node", "component", "block", "a", "b", "signature", "shingles")
+    signed = spread.join(signatures, "node").select(*spread.columns, "signature")
+    # Most unlike texts differ by their signatures alone: only the others' full sets are moved.
+    some = stored(signed.groupBy("key", "a", "b").applyInArrow(_with_partners, signed.schema), "partners")
+    full = some.join(sets, "node").select(*signed.columns, "shingles")
     return full.groupBy("key", "a", "b").applyInArrow(_compare_block, "x binary, y binary").distinct()
