@@ -224,22 +224,6 @@ def test_near_duplicates_among_many_texts_with_a_shared_half(spark):
     assert {r.doc_id: r.component_id for r in near_duplicates.find_near_duplicates(df).collect()} == {d: d % 1000 for d in texts}
 
 
-def test_rare_shingles_of_similar_sets_meet_and_templates_do_not(spark):
-    rng = np.random.default_rng(6)
-    template = rng.integers(0, 1 << 62, 40)
-    sets = [np.unique(np.concatenate((template, rng.integers(0, 1 << 62, 60)))) for _ in range(80)]
-    sets += [np.unique(np.concatenate((s[: len(s) - 8], rng.integers(0, 1 << 62, 8)))) for s in sets[:30]]
-    sets += [rng.integers(0, 1 << 62, 1), np.arange(3), np.arange(4)]
-    rows = [(bytearray([k]), bytearray(s.astype(np.int64).tobytes())) for k, s in enumerate(sets)]
-    got = near_duplicates.rare_shingles(spark.createDataFrame(rows, "node binary, shingles binary")).collect()
-    bearers: dict = {}
-    for r in got:
-        bearers.setdefault(r.key, set()).add(r.node[0])
-    met = {(a, b) for group in bearers.values() for a in group for b in group if a < b}
-    similar = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if near_duplicates.linked(np.sort(sets[a]).astype(np.uint64), np.sort(sets[b]).astype(np.uint64))}
-    assert len(similar) > 30 and similar <= met and len(met) < 2 * len(similar)
-
-
 def test_attention_gradient_sums_and_windows():
     rng = np.random.default_rng(9)
     size, end = 30, 29
