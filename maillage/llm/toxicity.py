@@ -16,6 +16,7 @@ rows, so that scores and threshold mean the same at every size.
 
 from __future__ import annotations
 
+import io
 from dataclasses import dataclass
 
 import numpy as np
@@ -99,7 +100,7 @@ class Pairs:
         """Those of some rows, which are numbered anew."""
         place = np.cumsum(chosen) - 1
         mine = chosen[self.row]
-        return Pairs(place[self.row[mine]], self.slot[mine], int(chosen.sum()), self.slots)
+        return Pairs(place[self.row[mine]], self.slot[mine].astype(np.int64), int(chosen.sum()), self.slots)
 
     def logits(self, bias: float, weight: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(logits, sum of the factors of each text's terms)."""
@@ -199,7 +200,7 @@ def train(texts: list[str], labels: list[int], shares: tuple[float, float] = (1.
         seen += np.bincount(bucket, minlength=BUCKETS)
     chosen = np.flatnonzero(seen >= MIN_DOCUMENTS)
     slot[chosen] = np.arange(len(chosen), dtype=np.int32)
-    kept = [(row[slot[b] >= 0], slot[b][slot[b] >= 0].astype(np.int64)) for row, b in _present(column)]
+    kept = [(row[slot[b] >= 0].astype(np.int32), slot[b][slot[b] >= 0]) for row, b in _present(column)]
     pairs = Pairs(np.concatenate([k[0] for k in kept]), np.concatenate([k[1] for k in kept]), len(y), len(chosen))
     del kept
     params = np.zeros(1 + len(chosen) * (1 + FACTORS))
@@ -246,6 +247,31 @@ def train(texts: list[str], labels: list[int], shares: tuple[float, float] = (1.
     return ToxicityModel(slot, weight.astype(np.float32), factors.astype(np.float32), bias + float(np.log(shares[1] / shares[0])))
 
 
+def to_bytes(model: ToxicityModel) -> bytes:
+    """The buckets that have a weight, in the order of their places, and all numbers."""
+    out = io.BytesIO()
+    known = np.flatnonzero(model.slot >= 0)
+    np.savez(out, bucket=known[np.argsort(model.slot[known])].astype(np.int32), weight=model.weight, factors=model.factors, bias=model.bias)
+    return out.getvalue()
+
+
+def from_bytes(data: bytes) -> ToxicityModel:
+    with np.load(io.BytesIO(data)) as found:
+        slot = np.full(BUCKETS, -1, np.int32)
+        slot[found["bucket"]] = np.arange(len(found["bucket"]), dtype=np.int32)
+        return ToxicityModel(slot, found["weight"], found["factors"], float(found["bias"]))
+
+
+def _train_rows(shares: tuple[float, float]):
+    """Trains on the sample in one task: its texts and what training keeps beside them never reach the driver."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        some = sorted(zip(rows.column("_id").to_pylist(), rows.column("_y").to_pylist(), (t or "" for t in rows.column("text").to_pylist()), strict=True))
+        return pa.table({"model": pa.array([to_bytes(train([r[2] for r in some], [r[1] for r in some], shares=shares))], pa.binary())})
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_other: int = FIT_OTHER) -> ToxicityModel:
     """Train on at most ``fit_toxic`` and ``fit_other`` labelled documents that are not held out, those with the smallest id hashes.
 
@@ -257,10 +283,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_toxic: int = FIT_TOXIC, fit_othe
     bounds = ((1, fit_toxic), (0, fit_other))
     parts = [usable.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(bound) for y, bound in bounds]
     chosen = parts[0].unionAll(parts[1])
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "_y", "text").collect()
-    rows.sort(key=lambda r: (r["_id"], r["_y"], r["text"] or ""))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "_y", "text", F.lit(0).alias("_all"))
     shares = tuple(min(1.0, bound / n[y]) if y in n else 1.0 for y, bound in bounds)
-    return train([r["text"] or "" for r in rows], [r["_y"] for r in rows], shares=shares)
+    done = rows.groupBy("_all").applyInArrow(_train_rows(shares), "model binary").first()
+    return from_bytes(done["model"]) if done else train([], [], shares=shares)
 
 
 def toxicity_score(model: ToxicityModel, text: Column) -> Column:

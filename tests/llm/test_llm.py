@@ -1,5 +1,6 @@
 """The training-data operators on small tables, against brute force, libraries and round trips."""
 
+import os
 import re
 import zlib
 
@@ -156,6 +157,23 @@ def test_attention_learns_from_more_than_a_fixed_number_of_texts(spark):
     assert (group[attention.FREQUENT : size] > 1).all() and (group[:size] == group[of % width]).all() and count[0] == size
 
 
+def test_toxicity_is_trained_outside_of_the_driver(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, f"same {'bad' if i % 3 == 0 else 'good'} word{w}", int(i % 3 == 0)) for i, w in enumerate(rng.integers(0, 9, 300).tolist())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    train, driver = toxicity.train, os.getpid()
+    want = train([r[1] for r in learned], [r[2] for r in learned])
+
+    def elsewhere(*args, **kwargs):
+        assert os.getpid() != driver
+        return train(*args, **kwargs)
+
+    monkeypatch.setattr(toxicity, "train", elsewhere)
+    got = toxicity.fit(frame, frame)
+    assert (got.slot == want.slot).all() and (got.weight == want.weight).all() and (got.factors == want.factors).all() and got.bias == want.bias
+
+
 @pytest.mark.parametrize("fillers", [300, 6000])
 def test_toxicity_learns_what_two_terms_say_together(fillers):
     """Toxic is just one of two words that tell nothing alone, among many others that tell nothing at all."""
