@@ -174,6 +174,23 @@ def test_toxicity_is_trained_outside_of_the_driver(spark, monkeypatch):
     assert (got.slot == want.slot).all() and (got.weight == want.weight).all() and (got.factors == want.factors).all() and got.bias == want.bias
 
 
+def test_attention_is_trained_on_every_text_that_is_not_held_out(spark, monkeypatch):
+    # A share of one in 64 of all texts is far from all their ids; chunks hold every one.
+    monkeypatch.setattr(attention, "FIT_ROWS", 1)
+    rows = [(i, f"word{i} other{i % 7}") for i in range(640)]
+    learned = [t for i, t in rows if zlib.crc32(str(i).encode()) % 10]
+    own, fit, models = attention.subwords(public_tokenizers.path(attention.VOCABULARY)), attention.fit, []
+    monkeypatch.setattr(attention, "fit", lambda *args: models.append(fit(*args)) or models[-1])
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert attention.score_documents(frame).count() == len(rows)
+    ids = np.unique(own.split([w for t in learned for w in t.split()])[0])
+    assert (models[0].row[ids] >= attention.CLASSES).all()  # each was met in training and has a row of its own
+    # Weights are averaged as rows and come back as they were.
+    params = attention.start(np.arange(500) % attention.CLASSES, np.ones(500, np.int64)).params
+    back = attention.from_rows(attention.to_rows(params), params)
+    assert all((back[k] == v).all() for k, v in params.items()) and back.keys() == params.keys()
+
+
 @pytest.mark.parametrize("fillers", [300, 6000])
 def test_toxicity_learns_what_two_terms_say_together(fillers):
     """Toxic is just one of two words that tell nothing alone, among many others that tell nothing at all."""
