@@ -154,8 +154,17 @@ def join_point_in_polygon(points: DataFrame, zones: DataFrame, cell: float = 0.1
     width of those on which all points meet zones. A cell inside a zone carries no geometry. A cell on its border
     carries the edges that meet it and one parity, which together decide for its points exactly as all edges would;
     where these are many, points go on to smaller cells of that zone. So an edge is copied to the few small cells it
-    passes, and the bytes shuffled grow with the edges. A polygon is read as one row, as it is given.
+    passes, and the bytes shuffled grow with the edges. A polygon is read as one row, as it is given. Zones of one
+    geometry are covered and tested once, and each of them gets the points found.
     """
+    columns = points.columns
+    shape = F.unhex(F.md5(F.to_json("geom").cast("binary")))
+    shapes = zones.groupBy(shape.alias("_shape")).agg(F.first("geom").alias("geom"))
+    found = _points_in_zones(points, shapes.withColumnRenamed("_shape", "zone_id"), cell).withColumnRenamed("zone_id", "_shape")
+    return found.join(zones.select(shape.alias("_shape"), "zone_id"), "_shape").select(*columns, "zone_id")
+
+
+def _points_in_zones(points: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
     columns = points.columns
     left, out, side = points, None, cell
     for level, cells in enumerate(zone_cells(zones, cell)):

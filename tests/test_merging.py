@@ -432,3 +432,14 @@ def test_zones_of_many_vertices_against_every_edge(spark):
         levels = spatial.zone_cells(table, cell)
         carried = sum(t.agg(F.coalesce(F.sum(F.when(F.col("edges").isNotNull(), F.size("edges"))), F.lit(0))).first()[0] for t in levels)
         assert len(levels) > 1 and carried < 3 * 23_400
+
+
+def test_zones_of_one_geometry_are_covered_once(spark, monkeypatch):
+    box = lambda x: [[[(x, 0.0), (x + 1.0, 0.0), (x + 1.0, 1.0), (x, 1.0), (x, 0.0)]]]
+    table = spark.createDataFrame([(k, box(float(k % 2))) for k in range(40)] + [(40, None)], "zone_id long, geom array<array<array<struct<lon: double, lat: double>>>>")
+    points = spark.createDataFrame([(0, 0.5, 0.5), (1, 1.5, 0.5), (2, 2.5, 0.5)], "id long, lon double, lat double")
+    cover, covered = spatial.zone_cells, []
+    monkeypatch.setattr(spatial, "zone_cells", lambda zones, cell: covered.append(zones.where("geom is not null").count()) or cover(zones, cell))
+    got = [(r["id"], r["zone_id"]) for r in spatial.join_point_in_polygon(points, table, 0.3).collect()]
+    assert sorted(got) == [(p, k) for p in range(2) for k in range(40) if k % 2 == p]
+    assert covered == [2]
