@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
@@ -19,35 +18,33 @@ LONGEST_PAIRED = 64
 CLASSES = [1, 2, 3]
 while CLASSES[-1] < 1 << 30:
     CLASSES.append(CLASSES[-1] * 3 // 2)
+KEY_BITS = 32  # of the second trigram's number in a key
 
 
-def _class_pairs(t: Fraction) -> Iterator[tuple[int, int, int, int]]:
-    """(class of the shorter name, class of the longer name, rare trigrams in a key, number) of all class pairs that can hold a match."""
-    number = 0
-    for a in range(len(CLASSES) - 1):
-        for b in range(a, len(CLASSES) - 1):
-            if t * CLASSES[b] > CLASSES[a + 1] - 1:
-                break
-            least_shared = -(-t * (CLASSES[a] + CLASSES[b]) // (1 + t))
-            yield a, b, 2 if least_shared >= 2 and CLASSES[b + 1] <= LONGEST_PAIRED else 1, number
-            number += 1
+def numbered_by_rarity(occurrences: DataFrame) -> DataFrame:
+    """(gram, number): 0, 1, 2... from the rarest trigram on, without a gap."""
+    ordered = cut(occurrences.groupBy("gram").agg(F.count("*").alias("df")).orderBy("df", "gram").select("gram"))
+    ordered = ordered.select("gram", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"))
+    sizes = {r["part"]: r["count"] for r in ordered.groupBy("part").count().collect()}  # a row per partition
+    first = [sum(n for q, n in sizes.items() if q < part) for part in range(max(sizes, default=0) + 1)]
+    row = F.col("row").bitwiseAND(F.lit((1 << 33) - 1))  # within its partition
+    return ordered.select("gram", (F.element_at(F.array(*[F.lit(n).cast("long") for n in first]), F.col("part") + 1) + row).cast("int").alias("number"))
 
 
 def ranked_names(people: DataFrame, name: str) -> DataFrame:
-    """Distinct lower-case names: no, nom, id, nb, n, grams from the rarest on, and a bit vector of 128 bits."""
+    """Distinct lower-case names: nom, id, nb, numbers of its trigrams (grams) from the rarest on, and a bit vector of 128 bits."""
     names = people.where(F.col(name).isNotNull()).groupBy(F.lower(name).alias("nom")).agg(
         F.min("id").alias("id"), F.count("*").alias("nb")
     )
     occurrences = names.select("nom", "id", "nb", F.explode(F.transform(trigrams(F.col("nom")), trigram_code)).alias("gram"))
-    rarity = occurrences.groupBy("gram").agg(F.count("*").alias("df"))
-    place = F.pmod(F.xxhash64("gram"), F.lit(128)).cast("int")
+    place = F.pmod(F.col("number"), F.lit(128))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), place % 64)
     # A name has as many trigrams as letters, so gathering those of one name is bounded.
-    ranked = join_unique(occurrences, rarity, ["gram"], "inner").groupBy("nom", "id", "nb").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("df", "gram"))), lambda g: g["gram"]).alias("grams"),
+    ranked = join_unique(occurrences, numbered_by_rarity(occurrences), ["gram"], "inner").groupBy("nom", "id", "nb").agg(
+        F.array_sort(F.collect_list("number")).alias("grams"),
         *[F.bit_or(F.when(place.between(64 * k, 64 * k + 63), bit).otherwise(0)).alias(f"bits{k}") for k in range(2)],
     )
-    return cut(ranked.withColumn("n", F.size("grams")).withColumn("no", F.monotonically_increasing_id()))
+    return cut(ranked)
 
 
 def _ceil(numerator: Column, t: Fraction) -> Column:
@@ -55,48 +52,36 @@ def _ceil(numerator: Column, t: Fraction) -> Column:
     return F.floor((numerator * t.numerator + (t.denominator - 1)) / F.lit(t.denominator)).cast("int")
 
 
-def candidate_pairs(ranked: DataFrame, threshold: str = DEFAULT_THRESHOLD) -> DataFrame:
-    """(no_x, no_y) once each, x the shorter name: all pairs that reach the threshold, and few others."""
+def name_keys(ranked: DataFrame, threshold: str = DEFAULT_THRESHOLD) -> DataFrame:
+    """A row per name and key of it, with all that a match needs of the name: key, at, nom, id, nb, grams and bits.
+
+    A key is the numbers of two rare trigrams side by side, or the number of one; ``at`` is the place of the last.
+    """
     t = Fraction(threshold)
     of_both = t / (1 + t)  # a match shares at least this part of the two sizes added up
-    spark = ranked.sparkSession
-    length_class = F.size(F.filter(F.array(*[F.lit(c) for c in CLASSES]), lambda c: c <= F.col("n"))) - 1
-    occupied = {r["class"] for r in ranked.select(length_class.alias("class")).distinct().collect()}  # at most a row per class
-    pairs = [p for p in _class_pairs(t) if occupied.issuperset(p[:2])]
-    schema = "class int, number int, partner int, partner_end int, key_size int"
-    roles = {
-        "x": spark.createDataFrame([(a, k, CLASSES[b], CLASSES[b + 1], size) for a, b, size, k in pairs], schema),
-        "y": spark.createDataFrame([(b, k, CLASSES[a], CLASSES[a + 1], size) for a, b, size, k in pairs], schema),
-    }
-    n, partner = F.col("n"), F.col("partner")
-    # The length of the shortest partner that counts, and whether the class holds any.
-    nearest = {"x": F.greatest(n, partner), "y": F.greatest(partner, _ceil(n, t))}
-    possible = {"x": nearest["x"] * t.numerator <= n * t.denominator, "y": F.least(F.col("partner_end") - 1, n) >= _ceil(n, t)}
-
-    def keys(role: str) -> DataFrame:
-        rows = ranked.withColumn("class", length_class).join(F.broadcast(roles[role]), "class").where(possible[role])  # a row per class pair
-        prefix = F.slice("grams", F.lit(1), n - _ceil(n + nearest[role], of_both) + F.col("key_size"))
-        rows = rows.select("no", "n", "bits0", "bits1", "number", "key_size", prefix.alias("prefix"))
-        rows = rows.select("*", F.posexplode("prefix").alias("at", "gram"))
-        before = F.when(F.col("key_size") == 2, F.slice("prefix", F.lit(1), F.col("at"))).otherwise(F.array(F.lit(0).cast("long")))
-        rows = rows.select("no", "n", "bits0", "bits1", "at", "number", "key_size", "gram", F.explode(before).alias("rarer"))
-        kept = [F.col(c).alias(f"{c}_{role}") for c in ("no", "n", "bits0", "bits1", "at")]
-        return rows.select(F.xxhash64("number", "rarer", "gram").alias("key"), *kept, *(["key_size"] if role == "x" else []))
-
-    def shared_at_most(a: str, b: str) -> Column:
-        lone = [F.bit_count(F.col(f"bits{k}_{a}").bitwiseAND(F.bitwise_not(f"bits{k}_{b}"))) for k in range(2)]
-        return F.col(f"n_{a}") - lone[0] - lone[1]
-
-    both = F.col("n_x") + F.col("n_y")
-    needed = both * of_both.numerator
-    enough = [
-        F.col("n_x") * t.denominator >= F.col("n_y") * t.numerator,
-        (F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y")) - 1 + F.col("key_size")) * of_both.denominator >= needed,
-        F.least(shared_at_most("x", "y"), shared_at_most("y", "x")) * of_both.denominator >= needed,
-    ]
-    ordered = (F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("no_x") < F.col("no_y")))
-    joined = keys("x").join(keys("y"), "key").where(ordered & enough[0] & enough[1] & enough[2])
-    return joined.select("no_x", "no_y").distinct()
+    n = F.size("grams")
+    length_class = F.size(F.filter(F.array(*[F.lit(c) for c in CLASSES]), lambda c: c <= n))
+    lengths = ranked.groupBy(length_class.alias("class")).agg(F.min(n).alias("least"), F.max(n).alias("most")).collect()  # at most a row per class
+    counts = _ceil(n, t)  # the length of the shortest partner that counts
+    nearest = F.least(n, *[F.when(F.lit(r["most"]) >= counts, F.greatest(F.lit(r["least"]), counts)) for r in lengths])
+    shared = _ceil(n + nearest, of_both)
+    beyond = min((max(r["least"], LONGEST_PAIRED + 1) for r in lengths if r["most"] > LONGEST_PAIRED), default=None)
+    pairs = F.when(n <= LONGEST_PAIRED, n - F.greatest(shared, F.lit(2)) + 2).otherwise(0)
+    singles = F.when((n > LONGEST_PAIRED) | (shared < 2), n - shared + 1)
+    if beyond is not None:
+        singles = singles.when(n * t.denominator >= beyond * t.numerator, n - _ceil(n + beyond, of_both) + 1)
+    rows = ranked.select("*", pairs.alias("pairs"), singles.otherwise(0).alias("singles"))
+    rows = rows.select("*", F.posexplode(F.slice("grams", F.lit(1), F.greatest("pairs", "singles"))).alias("at", "gram"))
+    none = F.array().cast("array<int>")
+    before = F.when(F.col("at") < F.col("pairs"), F.slice("grams", F.lit(1), F.col("at"))).otherwise(none)
+    alone = F.when(F.col("at") < F.col("singles"), F.array(F.lit(-1))).otherwise(none)
+    rows = rows.select("nom", "id", "nb", "grams", "bits0", "bits1", "at", "gram", F.explode(F.concat(before, alone)).alias("rarer"))
+    return rows.select(_key(F.col("rarer"), F.col("gram")).alias("key"), "at", "nom", "id", "nb", "grams", "bits0", "bits1")
+
+
+def _key(rarer: Column, gram: Column) -> Column:
+    """Of two trigrams; ``rarer`` is -1 where one will do."""
+    return F.shiftleft((rarer + 1).cast("long"), KEY_BITS) + gram
 
 
 def fuzzy_name_pairs(people: DataFrame, name: str, threshold: str = DEFAULT_THRESHOLD) -> DataFrame:
@@ -105,29 +90,48 @@ def fuzzy_name_pairs(people: DataFrame, name: str, threshold: str = DEFAULT_THRE
     Exact, by prefix filtering (Chaudhuri et al. 2006) with keys of several tokens (Wang et al. 2012). A pair of
     similarity t shares at least o = t / (1 + t) of both sizes together. With the trigrams of each name sorted by
     rarity, the two rarest that both share are then among the first ``n - o + 2`` of each, so names are joined on
-    pairs of rare trigrams. o depends on the partner's size, so both sides write their keys once per class of
-    partner sizes; where as little as one shared trigram could do, or names are long, a key is one trigram and the
-    prefix one shorter. What meets is thinned by whole numbers only: by the places of the key in both names, which
-    bound what can still be shared, and by bit vectors, as each bit that only one name has is a trigram the other
-    lacks. Trigrams themselves are read for the distinct pairs that are left. Bearers of one name are counted
-    (``nb_a``, ``nb_b``), not paired with each other. Names without a letter or digit have no trigrams and no pairs.
-    The ranked names are cut, as all joins read them; a key that very many names share is split on both sides by
-    adaptive execution.
+    pairs of rare trigrams. o depends on the partner's size; each name writes its keys once, for the shortest
+    partner that counts and that is there. Where as little as one shared trigram could do, or names are long, a key is
+    one trigram and the prefix one shorter.
+
+    Names are many times fewer than the pairs they form, so nothing is shuffled but names with their keys: a key's row
+    holds all trigrams, and a pair is judged where it meets. It is kept on the key of the rarest trigrams that both
+    share and on no other, so no pair comes twice. What meets is thinned by whole numbers first: by sizes, by the
+    places of the key in both names, which bound what can still be shared, and by bit vectors, as each bit that only
+    one name has is a trigram the other lacks. Bearers of one name are counted (``nb_a``, ``nb_b``), not paired with
+    each other. Names without a letter or digit have no trigrams and no pairs. The ranked names are cut, as lengths
+    and keys read them; both sides of the join are the same rows, shuffled once, and a key that very many names share
+    is split on both sides by adaptive execution.
     """
     t = Fraction(threshold)
-    ranked = ranked_names(people, name)
-    out = candidate_pairs(ranked, threshold)
-    for side in ("x", "y"):
-        out = out.join(ranked.select(*[F.col(c).alias(f"{c}_{side}") for c in ("no", "nom", "id", "nb", "n", "grams")]), f"no_{side}")
-    both = F.col("n_x") + F.col("n_y")
+    of_both = t / (1 + t)
+    keys = name_keys(ranked_names(people, name), threshold)
+    sides = {s: keys.select("key", *[F.col(c).alias(f"{c}_{s}") for c in keys.columns if c != "key"]) for s in ("x", "y")}
+    n_x, n_y = F.size("grams_x"), F.size("grams_y")
+    both, needed = n_x + n_y, (n_x + n_y) * of_both.numerator
+    single = F.col("key") < F.lit(1 << KEY_BITS)
+    common = F.array_intersect("grams_x", "grams_y")
+
+    def shared_at_most(a: str, b: str) -> Column:
+        lone = [F.bit_count(F.col(f"bits{k}_{a}").bitwiseAND(F.bitwise_not(f"bits{k}_{b}"))) for k in range(2)]
+        return F.size(f"grams_{a}") - lone[0] - lone[1]
+
+    conditions = [
+        (n_x < n_y) | ((n_x == n_y) & (F.col("nom_x") < F.col("nom_y"))),
+        n_x * t.denominator >= n_y * t.numerator,
+        single == ((needed <= of_both.denominator) | (n_y > LONGEST_PAIRED)),
+        (F.least(n_x - F.col("at_x"), n_y - F.col("at_y")) + F.when(single, 0).otherwise(1)) * of_both.denominator >= needed,
+        F.least(shared_at_most("x", "y"), shared_at_most("y", "x")) * of_both.denominator >= needed,
+        F.size(common) * of_both.denominator >= needed,
+        F.col("key") == F.when(single, _key(F.lit(-1), common[0])).otherwise(_key(common[0], common[1])),
+    ]
+    out = sides["x"].join(sides["y"], "key")
+    for condition in conditions:
+        out = out.where(condition)
     first = F.col("nom_x") < F.col("nom_y")
-    return (
-        out.withColumn("communs", F.size(F.array_intersect("grams_x", "grams_y")))
-        .where(F.col("communs") * t.denominator >= (both - F.col("communs")) * t.numerator)
-        .select(
-            *[F.when(first, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y")).alias(f"{c}_a") for c in ("nom", "id", "nb")],
-            *[F.when(first, F.col(f"{c}_y")).otherwise(F.col(f"{c}_x")).alias(f"{c}_b") for c in ("nom", "id", "nb")],
-            "communs",
-            trigram_similarity(F.col("communs"), F.col("n_x"), F.col("n_y")).alias("similarite"),
-        )
+    return out.withColumn("communs", F.size(common)).select(
+        *[F.when(first, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y")).alias(f"{c}_a") for c in ("nom", "id", "nb")],
+        *[F.when(first, F.col(f"{c}_y")).otherwise(F.col(f"{c}_x")).alias(f"{c}_b") for c in ("nom", "id", "nb")],
+        "communs",
+        trigram_similarity(F.col("communs"), n_x, n_y).alias("similarite"),
     )

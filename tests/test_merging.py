@@ -349,6 +349,30 @@ def test_similar_names_against_all_pairs(spark, threshold):
     assert got == want
 
 
+@pytest.mark.parametrize("threshold", ["0.1", "0.3", "0.6"])
+def test_similar_names_of_all_lengths_against_all_pairs(spark, threshold):
+    """One trigram to more than the longest that are joined on pairs of trigrams, with partners on both sides of that."""
+    rng = random.Random(5)
+    stems = ["".join(rng.choice("abcdef") for _ in range(rng.choice([1, 1, 2, 3, 9, 30, 62, 66, 110]))) for _ in range(50)]
+    names = sorted({stem[: rng.randrange(1, len(stem) + 1)] + rng.choice(["", "x", " yz"]) for stem in stems for _ in range(4)} | set(stems) | {"a b c", "b", "a"})
+    df = spark.createDataFrame(list(enumerate(names)), "id int, nom string")
+    sets, want = {n: grams(n) for n in names}, set()
+    assert max(map(len, sets.values())) > similarity.LONGEST_PAIRED
+    for a, b in itertools.combinations(names, 2):
+        if 10 * len(sets[a] & sets[b]) >= round(10 * float(threshold)) * len(sets[a] | sets[b]):
+            want.add((a, b, len(sets[a] & sets[b])))
+    got = [(r["nom_a"], r["nom_b"], r["communs"]) for r in similarity.fuzzy_name_pairs(df, "nom", threshold).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_pairs_of_similar_names_are_not_shuffled(spark):
+    """Pairs grow with the square of the names: only rows of names are shuffled, and a pair is judged where it meets."""
+    df = spark.createDataFrame([(k, f"nom {k}") for k in range(50)], "id int, nom string")
+    plan = similarity.fuzzy_name_pairs(df, "nom")._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Join")]
+    assert plan.count("Join") == 1 and "Exchange" not in above and "Aggregate" not in above
+
+
 def test_bearers_of_one_name_are_counted(spark):
     df = spark.createDataFrame([(1, "Jean Martin"), (2, "JEAN martin"), (3, "Jean Martins"), (4, "Jean Martin")], "id int, nom string")
     rows = similarity.fuzzy_name_pairs(df, "nom").collect()
