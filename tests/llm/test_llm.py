@@ -310,6 +310,15 @@ def test_attention_gradient_sums_and_windows():
             assert grad.reshape(-1)[at] == pytest.approx((both[0] - both[1]) / (2 * step), abs=2e-4), name
 
 
+def test_attention_sums_of_equal_rows():
+    rng = np.random.default_rng(12)
+    for size in (1, 40, (1 << 16) + 5):
+        rows, values = rng.integers(max(0, size - 40), size, 300), rng.integers(-9, 9, (300, 3)).astype(np.float32)
+        want = np.zeros((size, 3), np.float32)
+        np.add.at(want, rows, values)
+        assert (attention.sums_by_input(values, rows, size) == want).all()
+
+
 def test_ids_of_a_class_sum_to_one():
     rng = np.random.default_rng(10)
     group = rng.integers(0, attention.CLASSES, 500)
