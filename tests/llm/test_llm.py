@@ -319,6 +319,38 @@ def test_attention_sums_of_equal_rows():
         assert (attention.sums_by_input(values, rows, size) == want).all()
 
 
+def test_attention_is_trained_on_words_and_finds_their_ids_by_counts(monkeypatch):
+    rng = np.random.default_rng(14)
+    end, n_words = 60, 40
+    group = np.append(np.where(np.arange(end) < 30, rng.integers(2, attention.LEADING, end), rng.integers(attention.LEADING, attention.CLASSES, end)), 0)
+    size = np.append(rng.integers(1, 5, n_words - 1), attention.LONG + 9)
+    offsets = np.append(0, np.cumsum(size))
+    ids = rng.integers(30, end, offsets[-1])
+    ids[offsets[:-1]] = rng.integers(0, 30, n_words)
+    # A word is the mean of its ids' rows, however many it has.
+    model = attention.start(group, np.ones(end + 1, np.int64), attention.LEADING)
+    want = np.stack([model.params["embed"][model.row[ids[a:b]]].mean(0) for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
+    assert np.allclose(attention.means(model.params["embed"], model.row[ids], offsets), want, atol=1e-6)
+    # Each word and each text's end is one prediction; every id of theirs is moved.
+    words, rows, seen = rng.integers(0, n_words, 300), np.array([0, 0, 100, 300]), []
+    gradients, before = attention.gradients, model.params["embed"].copy()
+    monkeypatch.setattr(attention, "gradients", lambda *args: seen.append((args[4] >= 0).sum()) or gradients(*args))
+    times = attention.train(model, words, rows, ids, offsets, end, (0.01, 0.01), {})
+    assert sum(seen) == 300 + 3 and times[model.row[end]] == 3 and times.sum() == size[words].sum() + 3
+    assert ((model.params["embed"] != before).any(1) == (times > 0)).all()
+    first, ends = model.word_scores(words, rows, ids, offsets, end)
+    assert len(first) == 300 and len(ends) == 3 and (first < 0).all() and (ends < 0).all()
+    # After every id, the end of the word and all ids that go on with it add up to one.
+    fine = attention.alone(group, np.bincount(ids, minlength=end + 1), np.append(np.arange(end) < 30, False))
+    pairs = np.bincount(attention.pair_codes(ids, offsets, group), minlength=(attention.CLASSES + 1) * (end + 1)).reshape(-1, end + 1)
+    codes, n = np.unique(attention.follow_codes(ids, offsets, fine), return_counts=True)
+    followers, emission = attention.Followers.of(codes, n, group, fine), attention.emission_table(fine, pairs)
+    for one in range(end):
+        after = np.arange(30, end)
+        share = 10.0 ** (followers.score(one * attention.FOLLOWS + fine[after] - (attention.LEADING - 1)) + emission[group[one], after])
+        assert share.sum() + 10.0 ** followers.score(np.array([one * attention.FOLLOWS]))[0] == pytest.approx(1, abs=1e-5)
+
+
 def test_ids_of_a_class_sum_to_one():
     rng = np.random.default_rng(10)
     group = rng.integers(0, attention.CLASSES, 500)
