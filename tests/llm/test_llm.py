@@ -351,6 +351,27 @@ def test_attention_is_trained_on_words_and_finds_their_ids_by_counts(monkeypatch
         assert share.sum() + 10.0 ** followers.score(np.array([one * attention.FOLLOWS]))[0] == pytest.approx(1, abs=1e-5)
 
 
+def test_attention_counts_words_over_all_chunks_by_bucket():
+    rng = np.random.default_rng(15)
+    words = rng.integers(-(1 << 62), 1 << 62, 5000)
+    chunks = {c: rng.permutation(words)[:n] for c, n in ((7, 3000), (9, 0), (1 << 33, 4000))}
+    trained = {c: rng.integers(0, 3, len(k)) for c, k in chunks.items()}
+    part = pa.RecordBatch.from_arrays([pa.array(list(chunks)), pa.array([k.tolist() for k in chunks.values()], pa.list_(pa.int64())), pa.array([n.tolist() for n in trained.values()], pa.list_(pa.int64()))], ["chunk", "keys", "trained"])
+    rows = pa.Table.from_batches(list(attention._by_bucket(iter([part]))))
+    assert rows.num_rows > attention.BUCKETS and rows.schema.names == [c.split()[0] for c in attention.BUCKET.split(", ")]
+    want, got, totals = {}, {c: np.zeros(len(k), np.int64) for c, k in chunks.items()}, np.zeros(2, np.int64)
+    for c, keys in chunks.items():
+        for key, n in zip(keys.tolist(), trained[c].tolist(), strict=True):
+            want[key] = want.get(key, 0) + n
+    buckets = rows.column("bucket").to_numpy()
+    for bucket in np.unique(buckets):
+        for row in attention._counts(rows.filter(pa.array(buckets == bucket))).to_pylist():
+            got[row["of_chunk"]][np.frombuffer(row["pos"], np.uint32)] = np.frombuffer(row["c"], np.int64)
+            totals += row["total"], row["n_words"]
+    assert all(got[c].tolist() == [want[k] for k in keys.tolist()] for c, keys in chunks.items())
+    assert totals.tolist() == [sum(want.values()), sum(n > 0 for n in want.values())]
+
+
 def test_ids_of_a_class_sum_to_one():
     rng = np.random.default_rng(10)
     group = rng.integers(0, attention.CLASSES, 500)
